@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reproduced jobs are all batch: nothing in them reads a stream, keeps
+state across micro-batches or handles late data.  No streaming operator
+is therefore provided; every operator here is a plain DataFrame function
+and can be applied inside ``foreachBatch`` if a caller wants to.
+"""
