@@ -2,31 +2,21 @@
 
 from __future__ import annotations
 
-from tessera.plans import cf, io_jobs, oracle_cf, text_jobs
+from tessera.plans import cf, io_jobs, oracle_cf, table_jobs, text_jobs
 
 _MODULES = [(cf.QUERIES, oracle_cf.ORACLE), (text_jobs.QUERIES, text_jobs.ORACLE),
-            (io_jobs.QUERIES, io_jobs.ORACLE)]
-
-
-def _optional():
-    mods = []
-    try:
-        from tessera.plans import email_jobs, table_jobs
-        mods += [(table_jobs.QUERIES, table_jobs.ORACLE), (email_jobs.QUERIES, email_jobs.ORACLE)]
-    except ImportError:  # modules added later in the build
-        pass
-    return mods
+            (io_jobs.QUERIES, io_jobs.ORACLE), (table_jobs.QUERIES, table_jobs.ORACLE)]
 
 
 def queries():
     out = {}
-    for q, _ in _MODULES + _optional():
+    for q, _ in _MODULES:
         out.update(q)
     return out
 
 
 def oracle_sql():
     out = {}
-    for _, o in _MODULES + _optional():
+    for _, o in _MODULES:
         out.update(o)
     return out
