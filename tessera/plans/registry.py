@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tessera.plans import cf, io_jobs, oracle_cf, table_jobs, text_jobs
+from tessera.plans import cf, email_jobs, io_jobs, oracle_cf, table_jobs, text_jobs
 
 _MODULES = [(cf.QUERIES, oracle_cf.ORACLE), (text_jobs.QUERIES, text_jobs.ORACLE),
-            (io_jobs.QUERIES, io_jobs.ORACLE), (table_jobs.QUERIES, table_jobs.ORACLE)]
+            (io_jobs.QUERIES, io_jobs.ORACLE), (table_jobs.QUERIES, table_jobs.ORACLE),
+            (email_jobs.QUERIES, email_jobs.ORACLE)]
 
 
 def queries():
