@@ -150,10 +150,28 @@ def _seen_pairs(ratings: DataFrame, sim_table: DataFrame, block_size: int) -> Da
 
 
 def _unseen_pairs(ratings: DataFrame, sim_table: DataFrame) -> DataFrame:
-    """(userid, movieid1, movieid2, correlation_factor, mult) of unseen candidates."""
-    liked = (ratings.where(F.col("rating") > 4)
-                    .groupBy("userid", "movieid").agg(F.count(F.lit(1)).alias("mult")))
-    spu = (liked.join(sim_table, liked.movieid == sim_table.movieid1)
+    """(userid, movieid1, movieid2, correlation_factor, mult) of unseen candidates
+    that can still be best.
+
+    Exact pruning instead of liked × similarity in full: rank each item's
+    similarity rows into dense correlation levels.  For a liked item the
+    excluded candidates are items the user rated (the item itself among
+    them), ``k`` distinct items, which can empty at most ``k`` levels — so
+    the best unseen candidates lie within the top ``k + 1`` levels, and
+    whole levels are kept (ties included).  Each liked row is replicated
+    once per admissible level and joined on ``(movieid1, level)``, an equi
+    join that also spreads a popular item over its levels.  Assumes
+    ``(movieid1, movieid2)`` is unique in the similarity table, as
+    :func:`tessera.operators.similarity.similarity` produces it.
+    """
+    ui = _user_item_counts(ratings)
+    k = F.count_if(F.col("rated_cnt") > 0).over(Window.partitionBy("userid"))
+    liked = (ui.withColumn("_k", k).where(F.col("liked_cnt") > 0)
+               .select("userid", F.col("movieid").alias("movieid1"), F.col("liked_cnt").alias("mult"),
+                       F.explode(F.sequence(F.lit(1), F.col("_k") + 1)).alias("_lvl")))
+    lv = Window.partitionBy("movieid1").orderBy(F.col("correlation_factor").desc())
+    ranked = sim_table.withColumn("_lvl", F.dense_rank().over(lv))
+    spu = (liked.join(ranked, on=["movieid1", "_lvl"])
                 .where(F.col("movieid1") != F.col("movieid2"))
                 .select("userid", "movieid1", "movieid2", "correlation_factor", "mult"))
     r = _rated(ratings).where(F.col("rating").isNotNull())

@@ -10,17 +10,18 @@ hot key are replicated ``nb`` times per side — ``d²/block_size`` rows,
 a ``block_size``-th of the pairs that must be produced anyway.  Keys at or
 below ``block_size`` items take the plain path (one block, no copies).
 
-The per-key degree is a partially aggregated ``groupBy`` (skew-safe) and
-only keys above the threshold are joined back; AQE turns that join into a
-broadcast when the hot-key table is small at run time and keeps a
-shuffle join otherwise, so nothing of unchecked size is broadcast.
+The per-key degree is a window count over the key on the already
+pre-aggregated rows, so a key's group holds one row per distinct item (raw
+duplicates were combined map-side before any shuffle) and both sides of
+the self-join read the same shuffle (exchange reuse): the source is
+scanned once.  No hot-key table is broadcast.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BLOCK_SIZE = 2048
@@ -32,13 +33,16 @@ def key_degrees(df: DataFrame, key: str, name: str = "_deg") -> DataFrame:
 
 
 def tag_blocks(df: DataFrame, key: str, item: str, block_size: int) -> DataFrame:
-    """Add ``_nb`` (number of item blocks of the row's key) and ``_blk``."""
+    """Add ``_nb`` (number of item blocks of the row's key) and ``_blk``.
+
+    ``_nb = ceil(degree / block_size)`` for keys above ``block_size`` rows,
+    else 1; ``_blk`` is the item's block, a hash of the item modulo ``_nb``.
+    """
     if block_size < 1:
         raise ValueError("block_size must be >= 1")
-    hot = (key_degrees(df, key)
-           .where(F.col("_deg") > block_size)
-           .select(key, F.ceil(F.col("_deg") / F.lit(block_size)).cast("int").alias("_nb")))
-    tagged = df.join(hot, on=key, how="left").withColumn("_nb", F.coalesce(F.col("_nb"), F.lit(1)))
+    deg = F.count(F.lit(1)).over(Window.partitionBy(key))
+    tagged = df.withColumn(
+        "_nb", F.when(deg > block_size, F.ceil(deg / F.lit(block_size)).cast("int")).otherwise(F.lit(1)))
     return tagged.withColumn(
         "_blk", F.when(F.col("_nb") == 1, F.lit(0))
                  .otherwise(F.pmod(F.xxhash64(F.col(item)), F.col("_nb")).cast("int")))

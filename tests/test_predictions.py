@@ -69,3 +69,13 @@ def test_bad_mode(spark):
     r = spark.createDataFrame([(1, 10, 5.0)], RS)
     with pytest.raises(ValueError):
         P.best_candidates_for(r, spark.createDataFrame([], SS), "maybe")
+
+
+def test_unseen_level_pruning_is_exact(spark):
+    # user 1 rated item 10 (liked) and the three most similar items 20, 21, 22,
+    # so the best unseen candidates sit at the 4th correlation level: a tie of 23 and 24.
+    r = spark.createDataFrame([(1, 10, 5.0), (1, 20, 1.0), (1, 21, 1.0), (1, 22, 2.0), (1, 22, 3.0)], RS)
+    sim = spark.createDataFrame([(10, 10, 1.0), (10, 20, 0.9), (10, 21, 0.8), (10, 22, 0.7),
+                                 (10, 23, 0.6), (10, 24, 0.6), (10, 25, 0.5)], SS)
+    got = rows(P.best_candidates_for(r, sim, "unseen", narrow=False))
+    assert got == [(1, 10, 23, 0.6), (1, 10, 24, 0.6)]
