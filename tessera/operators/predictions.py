@@ -149,6 +149,29 @@ def _seen_pairs(ratings: DataFrame, sim_table: DataFrame, block_size: int) -> Da
                          (F.col("liked_cnt") * F.col("rated_cnt")).alias("mult")))
 
 
+def seen_candidates(ratings: DataFrame, sim_table: DataFrame,
+                    block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
+    """Same rows as ``candidates_seen(drop_self_pairs(similar_per_user(...)))``.
+
+    Built from each user's (liked item, rated item) pairs — a blocked
+    self-join on user of ``(user, item, rating) → count`` rows — joined to
+    the similarity table on ``(movieid1, movieid2)``; one output row per
+    (liked rating, rated rating) combination, expanded only at the end.
+    """
+    urr = (ratings.where(F.col("rating").isNotNull())
+                  .groupBy("userid", "movieid", "rating").agg(F.count(F.lit(1)).alias("cnt")))
+    pairs = blocked_self_join(
+        urr, key="userid", item="movieid",
+        left_cols=[F.col("movieid").alias("movieid1"), F.col("cnt").alias("lc")],
+        right_cols=[F.col("movieid").alias("movieid2"), F.col("rating"), F.col("cnt").alias("rc")],
+        left_filter=F.col("rating") > 4, block_size=block_size)
+    pairs = pairs.where(F.col("movieid1") != F.col("movieid2"))
+    out = (pairs.join(sim_table, on=["movieid1", "movieid2"])
+                .select("userid", "movieid1", "movieid2", "correlation_factor", "rating",
+                        (F.col("lc") * F.col("rc")).alias("mult")))
+    return _expand(out, "mult")
+
+
 def _unseen_pairs(ratings: DataFrame, sim_table: DataFrame) -> DataFrame:
     """(userid, movieid1, movieid2, correlation_factor, mult) of unseen candidates
     that can still be best.

@@ -73,7 +73,7 @@ def q_candidates_outer(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_candidates_seen(spark: SparkSession, sf: str) -> DataFrame:
     r, st = _steps(spark, sf)
-    return P.candidates_seen(P.drop_self_pairs(P.similar_per_user(r, st)), r)
+    return P.seen_candidates(r, st)
 
 
 def q_candidates_unseen(spark: SparkSession, sf: str) -> DataFrame:

@@ -79,3 +79,13 @@ def test_unseen_level_pruning_is_exact(spark):
                                  (10, 23, 0.6), (10, 24, 0.6), (10, 25, 0.5)], SS)
     got = rows(P.best_candidates_for(r, sim, "unseen", narrow=False))
     assert got == [(1, 10, 23, 0.6), (1, 10, 24, 0.6)]
+
+
+def test_seen_candidates_fast_path_equals_outer_join_filter(spark):
+    r = ratings(spark, SF_SMALL)
+    extra = spark.createDataFrame([(1, 1, 5.0), (1, 1, 4.0), (1, 2, None)], RS)
+    r = r.unionByName(extra)
+    st = P.similarity_table(S.similarity(r))
+    spu = P.drop_self_pairs(P.similar_per_user(r, st))
+    exp = rows(P.candidates_outer(spu, r).where("rating is not null"))
+    assert rows(P.seen_candidates(r, st, block_size=2)) == exp and len(exp) > 0
