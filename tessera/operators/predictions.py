@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.stats import narrow_to_float
-from tessera.operators.skew import DEFAULT_BLOCK_SIZE, blocked_self_join
+from tessera.operators.skew import DEFAULT_BLOCK_SIZE, blocked_self_join, spread
 
 CANDIDATE_MODES = ("seen", "unseen")
 
@@ -189,11 +189,17 @@ def _unseen_pairs(ratings: DataFrame, sim_table: DataFrame) -> DataFrame:
     """
     ui = _user_item_counts(ratings)
     k = F.count_if(F.col("rated_cnt") > 0).over(Window.partitionBy("userid"))
-    liked = (ui.withColumn("_k", k).where(F.col("liked_cnt") > 0)
-               .select("userid", F.col("movieid").alias("movieid1"), F.col("liked_cnt").alias("mult"),
-                       F.explode(F.sequence(F.lit(1), F.col("_k") + 1)).alias("_lvl")))
+    # The replicated liked rows are the big, streamed side: they are
+    # partitioned on the join key after the explode (pinned, so AQE cannot
+    # fold them into one task from the pre-explode size estimate), and the
+    # ranked similarity rows are the per-partition hash-build side.
+    liked = spread(ui.withColumn("_k", k).where(F.col("liked_cnt") > 0)
+                     .select("userid", F.col("movieid").alias("movieid1"),
+                             F.col("liked_cnt").alias("mult"),
+                             F.explode(F.sequence(F.lit(1), F.col("_k") + 1)).alias("_lvl")),
+                   "movieid1", "_lvl")
     lv = Window.partitionBy("movieid1").orderBy(F.col("correlation_factor").desc())
-    ranked = sim_table.withColumn("_lvl", F.dense_rank().over(lv))
+    ranked = sim_table.withColumn("_lvl", F.dense_rank().over(lv)).hint("shuffle_hash")
     spu = (liked.join(ranked, on=["movieid1", "_lvl"])
                 .where(F.col("movieid1") != F.col("movieid2"))
                 .select("userid", "movieid1", "movieid2", "correlation_factor", "mult"))
@@ -211,7 +217,7 @@ def best_candidate_groups(ratings: DataFrame, sim: DataFrame, candidates: str =
     cands = (_seen_pairs(ratings, st, block_size) if candidates == "seen"
              else _unseen_pairs(ratings, st))
     w = Window.partitionBy("userid", "movieid1").orderBy(F.col("correlation_factor").desc())
-    return (cands.where(F.col("correlation_factor").isNotNull())
+    return (spread(cands.where(F.col("correlation_factor").isNotNull()), "userid", "movieid1")
                  .withColumn("_rk", F.rank().over(w)).where(F.col("_rk") == 1)
                  .select("userid", "movieid1", "movieid2",
                          F.col("correlation_factor").alias("correlation"), "mult"))

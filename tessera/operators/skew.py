@@ -48,6 +48,20 @@ def tag_blocks(df: DataFrame, key: str, item: str, block_size: int) -> DataFrame
                  .otherwise(F.pmod(F.xxhash64(F.col(item)), F.col("_nb")).cast("int")))
 
 
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Hash-partition ``df`` on ``cols`` into ``spark.sql.shuffle.partitions``
+    partitions that AQE will not coalesce.
+
+    AQE merges small shuffle partitions by their (compressed) bytes.  Before a
+    row-heavy step — a window over tie-dense candidates, a join that fans out —
+    few bytes can still mean most of the work, and merging them into one
+    partition runs that work in one task.  A user-specified partition count
+    is kept as is; skew splitting still applies to joins.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *cols)
+
+
 def _replicas(nb: Column) -> Column:
     return F.explode(F.when(nb == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), nb - 1)))
 
@@ -74,4 +88,8 @@ def blocked_self_join(df: DataFrame, key: str, item: str,
                        *left_cols)
     right = right.select(F.col(key), _replicas(F.col("_nb")).alias("_lb"), F.col("_blk").alias("_rb"),
                          *right_cols)
+    # Pair generation fans out (d² pairs from d rows per key): pin the
+    # partition count so AQE does not fold it into a few tasks by input bytes.
+    # Skew is already handled by the blocks.
+    left, right = spread(left, key, "_lb", "_rb"), spread(right, key, "_lb", "_rb")
     return left.join(right, on=[key, "_lb", "_rb"], how="inner").drop("_lb", "_rb")
