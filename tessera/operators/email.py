@@ -196,9 +196,33 @@ def _parse_batches(batches: Iterator, out_rows: int = 256) -> Iterator:
 
 # ------------------------------------------------------------- Spark side ---
 
-def parse_emails(files: DataFrame) -> DataFrame:
-    """``(path, content)`` → parsed rows (see :data:`PARSED_DDL`)."""
-    return files.select("path", "content").mapInArrow(_parse_batches, PARSED_DDL)
+def _ship_by_value() -> None:
+    """Serialise this module's worker-side functions with the task.
+
+    The Python workers then need only the standard library and pyarrow, not
+    an installed copy of this package.
+    """
+    import sys
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def parse_emails(files: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """``(path, content)`` → parsed rows (see :data:`PARSED_DDL`).
+
+    Parsing is per-row Python work, so it needs the rows spread over the
+    cluster: when the input has fewer partitions than ``min_partitions``
+    (default: the default parallelism) — a single large file or row
+    group — it is round-robin repartitioned first.  A file-tree scan with
+    enough splits is parsed where it was read, without a shuffle.
+    """
+    _ship_by_value()
+    files = files.select("path", "content")
+    want = min_partitions or files.sparkSession.sparkContext.defaultParallelism
+    if files.rdd.getNumPartitions() < want:
+        files = files.repartition(want)
+    return files.mapInArrow(_parse_batches, PARSED_DDL)
 
 
 def messages(parsed: DataFrame) -> DataFrame:
