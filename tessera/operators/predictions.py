@@ -127,11 +127,24 @@ def _user_item_counts(ratings: DataFrame) -> DataFrame:
         F.count_if(F.col("rating") > 4).alias("liked_cnt"))
 
 
-def _expand(df: DataFrame, mult: str) -> DataFrame:
-    """Repeat each row ``mult`` times (restores multiset semantics)."""
-    return (df.withColumn("_rep", F.explode(F.when(F.col(mult) == 1, F.array(F.lit(1)))
-                                             .otherwise(F.sequence(F.lit(1), F.col(mult)))))
-              .drop("_rep", mult))
+EXPAND_CHUNK = 4096
+
+
+def _expand(df: DataFrame, mult: str, chunk: int = EXPAND_CHUNK) -> DataFrame:
+    """Repeat each row ``mult`` times (restores multiset semantics).
+
+    A row is first cut into chunks of at most ``chunk`` copies and the chunk
+    rows are hash-spread over the cluster, so a huge multiplicity (one
+    duplicated key holding a large share of the input) is expanded by many
+    tasks; the shuffle carries one row per chunk, not the copies.
+    """
+    cols = [c for c in df.columns if c != mult]
+    m = F.col(mult)
+    chunked = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((m - 1) / chunk).cast("long"))))
+    chunked = chunked.withColumn("_n", F.least(F.lit(chunk).cast("long"), m - F.col("_chunk") * chunk))
+    spread_rows = spread(chunked, *cols, "_chunk")
+    return (spread_rows.withColumn("_rep", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
+                       .select(*cols))
 
 
 def _seen_pairs(ratings: DataFrame, sim_table: DataFrame, block_size: int) -> DataFrame:

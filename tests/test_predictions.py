@@ -89,3 +89,9 @@ def test_seen_candidates_fast_path_equals_outer_join_filter(spark):
     spu = P.drop_self_pairs(P.similar_per_user(r, st))
     exp = rows(P.candidates_outer(spu, r).where("rating is not null"))
     assert rows(P.seen_candidates(r, st, block_size=2)) == exp and len(exp) > 0
+
+
+def test_expand_splits_large_multiplicities(spark):
+    df = spark.createDataFrame([(1, 5), (2, 1), (3, 10)], "k bigint, mult bigint")
+    got = P._expand(df, "mult", chunk=3)
+    assert sorted(r.k for r in got.collect()) == [1] * 5 + [2] + [3] * 10
