@@ -208,8 +208,10 @@ def _unseen_pairs(ratings: DataFrame, sim_table: DataFrame) -> DataFrame:
     # ranked similarity rows are the per-partition hash-build side.
     liked = spread(ui.withColumn("_k", k).where(F.col("liked_cnt") > 0)
                      .select("userid", F.col("movieid").alias("movieid1"),
-                             F.col("liked_cnt").alias("mult"),
-                             F.explode(F.sequence(F.lit(1), F.col("_k") + 1)).alias("_lvl")),
+                             F.col("liked_cnt").alias("mult"), "_k"),
+                   "userid", "movieid1")  # leave the per-user window task first
+    liked = spread(liked.select("userid", "movieid1", "mult",
+                                F.explode(F.sequence(F.lit(1), F.col("_k") + 1)).alias("_lvl")),
                    "movieid1", "_lvl")
     lv = Window.partitionBy("movieid1").orderBy(F.col("correlation_factor").desc())
     ranked = sim_table.withColumn("_lvl", F.dense_rank().over(lv)).hint("shuffle_hash")

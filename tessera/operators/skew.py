@@ -78,7 +78,10 @@ def blocked_self_join(df: DataFrame, key: str, item: str,
     ``left_filter``/``right_filter`` are single-side predicates applied
     before replication.  The result holds ``key`` plus both projections.
     """
-    tagged = tag_blocks(df, key, item, block_size)
+    # Rows leave the per-key window task before they are replicated, so a
+    # hot key's d × nb copies are generated by many tasks, not the one that
+    # counted its degree.
+    tagged = spread(tag_blocks(df, key, item, block_size), key, item)
     left, right = tagged, tagged
     if left_filter is not None:
         left = left.where(left_filter)
