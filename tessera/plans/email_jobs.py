@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import email as E
+from tessera.operators.skew import spread
 from tessera.plans.email_ingest import ingest_emails
 from tessera.session import scratch_path
 from tessera.sources import eml
@@ -14,7 +15,9 @@ from tessera.sources.tables import documents
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
-    return documents(spark, sf).select("doc_id", "text", "lang", "source")
+    # Parsing is per-row Python work: spread the documents (a table may be a
+    # single row group, i.e. one scan task) before composing and parsing.
+    return spread(documents(spark, sf).select("doc_id", "text", "lang", "source"), "doc_id")
 
 
 def _single(spark: SparkSession, sf: str) -> DataFrame:
