@@ -23,8 +23,14 @@ def java_split_space(c: Column) -> Column:
 
 
 def text_lines(c: Column) -> Column:
-    """Split a text blob into lines on ``\\n`` (``value`` rows of a text scan)."""
-    return F.split(c, "\n", -1)
+    """Split a text blob into the lines a text-file scan would return.
+
+    Lines end at ``\\n``, ``\\r\\n`` or ``\\r``; a terminator at the very end
+    does not start another (empty) line, and an empty text has no lines.
+    """
+    body = F.regexp_replace(c, "(\r\n|\n|\r)\\z", "")
+    return (F.when(c == F.lit(""), F.array().cast("array<string>"))
+             .otherwise(F.split(body, "\r\n|\n|\r", -1)))
 
 
 def column_correction(c: Column) -> Column:

@@ -55,8 +55,10 @@ QUERIES = {
     "global_sum": q_global_sum,
 }
 
-_LINES = ("ln as (select doc_id, cast(generate_subscripts(string_split(text, chr(10)), 1) as bigint) "
-          "as line_no, unnest(string_split(text, chr(10))) as value from documents)")
+_SPLIT_LINES = ("case when text = '' then []::varchar[] else regexp_split_to_array("
+                "regexp_replace(text, '(\r\n|\n|\r)\\z', ''), '\r\n|\n|\r') end")
+_LINES = (f"ln as (select doc_id, cast(generate_subscripts({_SPLIT_LINES}, 1) as bigint) "
+          f"as line_no, unnest({_SPLIT_LINES}) as value from documents)")
 _JSPLIT = ("case when value <> '' and rtrim(value, ' ') = '' then []::varchar[] "
            "else string_split(rtrim(value, ' '), ' ') end")
 

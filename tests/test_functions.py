@@ -42,3 +42,17 @@ def test_scala_list_string(spark):
     df = spark.createDataFrame([(["a", "b"], [])], "x array<string>, y array<string>")
     r = df.select(scala_list_string(F.col("x")).alias("a"), scala_list_string(F.col("y")).alias("b")).first()
     assert (r.a, r.b) == ("List(a, b)", "List()")
+
+
+@pytest.mark.parametrize("text,expected", [
+    ("a\nb", ["a", "b"]),
+    ("a\n", ["a"]),
+    ("a\n\n", ["a", ""]),
+    ("a\r\nb\rc", ["a", "b", "c"]),
+    ("", []),
+    ("\n", [""]),
+])
+def test_text_lines_like_a_text_scan(spark, text, expected):
+    from tessera.functions.strings import text_lines
+    df = spark.createDataFrame([(text,)], "s string")
+    assert df.select(text_lines(F.col("s")).alias("l")).first().l == expected
