@@ -202,10 +202,11 @@ def _unseen_pairs(ratings: DataFrame, sim_table: DataFrame) -> DataFrame:
     """
     ui = _user_item_counts(ratings)
     k = F.count_if(F.col("rated_cnt") > 0).over(Window.partitionBy("userid"))
-    # The replicated liked rows are the big, streamed side: they are
-    # partitioned on the join key after the explode (pinned, so AQE cannot
-    # fold them into one task from the pre-explode size estimate), and the
-    # ranked similarity rows are the per-partition hash-build side.
+    # The replicated liked rows are partitioned on the join key after the
+    # explode (pinned, so AQE cannot fold them into one task from the
+    # pre-explode size estimate) and sort-merge joined: never a broadcast
+    # of a side whose estimate misses the replication, and per key only
+    # one level's similarity rows are buffered.
     liked = spread(ui.withColumn("_k", k).where(F.col("liked_cnt") > 0)
                      .select("userid", F.col("movieid").alias("movieid1"),
                              F.col("liked_cnt").alias("mult"), "_k"),
@@ -214,7 +215,7 @@ def _unseen_pairs(ratings: DataFrame, sim_table: DataFrame) -> DataFrame:
                                 F.explode(F.sequence(F.lit(1), F.col("_k") + 1)).alias("_lvl")),
                    "movieid1", "_lvl")
     lv = Window.partitionBy("movieid1").orderBy(F.col("correlation_factor").desc())
-    ranked = sim_table.withColumn("_lvl", F.dense_rank().over(lv)).hint("shuffle_hash")
+    ranked = sim_table.withColumn("_lvl", F.dense_rank().over(lv)).hint("merge")
     spu = (liked.join(ranked, on=["movieid1", "_lvl"])
                 .where(F.col("movieid1") != F.col("movieid2"))
                 .select("userid", "movieid1", "movieid2", "correlation_factor", "mult"))

@@ -94,5 +94,8 @@ def blocked_self_join(df: DataFrame, key: str, item: str,
     # Pair generation fans out (d² pairs from d rows per key): pin the
     # partition count so AQE does not fold it into a few tasks by input bytes.
     # Skew is already handled by the blocks.
+    # Sort-merge join: row estimates do not see the replication, so a
+    # size-estimated broadcast could ship a hot key's copies; per key the
+    # buffered side holds at most one block (block_size rows) and spills.
     left, right = spread(left, key, "_lb", "_rb"), spread(right, key, "_lb", "_rb")
-    return left.join(right, on=[key, "_lb", "_rb"], how="inner").drop("_lb", "_rb")
+    return left.join(right.hint("merge"), on=[key, "_lb", "_rb"], how="inner").drop("_lb", "_rb")
