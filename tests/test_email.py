@@ -126,3 +126,29 @@ def test_composed_corpus_counts(spark):
     s = E.ingest_stats(E.parse_emails(eml.compose_corpus(docs))).first()
     n = docs.count()
     assert (s.processed, s.failed, s.attachments) == (2 * n, n, n)
+
+
+def test_quoted_printable_and_crlf():
+    r = parse(b"From: a@x.org\r\nContent-Transfer-Encoding: quoted-printable\r\n\r\ncaf=C3=A9 =\r\nok\r\n")
+    assert r["owner"] == "a@x.org" and r["content"] == "café ok\r\n"
+
+
+def test_crlf_multipart():
+    r = parse(MULTI.replace(b"\n", b"\r\n"))
+    assert r["content"] == " P1 <b>P2</b>"
+    assert r["attachments"][0]["content"] == b"hello" and r["attachments"][0]["size"] == 8
+
+
+def test_attachment_name_fallbacks():
+    r = parse(b"From: a@x.org\nContent-Type: multipart/mixed; boundary=Z\n\n"
+              b"--Z\nContent-Type: application/pdf; name=\"by-type.pdf\"\n\nx\n"
+              b"--Z\nContent-Type: text/plain\nContent-Disposition: attachment; "
+              b"filename*=utf-8''na%C3%AFve.txt\n\ny\n--Z--\n")
+    assert [a["name"] for a in r["attachments"]] == ["by-type.pdf", "naïve.txt"]
+    assert r["content"] == ""
+
+
+def test_message_rfc822_part_is_text_not_walked():
+    r = parse(b"From: a@x.org\nContent-Type: multipart/mixed; boundary=Z\n\n"
+              b"--Z\nContent-Type: message/rfc822\n\nFrom: b@y.org\nSubject: in\n\ninner body\n--Z--\n")
+    assert "inner body" in r["content"] and r["attachments"] == []
