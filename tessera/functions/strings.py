@@ -27,10 +27,13 @@ def text_lines(c: Column) -> Column:
 
     Lines end at ``\\n``, ``\\r\\n`` or ``\\r``; a terminator at the very end
     does not start another (empty) line, and an empty text has no lines.
+    Texts without CR take the single-character split (no regex engine).
     """
-    body = F.regexp_replace(c, "(\r\n|\n|\r)\\z", "")
+    lf_body = F.when(c.endswith("\n"), c.substr(F.lit(1), F.length(c) - 1)).otherwise(c)
+    any_body = F.regexp_replace(c, "(\r\n|\n|\r)\\z", "")
     return (F.when(c == F.lit(""), F.array().cast("array<string>"))
-             .otherwise(F.split(body, "\r\n|\n|\r", -1)))
+             .when(F.instr(c, "\r") == 0, F.split(lf_body, "\n", -1))
+             .otherwise(F.split(any_body, "\r\n|\n|\r", -1)))
 
 
 def column_correction(c: Column) -> Column:
