@@ -55,3 +55,10 @@ def test_no_cartesian_or_nested_loop_plans(spark, skewed):
                P.seen_candidates(skewed, P.similarity_table(sim))]:
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_fan_out_shuffles_are_pinned_and_sort_merged(spark, skewed):
+    df = S.pair_sums(skewed, "item_lt_item", block_size=4)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan          # not coalesced by AQE
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin [userid" not in plan
