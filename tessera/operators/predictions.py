@@ -21,7 +21,10 @@ user's rated items (a blocked self-join on user of per-(user, item)
 counts, so a hot user is split into item blocks and duplicate ratings are
 carried as a multiplicity) and then joins the pairs to the similarity
 table on (movieid1, movieid2).  Rows are expanded back to their
-multiplicity only at the end, so the multiset result is unchanged.
+multiplicity only at the end (in spread chunks), so the multiset result is
+unchanged.  The "unseen" path joins only the top ``k + 1`` correlation
+levels of each liked item's similarity list (``k`` = items the user rated),
+which is exact: the user's rated items can empty at most ``k`` levels.
 """
 
 from __future__ import annotations
