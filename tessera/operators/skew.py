@@ -14,7 +14,11 @@ The per-key degree is a window count over the key on the already
 pre-aggregated rows, so a key's group holds one row per distinct item (raw
 duplicates were combined map-side before any shuffle) and both sides of
 the self-join read the same shuffle (exchange reuse): the source is
-scanned once.  No hot-key table is broadcast.
+scanned once.  No hot-key table is broadcast.  Rows are spread out of the
+window task before they are replicated, the replicated sides are shuffled
+into a pinned number of partitions (:func:`spread`) and joined by
+sort-merge, so neither AQE's byte-based coalescing nor an estimate-based
+broadcast can put the fan-out back into a few tasks.
 """
 
 from __future__ import annotations
@@ -27,11 +31,6 @@ from pyspark.sql import functions as F
 DEFAULT_BLOCK_SIZE = 2048
 
 
-def key_degrees(df: DataFrame, key: str, name: str = "_deg") -> DataFrame:
-    """Rows per key, computed with map-side partial aggregation."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
-
-
 def tag_blocks(df: DataFrame, key: str, item: str, block_size: int) -> DataFrame:
     """Add ``_nb`` (number of item blocks of the row's key) and ``_blk``.
 
