@@ -188,7 +188,11 @@ def seen_candidates(ratings: DataFrame, sim_table: DataFrame,
     return _expand(out, "mult")
 
 
-def _unseen_pairs(ratings: DataFrame, sim_table: DataFrame) -> DataFrame:
+LEVEL_BLOCK = 32
+
+
+def _unseen_pairs(ratings: DataFrame, sim_table: DataFrame,
+                  level_block: int = LEVEL_BLOCK) -> DataFrame:
     """(userid, movieid1, movieid2, correlation_factor, mult) of unseen candidates
     that can still be best.
 
@@ -197,11 +201,13 @@ def _unseen_pairs(ratings: DataFrame, sim_table: DataFrame) -> DataFrame:
     excluded candidates are items the user rated (the item itself among
     them), ``k`` distinct items, which can empty at most ``k`` levels — so
     the best unseen candidates lie within the top ``k + 1`` levels, and
-    whole levels are kept (ties included).  Each liked row is replicated
-    once per admissible level and joined on ``(movieid1, level)``, an equi
-    join that also spreads a popular item over its levels.  Assumes
-    ``(movieid1, movieid2)`` is unique in the similarity table, as
-    :func:`tessera.operators.similarity.similarity` produces it.
+    whole levels are kept (ties included).  Levels are grouped into blocks
+    of ``level_block``; each liked row is replicated once per block it
+    needs and joined on ``(movieid1, block)`` with ``level <= k + 1`` as the
+    join condition — an equi join that also spreads a popular item over
+    its blocks.  Assumes ``(movieid1, movieid2)`` is unique in the
+    similarity table, as :func:`tessera.operators.similarity.similarity`
+    produces it.
     """
     ui = _user_item_counts(ratings)
     k = F.count_if(F.col("rated_cnt") > 0).over(Window.partitionBy("userid"))
@@ -209,18 +215,21 @@ def _unseen_pairs(ratings: DataFrame, sim_table: DataFrame) -> DataFrame:
     # explode (pinned, so AQE cannot fold them into one task from the
     # pre-explode size estimate) and sort-merge joined: never a broadcast
     # of a side whose estimate misses the replication, and per key only
-    # one level's similarity rows are buffered.
+    # one level block's similarity rows are buffered.
     liked = spread(ui.withColumn("_k", k).where(F.col("liked_cnt") > 0)
                      .select("userid", F.col("movieid").alias("movieid1"),
                              F.col("liked_cnt").alias("mult"), "_k"),
                    "userid", "movieid1")  # leave the per-user window task first
-    liked = spread(liked.select("userid", "movieid1", "mult",
-                                F.explode(F.sequence(F.lit(1), F.col("_k") + 1)).alias("_lvl")),
-                   "movieid1", "_lvl")
+    last_block = F.floor(F.col("_k") / level_block).cast("long")
+    liked = spread(liked.select("userid", "movieid1", "mult", "_k",
+                                F.explode(F.sequence(F.lit(0).cast("long"), last_block)).alias("_lvb")),
+                   "movieid1", "_lvb")
     lv = Window.partitionBy("movieid1").orderBy(F.col("correlation_factor").desc())
-    ranked = sim_table.withColumn("_lvl", F.dense_rank().over(lv)).hint("merge")
-    spu = (liked.join(ranked, on=["movieid1", "_lvl"])
-                .where(F.col("movieid1") != F.col("movieid2"))
+    ranked = (sim_table.withColumn("_lvl", F.dense_rank().over(lv))
+                       .withColumn("_lvb", F.floor((F.col("_lvl") - 1) / level_block).cast("long"))
+                       .hint("merge"))
+    spu = (liked.join(ranked, on=["movieid1", "_lvb"])
+                .where((F.col("_lvl") <= F.col("_k") + 1) & (F.col("movieid1") != F.col("movieid2")))
                 .select("userid", "movieid1", "movieid2", "correlation_factor", "mult"))
     r = _rated(ratings).where(F.col("rating").isNotNull())
     cond = (spu.userid == r.r_userid) & (spu.movieid2 == r.r_movieid)

@@ -95,3 +95,11 @@ def test_expand_splits_large_multiplicities(spark):
     df = spark.createDataFrame([(1, 5), (2, 1), (3, 10)], "k bigint, mult bigint")
     got = P._expand(df, "mult", chunk=3)
     assert sorted(r.k for r in got.collect()) == [1] * 5 + [2] + [3] * 10
+
+
+def test_unseen_level_blocks_do_not_change_candidates(spark):
+    r = ratings(spark, SF_SMALL)
+    st = P.similarity_table(S.similarity(r))
+    many = rows(P._unseen_pairs(r, st, level_block=2))
+    one = rows(P._unseen_pairs(r, st, level_block=100000))
+    assert many == one and len(many) > 0
