@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from tessera.llm import html, packing, sharding, urls
+from pyspark.sql import functions as F
+
+from tessera.llm import (ann, decontaminate, html, neardup, packing, sharding, toxicity, urls)
 from tessera.llm.common import table
 
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
              ("allow", "com/fr/"), ("block", "com/de/")]
 
 
+def op1_decontamination(spark, sf_dir):
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_url_filter(spark, sf_dir):
     return urls.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -17,18 +23,64 @@ def op3_sharding(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op6_near_duplicates(spark, sf_dir):
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), n=2, percent=80)
+
+
 def op7_html_text(spark, sf_dir):
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op8_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op10_nearest_neighbours(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.expr("vec_id % 50 = 0"), k=5)
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _shingles_sql(name: str, key: str, source: str, n: int) -> str:
+    """CTE ``name(key, g)``: the distinct n-word shingles of each text."""
+    return f"""{name}_w as (select {key}, list_filter(regexp_split_to_array(
+            translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[\\x20\\x09-\\x0D]+'),
+            lambda x: x <> '') as w from {source}),
+        {name} as (select distinct {key}, unnest(case when len(w) = 0 then []
+            when len(w) < {n} then [array_to_string(w, ' ')]
+            else list_transform(range(1, len(w) - {n} + 2),
+                                lambda i: array_to_string(w[i:i + {n - 1}], ' ')) end) as g from {name}_w)"""
+
+
 _RULE_SQL = ", ".join(f"('{v}', '{e.partition('/')[0]}', '/{e.partition('/')[2]}', '{e}')"
                       for v, e in URL_RULES)
 
 ORACLE = {
+    "op1_decontamination": f"""
+        with {_shingles_sql("d", "doc_id", "documents", 5)},
+        {_shingles_sql("b", "item_id", "benchmark", 5)},
+        sizes as (select item_id, count(*) as n_item from b group by item_id)
+        select d.doc_id, b.item_id, n_item, count(*) as n_shared, count(*) / n_item as containment
+        from d join b on d.g = b.g join sizes on sizes.item_id = b.item_id
+        group by d.doc_id, b.item_id, n_item having count(*) * 100 >= n_item * 80""",
+    "op6_near_duplicates": f"""
+        with recursive {_shingles_sql("s", "doc_id", "documents", 2)},
+        sizes as (select doc_id, count(*) as n from s group by doc_id),
+        common as (select a.doc_id as x, b.doc_id as y, count(*) as k
+            from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by x, y),
+        links as (select x, y from common join sizes p on p.doc_id = x join sizes q on q.doc_id = y
+            where 100 * k >= 80 * (p.n + q.n - k)),
+        reach as (select doc_id as x, doc_id as y from documents
+            union select r.x, l.y from reach r join links l on l.x = r.y)
+        select d.doc_id, coalesce(z.n, 0) as n_shingles, min(r.y) as component_id,
+               d.doc_id = min(r.y) as kept
+        from documents d left join sizes z on z.doc_id = d.doc_id join reach r on r.x = d.doc_id
+        group by d.doc_id, z.n""",
     "op2_url_filter": f"""
         with rules(verdict, host, path, rule) as (values {_RULE_SQL}),
         cut as (select page_id, case when strpos(url, '://') > 0
@@ -47,7 +99,9 @@ ORACLE = {
 
 
 def queries():
-    return {f.__name__: f for f in (op2_url_filter, op3_sharding, op7_html_text, op9_packing)}
+    return {f.__name__: f for f in (op1_decontamination, op2_url_filter, op3_sharding,
+                                       op6_near_duplicates, op7_html_text, op8_toxicity, op9_packing,
+                                       op10_nearest_neighbours)}
 
 
 def oracle_sql():
