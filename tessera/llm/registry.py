@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.llm import (ann, decontaminate, html, neardup, packing, sharding, toxicity, urls)
+from tessera.llm import (ann, decontaminate, html, lm, neardup, packing, sharding, substrings,
+                         toxicity, urls)
 from tessera.llm.common import table
 
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
@@ -23,6 +24,16 @@ def op3_sharding(spark, sf_dir):
     return sharding.shard(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op4_language_model(spark, sf_dir):
+    fold = toxicity.remainder("doc_id", 10)
+    return lm.scores(table(spark, sf_dir, "documents"), F.coalesce(fold != 0, F.lit(True)),
+                     F.coalesce(fold == 0, F.lit(False)))
+
+
+def op5_substring_dedup(spark, sf_dir):
+    return substrings.dedup_digest(table(spark, sf_dir, "documents"))
+
+
 def op6_near_duplicates(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), n=2, percent=80)
 
@@ -100,7 +111,7 @@ ORACLE = {
 
 def queries():
     return {f.__name__: f for f in (op1_decontamination, op2_url_filter, op3_sharding,
-                                       op6_near_duplicates, op7_html_text, op8_toxicity, op9_packing,
+                                       op4_language_model, op5_substring_dedup, op6_near_duplicates, op7_html_text, op8_toxicity, op9_packing,
                                        op10_nearest_neighbours)}
 
 
