@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tessera.llm import (ann, decontaminate, html, lm, neardup, packing, sharding, substrings,
                          toxicity, urls)
 from tessera.llm.common import table
@@ -109,10 +110,16 @@ ORACLE = {
 }
 
 
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = (op1_decontamination, op2_url_filter, op3_sharding, op4_language_model, op5_substring_dedup,
+           op6_near_duplicates, op7_html_text, op8_toxicity, op9_packing, op10_nearest_neighbours, pipeline)
+
+
 def queries():
-    return {f.__name__: f for f in (op1_decontamination, op2_url_filter, op3_sharding,
-                                       op4_language_model, op5_substring_dedup, op6_near_duplicates, op7_html_text, op8_toxicity, op9_packing,
-                                       op10_nearest_neighbours)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql():
