@@ -26,6 +26,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,7 +41,6 @@ NEAREST = "query_id long, vec_id long, score double"
 
 def signs(dim: int, table: int, rounds: int = 3):
     """The table's random signs, the same in every process."""
-    import numpy as np
     rng = np.random.Generator(np.random.PCG64([dim, table, 0x5EED]))
     return rng.choice(np.array([-1.0, 1.0]), (rounds, dim))
 
@@ -48,7 +48,6 @@ def signs(dim: int, table: int, rounds: int = 3):
 def rotate(x, table: int):
     """Pseudo-rotation H D3 H D2 H D1 of the rows of ``x``, zero-padded to a
     power of two (scaled by a constant, which does not move the nearest axis)."""
-    import numpy as np
     n, d = x.shape
     size = 1 << max(0, (d - 1).bit_length())
     y = np.zeros((n, size))
@@ -65,7 +64,6 @@ def rotate(x, table: int):
 
 def buckets(x, table: int):
     """Nearest signed axis of each row: axis number, plus ``size`` if negative."""
-    import numpy as np
     y = rotate(x, table)
     axis = np.abs(y).argmax(axis=1)
     return axis + np.where(y[np.arange(len(y)), axis] < 0, y.shape[1], 0)
@@ -73,14 +71,12 @@ def buckets(x, table: int):
 
 def probe_order(x, table: int, probes: int):
     """The ``probes`` nearest signed axes of each row, nearest first."""
-    import numpy as np
     y = rotate(x, table)
     return np.argsort(-np.concatenate((y, -y), axis=1), axis=1, kind="stable")[:, :probes]
 
 
 def _by_dimension(ids, vectors) -> dict:
     """dimension -> (ids, float64 matrix) of the usable vectors."""
-    import numpy as np
     found: dict[int, tuple[list, list]] = {}
     for i, v in zip(ids, vectors, strict=True):
         if i is None or v is None or len(v) == 0 or any(c is None for c in v):
@@ -94,7 +90,6 @@ def _by_dimension(ids, vectors) -> dict:
 
 
 def _norms(x):
-    import numpy as np
     # scale first: squares of very large or small components stay finite
     top = np.abs(x).max(axis=1, keepdims=True)
     return top[:, 0] * np.sqrt(((x / top) ** 2).sum(axis=1))
@@ -102,7 +97,6 @@ def _norms(x):
 
 def _search(queries_bc, k: int, tables: int, share: float):
     def run(batches: Iterator) -> Iterator:
-        import numpy as np
         import pyarrow as pa
         prepared = {}
         for d, (ids, q) in queries_bc.value.items():

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 
+import numpy as np
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,7 +72,6 @@ def words(text: str | None) -> list[bytes]:
 
 def mix64(x):
     """Finaliser of splitmix64 on a uint64 array (a fixed bijection)."""
-    import numpy as np
     x = x ^ (x >> np.uint64(30))
     x = x * np.uint64(0xBF58476D1CE4E5B9)
     x = x ^ (x >> np.uint64(27))
@@ -85,7 +85,6 @@ def shingle_hashes(ws: list[bytes], n: int, memo: WordHash):
     A text with fewer than ``n`` words has its whole word sequence as its
     only shingle; a text without words has none.
     """
-    import numpy as np
     if not ws:
         return np.empty(0, np.uint64)
     h = np.fromiter(map(memo.__getitem__, ws), np.uint64, len(ws))

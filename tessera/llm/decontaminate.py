@@ -31,6 +31,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,7 +45,6 @@ BITS = 1 << 26
 def _shingles(n: int, filter_bc):
     """(id, text) rows -> (id, hash, shingle) rows, distinct within a text."""
     def run(batches: Iterator) -> Iterator:
-        import numpy as np
         import pyarrow as pa
         bits = None if filter_bc is None else np.frombuffer(filter_bc.value, np.uint64)
         memo = WordHash()
@@ -81,7 +81,6 @@ def _explode(df: DataFrame, key: str, text: str, n: int, filter_bc=None) -> Data
 
 def _bit_array(items: DataFrame) -> bytes:
     """The items' hashes as a bit array: at most ``BITS / 64`` rows collected."""
-    import numpy as np
     bits = np.zeros(BITS // 64, np.uint64)
     p = F.col("h").bitwiseAND(F.lit(BITS - 1))
     rows = (items.select(F.shiftright(p, 6).alias("w"), F.expr(f"shiftleft(1L, cast(h & 63 as int))").alias("b"))

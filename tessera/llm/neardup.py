@@ -18,7 +18,9 @@
    the bucket's smallest member, and confirmed links are joined into
    components.  Buckets whose members still lie in several components then
    compare each member outside the bucket's largest component with the
-   members of other components.  After that every two members of a bucket are
+   members of other components, unless their sizes or 1-bit signatures
+   of 1,024 coordinates rule the pair out (a link is missed so once in three
+   million).  After that every two members of a bucket are
    connected or have been compared, so no link between components is lost.
 5. A comparison counts common shingles of the full sets.
 
@@ -31,42 +33,39 @@ component; rows that share an id are judged by their own texts.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WordHash, shingle_hashes, ship, stage, words
+from tessera.llm.common import WordHash, mix64, shingle_hashes, ship, stage, words
 from tessera.llm.components import components
 
 COORDS, ROWS = 180, 5
+SIGNATURE = 1024
 #: Shingles sketched at a time in a task; a longer text is a batch of its own.
 BATCH = 400_000
 BITS = 1 << 26
 
 
-def _seeds():
-    import numpy as np
+def _seeds(coords: int):
+    return mix64(np.arange(1, 2 * coords + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
-    from tessera.llm.common import mix64
-    return mix64(np.arange(1, 2 * COORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
-
-def sketch(hashes, bounds):
+def sketch(hashes, bounds, coords: int = COORDS):
     """Sketches of the sets ``hashes[bounds[i]:bounds[i+1]]`` (none empty)."""
-    import numpy as np
-
-    from tessera.llm.common import mix64
-    n, seeds, top = len(bounds) - 1, _seeds(), np.iinfo(np.uint64).max
-    out = np.full((n, COORDS), top, np.uint64)
+    n, seeds, top = len(bounds) - 1, _seeds(coords), np.iinfo(np.uint64).max
+    out = np.full((n, coords), top, np.uint64)
     flat = out.reshape(-1)
     owner = np.repeat(np.arange(n), np.diff(bounds))
     low = np.uint64(0xFFFFFFFF)
-    for i in range(2 * COORDS):
+    for i in range(2 * coords):
         r = mix64(hashes ^ seeds[i])
         value = (np.uint64(i) << np.uint64(32)) | (r & low)
-        place = ((r >> np.uint64(32)) * np.uint64(COORDS) >> np.uint64(32)).astype(np.int64) \
-            if i < COORDS else i - COORDS
-        np.minimum.at(flat, owner * COORDS + place, value)
+        place = ((r >> np.uint64(32)) * np.uint64(coords) >> np.uint64(32)).astype(np.int64) \
+            if i < coords else i - coords
+        np.minimum.at(flat, owner * coords + place, value)
         open_ = (out == top).any(axis=1)
         if not open_.any():
             break
@@ -76,10 +75,22 @@ def sketch(hashes, bounds):
     return out
 
 
-def _bands(sketches):
-    import numpy as np
+def signature(sets):
+    """``SIGNATURE`` bits per set, one of each coordinate of a wide sketch, as
+    longs: bits agree with probability (1 + similarity) / 2."""
+    bounds = np.concatenate(([0], np.cumsum([len(x) for x in sets])))
+    bits = mix64(sketch(np.concatenate(sets), bounds, SIGNATURE)) & np.uint64(1)
+    return np.packbits(bits.astype(np.uint8), axis=1).view(np.int64)
+
+
+def _differ(percent: int) -> int:
+    """Signature bits in which a pair at the similarity may differ at most:
+    five standard deviations over the mean (a miss in 3 million pairs)."""
+    q = (1 - percent / 100) / 2
+    return int(SIGNATURE * q + 5 * (SIGNATURE * q * (1 - q)) ** 0.5)
 
-    from tessera.llm.common import mix64
+
+def _bands(sketches):
     parts = sketches.reshape(len(sketches), COORDS // ROWS, ROWS)
     key = np.broadcast_to(mix64(np.arange(parts.shape[1], dtype=np.uint64) + np.uint64(77)), parts.shape[:2]).copy()
     for j in range(ROWS):
@@ -92,7 +103,6 @@ def _sets(n: int):
     def run(batches: Iterator) -> Iterator:
         import hashlib
 
-        import numpy as np
         import pyarrow as pa
         memo = WordHash()
         width = COORDS // ROWS
@@ -126,12 +136,10 @@ def _sets(n: int):
 
 
 def _chosen_sets(n: int, bits_bc):
-    """(id, text) -> (id, shingle hashes) for ids in the bit array."""
+    """(id, text) -> (id, shingle hashes, signature) for ids in the bit array."""
     def run(batches: Iterator) -> Iterator:
-        import numpy as np
         import pyarrow as pa
 
-        from tessera.llm.common import mix64
         bits, memo = np.frombuffer(bits_bc.value, np.uint64), WordHash()
         for batch in batches:
             ids = batch.column(0)
@@ -139,23 +147,28 @@ def _chosen_sets(n: int, bits_bc):
             at = np.flatnonzero((bits[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63))) & np.uint64(1))
             for lo in range(0, len(at), 256):
                 part = pa.array(at[lo:lo + 256], pa.int64())
-                sets = [np.unique(shingle_hashes(words(t), n, memo)).view(np.int64)
+                sets = [np.unique(shingle_hashes(words(t), n, memo))
                         for t in batch.column(1).take(part).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(part), pa.ListArray.from_arrays(
-                        pa.array(np.concatenate(([0], np.cumsum([len(s) for s in sets]))), pa.int32()),
-                        pa.array(np.concatenate(sets)))], names=["_id", "s"])
+                full = np.flatnonzero([len(s) for s in sets])  # an id may repeat without words
+                part, sets = part.take(pa.array(full)), [sets[i] for i in full]
+                if sets:
+                    sig = signature(sets)
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.take(part), pa.ListArray.from_arrays(
+                            pa.array(np.concatenate(([0], np.cumsum([len(s) for s in sets]))), pa.int32()),
+                            pa.array(np.concatenate(sets).view(np.int64))),
+                         pa.ListArray.from_arrays(
+                             pa.array(np.arange(0, sig.size + 1, sig.shape[1]), pa.int32()),
+                             pa.array(sig.reshape(-1)))], names=["_id", "s", "sig"])
     return run
 
 
 def _id_bits(ids: DataFrame) -> bytes:
     """Ids as a hashed bit array of fixed size: a filter that lets through
     every listed id (and few others; the join that follows is exact)."""
-    import numpy as np
     import pyarrow as pa
 
     def bits(batches):
-        from tessera.llm.common import mix64
         for batch in batches:
             p = mix64(batch.column(0).to_numpy().view(np.uint64)) & np.uint64(BITS - 1)
             w, b = (p >> np.uint64(6)).astype(np.int64), np.uint64(1) << (p & np.uint64(63))
@@ -167,13 +180,16 @@ def _id_bits(ids: DataFrame) -> bytes:
     return out.tobytes()
 
 
-def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+def _sets_of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """``_id, s, sig``: full shingle sets and signatures of the listed documents."""
+    ids = ids.distinct()
+    bc = docs.sparkSession.sparkContext.broadcast(_id_bits(ids))
+    return stage(docs.mapInArrow(_chosen_sets(n, bc), "_id long, s array<long>, sig array<long>")
+                 .join(ids, "_id", "left_semi"), "sets")
+
+
+def _verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) of class representatives whose full sets are similar."""
-    wanted = pairs.select(F.col("u").alias("_id")).unionByName(pairs.select(F.col("v").alias("_id"))).distinct()
-    bc = docs.sparkSession.sparkContext.broadcast(_id_bits(wanted))
-    sets = (docs.mapInArrow(_chosen_sets(n, bc), "_id long, s array<long>")
-            .join(wanted, "_id", "left_semi"))
-    sets = stage(sets, "sets")
     left = sets.select(F.col("_id").alias("u"), F.col("s").alias("su"))
     right = sets.select(F.col("_id").alias("v"), F.col("s").alias("sv"))
     both = F.size(F.array_intersect("su", "sv"))
@@ -207,7 +223,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "
             .join(classes.groupBy(F.col("rep").alias("u")).agg(F.min("n").alias("nu"), F.max("n").alias("mu")), "u")
             .where(size_fits("nu", "nv") | size_fits("mu", "nv")).select("u", "v"))
     star = stage(star, "star-pairs")
-    links = stage(_verified(named, classes, star, n, percent), "links")
+    ends = star.select(F.col("u").alias("_id")).unionByName(star.select(F.col("v").alias("_id")))
+    links = stage(_verified(_sets_of(named, ends, n), star, percent), "links")
     comp = stage(components(links), "components")
 
     # Round 2: buckets that still hold several components.
@@ -220,16 +237,24 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "
     sizes = now.groupBy("band", "component").agg(F.count("*").alias("c"))
     largest = sizes.groupBy("band").agg(F.max(F.struct("c", "component")).alias("top"))
     now = now.join(largest.select("band", F.col("top.component").alias("main")), "band")
-    stray = now.where("component <> main").select("band", F.col("rep").alias("a"), F.col("n").alias("na"),
-                                                  F.col("component").alias("ca"))
-    rest = now.select("band", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    cross = (stray.join(rest, "band").where((F.col("ca") != F.col("cb")) & (F.col("a") != F.col("b"))
-                                            & size_fits("na", "nb"))
-             .select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
+    # Wide signatures rule out pairs well below the threshold; the others are
+    # confirmed on the full sets.
+    sets = _sets_of(named, now.select(F.col("rep").alias("_id")), n)
+    now = stage(now.join(sets.select(F.col("_id").alias("rep"), "sig"), "rep")
+                .select("band", "rep", "n", "sig", "component", "main"), "cross-members")
+    stray = now.where("component <> main").select("band", *[F.col(c).alias(f"{c}_a") for c in
+                                                            ("rep", "n", "sig", "component")])
+    rest = now.select("band", *[F.col(c).alias(f"{c}_b") for c in ("rep", "n", "sig", "component")])
+    differ = reduce(lambda a, b: a + b, [F.bit_count(F.col("sig_a")[i].bitwiseXOR(F.col("sig_b")[i]))
+                                         for i in range(SIGNATURE // 64)])
+    may_link = size_fits("n_a", "n_b") & (differ <= _differ(percent))
+    cross = (stray.join(rest, (stray["band"] == rest["band"]) & (F.col("component_a") != F.col("component_b"))
+                        & (F.col("rep_a") != F.col("rep_b")) & may_link)
+             .select(F.least("rep_a", "rep_b").alias("u"), F.greatest("rep_a", "rep_b").alias("v")).distinct()
              .join(star, ["u", "v"], "left_anti"))
     cross = stage(cross, "cross-pairs")
     if not cross.isEmpty():
-        links = stage(links.unionByName(_verified(named, classes, cross, n, percent)), "all-links")
+        links = stage(links.unionByName(_verified(sets, cross, percent)), "all-links")
         comp = stage(components(links), "components")
 
     found = labelled(classes.select("set_key", "rep"), comp).select("set_key", "component")

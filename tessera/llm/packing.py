@@ -27,6 +27,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
@@ -68,7 +69,6 @@ class Tokens(dict):
                                          mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def _pack(self, text: str) -> bytes:
-        import numpy as np
         return np.array(self._encode(text), "<u4").tobytes()
 
     def __missing__(self, chunk: str) -> bytes:
@@ -169,7 +169,6 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
 
 def _slot(segments, length: Column, rank: Column) -> Column:
     """Range lookup of (length, rank) in the segments, in the tasks."""
-    import numpy as np
     seg = np.array(segments or [(0, 0, 0, 0, 0)], np.int64)
     seg = seg[np.lexsort((seg[:, 1], seg[:, 0]))]
     span = int(seg[:, 1].max() + seg[:, 2].max() + 1)

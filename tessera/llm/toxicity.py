@@ -36,6 +36,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -158,7 +159,6 @@ def features(text: str | None, memo: Memo) -> tuple[float, float, float]:
 
 def _logistic(x, y, ridge: float = 1e-2, steps: int = 50):
     """Weights of a ridge logistic regression by Newton's method."""
-    import numpy as np
     x = np.column_stack([np.ones(len(x)), x])
     w = np.zeros(x.shape[1])
     for _ in range(steps):
