@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 
 import numpy as np
@@ -31,9 +32,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     executors see, never a recomputation.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, f"llm-{name}")
+    path, schema = scratch_path(spark, f"llm-{name}"), df.schema
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Let the cleaner drop the shuffle files of plans nobody holds any more,
+    now instead of at the driver's next full collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def ascii_lower(col: Column) -> Column:
