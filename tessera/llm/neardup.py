@@ -18,9 +18,8 @@
    the bucket's smallest member, and confirmed links are joined into
    components.  Buckets whose members still lie in several components then
    compare each member outside the bucket's largest component with the
-   members of other components, unless their sizes or 1-bit signatures
-   of 1,024 coordinates rule the pair out (a link is missed so once in three
-   million).  After that every two members of a bucket are
+   members of other components, unless their sizes or an exact upper bound
+   of their common shingles rule a link out.  After that every two members of a bucket are
    connected or have been compared, so no link between components is lost.
 5. A comparison counts common shingles of the full sets.
 
@@ -33,17 +32,15 @@ component; rows that share an id are judged by their own texts.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import WordHash, mix64, shingle_hashes, ship, stage, words
 from tessera.llm.components import components
 
 COORDS, ROWS = 180, 5
-SIGNATURE = 1024
 #: Shingles sketched at a time in a task; a longer text is a batch of its own.
 BATCH = 400_000
 BITS = 1 << 26
@@ -75,21 +72,6 @@ def sketch(hashes, bounds, coords: int = COORDS):
     return out
 
 
-def signature(sets):
-    """``SIGNATURE`` bits per set, one of each coordinate of a wide sketch, as
-    longs: bits agree with probability (1 + similarity) / 2."""
-    bounds = np.concatenate(([0], np.cumsum([len(x) for x in sets])))
-    bits = mix64(sketch(np.concatenate(sets), bounds, SIGNATURE)) & np.uint64(1)
-    return np.packbits(bits.astype(np.uint8), axis=1).view(np.int64)
-
-
-def _differ(percent: int) -> int:
-    """Signature bits in which a pair at the similarity may differ at most:
-    five standard deviations over the mean (a miss in 3 million pairs)."""
-    q = (1 - percent / 100) / 2
-    return int(SIGNATURE * q + 5 * (SIGNATURE * q * (1 - q)) ** 0.5)
-
-
 def _bands(sketches):
     parts = sketches.reshape(len(sketches), COORDS // ROWS, ROWS)
     key = np.broadcast_to(mix64(np.arange(parts.shape[1], dtype=np.uint64) + np.uint64(77)), parts.shape[:2]).copy()
@@ -136,7 +118,7 @@ def _sets(n: int):
 
 
 def _chosen_sets(n: int, bits_bc):
-    """(id, text) -> (id, shingle hashes, signature) for ids in the bit array."""
+    """(id, text) -> (id, shingle hashes) for ids in the bit array."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -152,14 +134,10 @@ def _chosen_sets(n: int, bits_bc):
                 full = np.flatnonzero([len(s) for s in sets])  # an id may repeat without words
                 part, sets = part.take(pa.array(full)), [sets[i] for i in full]
                 if sets:
-                    sig = signature(sets)
                     yield pa.RecordBatch.from_arrays(
                         [ids.take(part), pa.ListArray.from_arrays(
                             pa.array(np.concatenate(([0], np.cumsum([len(s) for s in sets]))), pa.int32()),
-                            pa.array(np.concatenate(sets).view(np.int64))),
-                         pa.ListArray.from_arrays(
-                             pa.array(np.arange(0, sig.size + 1, sig.shape[1]), pa.int32()),
-                             pa.array(sig.reshape(-1)))], names=["_id", "s", "sig"])
+                            pa.array(np.concatenate(sets).view(np.int64)))], names=["_id", "s"])
     return run
 
 
@@ -180,11 +158,31 @@ def _id_bits(ids: DataFrame) -> bytes:
     return out.tobytes()
 
 
+def _common_with_lead(batches: Iterator) -> Iterator:
+    """(lead, rep, lead's set, rep's set) -> (lead, rep, bits): which shingles
+    of the lead the rep has, one bit each."""
+    import pyarrow as pa
+    for batch in batches:
+        of_lead, of_rep = batch.column(2), batch.column(3)
+        bits = []
+        for i in range(batch.num_rows):
+            a, b = of_lead[i].values.to_numpy(), of_rep[i].values.to_numpy()
+            has = np.zeros(-(-len(a) // 64) * 64, np.uint8)
+            has[:len(a)] = np.isin(a, b, assume_unique=True)
+            bits.append(np.packbits(has).view(np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(bits, pa.list_(pa.int64()))], names=["lead", "rep", "bits"])
+
+
+def _ones(bits) -> Column:
+    return F.aggregate(bits, F.lit(0), lambda total, x: total + F.bit_count(x))
+
+
 def _sets_of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
-    """``_id, s, sig``: full shingle sets and signatures of the listed documents."""
+    """``_id, s``: the full shingle sets of the listed documents."""
     ids = ids.distinct()
     bc = docs.sparkSession.sparkContext.broadcast(_id_bits(ids))
-    return stage(docs.mapInArrow(_chosen_sets(n, bc), "_id long, s array<long>, sig array<long>")
+    return stage(docs.mapInArrow(_chosen_sets(n, bc), "_id long, s array<long>")
                  .join(ids, "_id", "left_semi"), "sets")
 
 
@@ -237,17 +235,27 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "
     sizes = now.groupBy("band", "component").agg(F.count("*").alias("c"))
     largest = sizes.groupBy("band").agg(F.max(F.struct("c", "component")).alias("top"))
     now = now.join(largest.select("band", F.col("top.component").alias("main")), "band")
-    # Wide signatures rule out pairs well below the threshold; the others are
-    # confirmed on the full sets.
-    sets = _sets_of(named, now.select(F.col("rep").alias("_id")), n)
-    now = stage(now.join(sets.select(F.col("_id").alias("rep"), "sig"), "rep")
-                .select("band", "rep", "n", "sig", "component", "main"), "cross-members")
-    stray = now.where("component <> main").select("band", *[F.col(c).alias(f"{c}_a") for c in
-                                                            ("rep", "n", "sig", "component")])
-    rest = now.select("band", *[F.col(c).alias(f"{c}_b") for c in ("rep", "n", "sig", "component")])
-    differ = reduce(lambda a, b: a + b, [F.bit_count(F.col("sig_a")[i].bitwiseXOR(F.col("sig_b")[i]))
-                                         for i in range(SIGNATURE // 64)])
-    may_link = size_fits("n_a", "n_b") & (differ <= _differ(percent))
+    # What two members share is at most what they share of the bucket's lead,
+    # counted on bits, plus the lesser number of their other shingles that more
+    # than one document holds.  The bound is exact and close: other shingles of
+    # edited copies are mostly their own.
+    sets = _sets_of(named, now.select(F.explode(F.array("lead", "rep")).alias("_id")), n)
+    lonely = (sets.select("_id", F.explode("s").alias("h")).distinct().groupBy("h")
+              .agg(F.count("*").alias("c"), F.min("_id").alias("rep")).where("c = 1")
+              .groupBy("rep").agg(F.count("*").alias("lonely")))
+    of_lead = (now.select("lead", "rep").distinct()
+               .join(sets.select(F.col("_id").alias("lead"), F.col("s").alias("sl")), "lead")
+               .join(sets.select(F.col("_id").alias("rep"), F.col("s").alias("sr")), "rep")
+               .select("lead", "rep", "sl", "sr")
+               .mapInArrow(_common_with_lead, "lead long, rep long, bits array<long>"))
+    now = now.join(of_lead, ["lead", "rep"]).join(lonely, "rep", "left").withColumn(
+        "other", F.col("n") - _ones(F.col("bits")) - F.coalesce("lonely", F.lit(0)))
+    now = stage(now.select("band", "rep", "n", "bits", "other", "component", "main"), "cross-members")
+    cols = ("rep", "n", "bits", "other", "component")
+    stray = now.where("component <> main").select("band", *[F.col(c).alias(f"{c}_a") for c in cols])
+    rest = now.select("band", *[F.col(c).alias(f"{c}_b") for c in cols])
+    shared = _ones(F.zip_with("bits_a", "bits_b", lambda a, b: a.bitwiseAND(b))) + F.least("other_a", "other_b")
+    may_link = size_fits("n_a", "n_b") & ((100 + percent) * shared >= percent * (F.col("n_a") + F.col("n_b")))
     cross = (stray.join(rest, (stray["band"] == rest["band"]) & (F.col("component_a") != F.col("component_b"))
                         & (F.col("rep_a") != F.col("rep_b")) & may_link)
              .select(F.least("rep_a", "rep_b").alias("u"), F.greatest("rep_a", "rep_b").alias("v")).distinct()
