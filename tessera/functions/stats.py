@@ -10,18 +10,21 @@ def pearson(n: Column, dot: Column, s1: Column, s2: Column, q1: Column, q2: Colu
     """Pearson correlation from pair sums.
 
     ``(n·Σxy − Σx·Σy) / (√(n·Σx² − (Σx)²) · √(n·Σy² − (Σy)²))``.
-    ``try_divide`` yields NULL instead of raising under ANSI mode when the
-    denominator is zero (zero variance); callers drop NULL and NaN rows.
+    Division follows IEEE 754 in ANSI mode, too: over a zero denominator (zero
+    variance) a non-zero numerator, as rounding can leave it, gives ±Infinity
+    and a zero one NaN.  Callers drop NaN and keep infinities.
     Spark's ``corr`` aggregate is not used: it raises on zero variance.
     """
     n = n.cast("double")
     num = n * dot - s1 * s2
     den = F.sqrt(n * q1 - s1 * s1) * F.sqrt(n * q2 - s2 * s2)
-    return F.try_divide(num, den)
+    inf = F.lit(float("inf"))
+    by_zero = F.when(num > 0, inf).when(num < 0, -inf).otherwise(F.lit(float("nan")))
+    return F.when(den == 0, F.when(F.isnan(num), num).otherwise(by_zero)).otherwise(F.try_divide(num, den))
 
 
-def is_finite_number(c: Column) -> Column:
-    """True when ``c`` is neither NULL nor NaN."""
+def is_defined_number(c: Column) -> Column:
+    """True when ``c`` is neither NULL nor NaN; infinities are numbers."""
     return c.isNotNull() & ~F.isnan(c)
 
 

@@ -41,7 +41,8 @@ PARSED_DDL = (
     "path string, error string, owner string, subject string, `from` array<string>, "
     "replyTo array<string>, toRecipients array<string>, ccRecipients array<string>, "
     "bccRecipients array<string>, content string, messageId string, contentId string, "
-    "attachments array<struct<name:string,contentType:string,content:binary,size:bigint>>")
+    "attachments array<struct<name:string,contentType:string,content:binary,size:bigint>>, "
+    "skippedAttachments int")
 
 # Columns of the message table, in constructor order, then the derived ones.
 MESSAGE_COLUMNS = ["owner", "subject", "from", "replyTo", "sentDate", "toRecipients",
@@ -54,6 +55,7 @@ EQUALITY_COLUMNS = ["id", "isReplica", "owner", "subject", "from", "replyTo", "s
                     "messageId", "contentId", "attachments"]
 
 _FOLD = re.compile(r"\r?\n[ \t]+")
+_BLANK = re.compile(rb"\A\r?\n|\r?\n\r?\n")
 
 
 # ------------------------------------------------------------ Python side ---
@@ -68,7 +70,8 @@ def _addresses(msg, name: str):
     if not vals:
         return None
     out = []
-    for personal, addr in getaddresses([",".join(_unfold(v) for v in vals)]):
+    # lenient: commas in comments and names do not make the list invalid
+    for personal, addr in getaddresses([",".join(_unfold(v) for v in vals)], strict=False):
         if not addr and not personal:
             continue
         out.append(formataddr((personal, addr)) if personal else addr)
@@ -86,39 +89,74 @@ def _decoded_text(value):
         return s
 
 
-def _raw_body(part) -> bytes:
-    """Body bytes of a (nested) multipart part as they appear in the file."""
-    data = part.as_bytes()
-    for sep in (b"\r\n\r\n", b"\n\n"):
-        i = data.find(sep)
-        if i >= 0:
-            return data[i + len(sep):]
-    return b""
+def _body_of(data: bytes) -> bytes:
+    """What follows the first empty line of an entity's bytes."""
+    m = _BLANK.search(data)
+    return data[m.end():] if m else b""
 
 
-def _payload_bytes(part) -> bytes:
-    if part.is_multipart():
-        return _raw_body(part)
-    return part.get_payload(decode=True) or b""
+def _raw_parts(data: bytes, boundary: str) -> list[bytes]:
+    """The bytes of each top-level part, exactly as they stand in the file."""
+    mark = b"--" + boundary.encode("ascii", "surrogateescape")
+    lines = re.compile(rb"(?:^|\r?\n)" + re.escape(mark) + rb"(--)?[ \t]*(?=\r?\n|\Z)")
+    parts, start = [], None
+    for m in lines.finditer(_body_of(data)):
+        if start is not None:
+            parts.append(m.string[start:m.start()])
+        if m[1]:
+            return parts
+        eol = re.compile(rb"\r?\n").match(m.string, m.end())
+        start = eol.end() if eol else m.end()
+    if start is not None:
+        parts.append(_body_of(data)[start:])
+    return parts
 
 
-def _encoded_size(part) -> int:
-    raw = part.get_payload(decode=False)
-    if isinstance(raw, str):
-        return len(raw.encode("ascii", "surrogateescape"))
-    return len(_raw_body(part))
+def _decoded(part, raw: bytes) -> bytes:
+    """A part's body: decoded, or for parts that hold parts or a message, as
+    it stands in the file."""
+    return _body_of(raw) if part.is_multipart() else part.get_payload(decode=True) or b""
 
 
-def _text(part) -> str:
-    return _payload_bytes(part).decode("utf-8", "replace")
+def _encoded_size(part, raw: bytes) -> int:
+    body = part.get_payload(decode=False)
+    if isinstance(body, str):
+        return len(body.encode("ascii", "surrogateescape"))
+    return len(_body_of(raw))
 
 
-def _attachment(part, name: str):
+def _text(part, raw: bytes) -> str:
+    return _decoded(part, raw).decode("utf-8", "replace")
+
+
+def _attachment(part, raw: bytes, name: str):
     ctype = part.get("Content-Type")
     return {"name": name,
             "contentType": _unfold(ctype) if ctype is not None else "text/plain",
-            "content": part.get_payload(decode=True) or b"",
-            "size": _encoded_size(part)}
+            "content": _decoded(part, raw),
+            "size": _encoded_size(part, raw)}
+
+
+def _header(msg, name: str):
+    """A header's text as written, from its first non-blank character on;
+    8-bit bytes are read one character each (ISO 8859-1)."""
+    for key, value in msg.raw_items():
+        if key.lower() == name.lower():
+            raw = str(value).encode("utf-8", "surrogateescape")
+            text = raw.decode("latin-1") if any("\udc80" <= c <= "\udcff" for c in str(value)) else str(value)
+            return text.lstrip(" \t\r\n").rstrip("\r\n")
+    return None
+
+
+def _valid_text(v):
+    """Strings inside ``v`` as valid Unicode; bytes and numbers untouched."""
+    if isinstance(v, str):
+        return v.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
+    if isinstance(v, list):
+        return [_valid_text(x) for x in v]
+    if isinstance(v, dict):
+        return {k: _valid_text(x) for k, x in v.items()}
+    return v
 
 
 def parse_message(path: str, data: bytes) -> dict:
@@ -133,37 +171,34 @@ def parse_message(path: str, data: bytes) -> dict:
         if not frm:
             raise ValueError("message has no From address")
         reply = _addresses(msg, "Reply-To") or frm
-        content, attachments = "", []
+        content, attachments, skipped = "", [], 0
         body = msg.get_payload()
         if msg.get_content_maintype() == "multipart" and isinstance(body, list):
-            for part in body:
-                name = part.get_filename()
-                if name is None:
-                    content += " " + _text(part)
-                else:
-                    try:
-                        attachments.append(_attachment(part, name))
-                    except Exception:  # noqa: BLE001 - unreadable attachment is skipped
-                        pass
+            raws = _raw_parts(data, msg.get_boundary() or "")
+            if len(raws) != len(body):  # broken delimiters: as the parser saw them
+                raws = [part.as_bytes() for part in body]
+            parts = list(zip(body, raws, strict=True))
         else:
-            name = msg.get_filename()
+            parts = [(msg, data or b"")]
+        for part, raw in parts:
+            name = part.get_filename()
             if name is None:
-                content = _text(msg)
+                content += (" " if part is not msg else "") + _text(part, raw)
             else:
                 try:
-                    attachments.append(_attachment(msg, name))
-                except Exception:  # noqa: BLE001
-                    pass
-        return {"path": path, "error": None, "owner": frm[-1],
+                    attachments.append(_attachment(part, raw, name))
+                except Exception:  # noqa: BLE001 - an unreadable attachment is skipped and counted
+                    skipped += 1
+        return _valid_text({"path": path, "error": None, "owner": frm[-1],
                 "subject": _decoded_text(msg.get("Subject")),
                 "from": frm, "replyTo": reply,
                 "toRecipients": _addresses(msg, "To"),
                 "ccRecipients": _addresses(msg, "Cc"),
                 "bccRecipients": _addresses(msg, "Bcc"),
                 "content": content,
-                "messageId": msg.get("Message-ID"),
-                "contentId": msg.get("Content-ID"),
-                "attachments": attachments}
+                "messageId": _header(msg, "Message-ID"),
+                "contentId": _header(msg, "Content-ID"),
+                "attachments": attachments, "skippedAttachments": skipped})
     except Exception:  # noqa: BLE001 - any failure rejects the file, never the task
         return {"path": path, "error": ERROR_PREFIX + str(path)}
 
@@ -177,7 +212,8 @@ def _arrow_schema():
                       ("subject", pa.string()), ("from", strs), ("replyTo", strs),
                       ("toRecipients", strs), ("ccRecipients", strs), ("bccRecipients", strs),
                       ("content", pa.string()), ("messageId", pa.string()),
-                      ("contentId", pa.string()), ("attachments", att)])
+                      ("contentId", pa.string()), ("attachments", att),
+                      ("skippedAttachments", pa.int32())])
 
 
 def _parse_batches(batches: Iterator, out_rows: int = 256) -> Iterator:
@@ -190,8 +226,22 @@ def _parse_batches(batches: Iterator, out_rows: int = 256) -> Iterator:
         for start in range(0, len(paths), out_rows):
             rows = [parse_message(paths[i], contents[i].as_py())
                     for i in range(start, min(start + out_rows, len(paths)))]
-            yield pa.RecordBatch.from_pylist([{k: r.get(k) for k in names} for r in rows],
-                                             schema=schema)
+            rows = [{k: r.get(k) for k in names} for r in rows]
+            try:
+                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+            except (pa.ArrowException, UnicodeError, TypeError, ValueError):
+                for r in rows:  # only the row that cannot be stored is rejected
+                    yield _one_row(r, schema)
+
+
+def _one_row(row: dict, schema):
+    import pyarrow as pa
+    try:
+        return pa.RecordBatch.from_pylist([row], schema=schema)
+    except (pa.ArrowException, UnicodeError, TypeError, ValueError):
+        path = str(row["path"])
+        empty = dict.fromkeys(schema.names)
+        return pa.RecordBatch.from_pylist([empty | {"path": path, "error": ERROR_PREFIX + path}], schema=schema)
 
 
 # ------------------------------------------------------------- Spark side ---
@@ -211,17 +261,13 @@ def _ship_by_value() -> None:
 def parse_emails(files: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """``(path, content)`` → parsed rows (see :data:`PARSED_DDL`).
 
-    Parsing is per-row Python work, so it needs the rows spread over the
-    cluster: when the input has fewer partitions than ``min_partitions``
-    (default: the default parallelism) — a single large file or row
-    group — it is round-robin repartitioned first.  A file-tree scan with
-    enough splits is parsed where it was read, without a shuffle.
+    Rows are parsed where they are; ``min_partitions`` spreads them first,
+    for an input of a few large splits.  Building the plan runs no job.
     """
     _ship_by_value()
     files = files.select("path", "content")
-    want = min_partitions or files.sparkSession.sparkContext.defaultParallelism
-    if files.rdd.getNumPartitions() < want:
-        files = files.repartition(want)
+    if min_partitions:
+        files = files.repartition(min_partitions)
     return files.mapInArrow(_parse_batches, PARSED_DDL)
 
 
@@ -265,12 +311,14 @@ def rejects(parsed: DataFrame) -> DataFrame:
 
 
 def ingest_stats(parsed: DataFrame) -> DataFrame:
-    """``(processed, failed, attachments)`` in one partially aggregated pass."""
+    """``(processed, failed, attachments, skipped_attachments)`` in one
+    partially aggregated pass."""
     return parsed.agg(
         F.count_if(F.col("error").isNull()).alias("processed"),
         F.count_if(F.col("error").isNotNull()).alias("failed"),
         F.coalesce(F.sum(F.when(F.col("error").isNull(), F.size(F.col("attachments")))), F.lit(0))
-         .cast("bigint").alias("attachments"))
+         .cast("bigint").alias("attachments"),
+        F.coalesce(F.sum("skippedAttachments"), F.lit(0)).cast("bigint").alias("skipped_attachments"))
 
 
 def attachment_rows(msgs: DataFrame) -> DataFrame:
@@ -279,5 +327,14 @@ def attachment_rows(msgs: DataFrame) -> DataFrame:
 
 
 def dedup_messages(msgs: DataFrame) -> DataFrame:
-    """Drop structurally equal messages (same 15 equality fields)."""
-    return msgs.dropDuplicates(EQUALITY_COLUMNS)
+    """Drop structurally equal messages (same 15 equality fields).
+
+    The grouping key is the id and a SHA-256 of the other fields' JSON, so
+    bodies and attachment bytes are no shuffle keys; partial aggregation
+    keeps one row per key and task.
+    """
+    rest = [F.col(f"`{c}`") for c in EQUALITY_COLUMNS if c != "id"]
+    key = F.sha2(F.to_json(F.struct(*rest), {"ignoreNullFields": "false"}), 256)
+    row = F.struct(*[F.col(f"`{c}`") for c in msgs.columns])
+    return (msgs.groupBy("id", key.alias("_key")).agg(F.first(row).alias("_row"))
+            .select("_row.*"))

@@ -22,9 +22,8 @@ counts, so a hot user is split into item blocks and duplicate ratings are
 carried as a multiplicity) and then joins the pairs to the similarity
 table on (movieid1, movieid2).  Rows are expanded back to their
 multiplicity only at the end (in spread chunks), so the multiset result is
-unchanged.  The "unseen" path joins only the top ``k + 1`` correlation
-levels of each liked item's similarity list (``k`` = items the user rated),
-which is exact: the user's rated items can empty at most ``k`` levels.
+unchanged.  The "unseen" path counts, from the same pairs, which correlation levels
+a user has rated in full, and joins only the first other level.
 """
 
 from __future__ import annotations
@@ -157,7 +156,9 @@ def _seen_pairs(ratings: DataFrame, sim_table: DataFrame, block_size: int) -> Da
         ui, key="userid", item="movieid",
         left_cols=[F.col("movieid").alias("movieid1"), F.col("liked_cnt")],
         right_cols=[F.col("movieid").alias("movieid2"), F.col("rated_cnt")],
-        left_filter=F.col("liked_cnt") > 0, right_filter=F.col("rated_cnt") > 0,
+        # both counts on both sides: one aggregation, one exchange, read twice
+        left_filter=(F.col("liked_cnt") > 0) & (F.col("rated_cnt") > 0),
+        right_filter=(F.col("rated_cnt") > 0) & (F.col("liked_cnt") >= 0),
         block_size=block_size)
     pairs = pairs.where(F.col("movieid1") != F.col("movieid2"))
     return (pairs.join(sim_table, on=["movieid1", "movieid2"])
@@ -188,54 +189,59 @@ def seen_candidates(ratings: DataFrame, sim_table: DataFrame,
     return _expand(out, "mult")
 
 
-LEVEL_BLOCK = 32
+#: Users joined to one copy of an item's level.
+USERS_PER_COPY = 50_000
 
 
-def _unseen_pairs(ratings: DataFrame, sim_table: DataFrame,
-                  level_block: int = LEVEL_BLOCK) -> DataFrame:
-    """(userid, movieid1, movieid2, correlation_factor, mult) of unseen candidates
-    that can still be best.
+def _unseen_pairs(ratings: DataFrame, sim_table: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE,
+                  users_per_copy: int = USERS_PER_COPY) -> DataFrame:
+    """(userid, movieid1, movieid2, correlation_factor, mult) of the best unseen candidates.
 
-    Exact pruning instead of liked × similarity in full: rank each item's
-    similarity rows into dense correlation levels.  For a liked item the
-    excluded candidates are items the user rated (the item itself among
-    them), ``k`` distinct items, which can empty at most ``k`` levels — so
-    the best unseen candidates lie within the top ``k + 1`` levels, and
-    whole levels are kept (ties included).  Levels are grouped into blocks
-    of ``level_block``; each liked row is replicated once per block it
-    needs and joined on ``(movieid1, block)`` with ``level <= k + 1`` as the
-    join condition — an equi join that also spreads a popular item over
-    its blocks.  Assumes ``(movieid1, movieid2)`` is unique in the
-    similarity table, as :func:`tessera.operators.similarity.similarity`
-    produces it.
+    An item's similar items fall into levels of equal correlation.  The best
+    unseen candidates of (user, item) are what the user has not rated of the
+    first level that the user has not rated in full.  Levels rated in full are
+    found from the already-rated pairs alone: those a user has rated of a
+    level are counted and compared with the level's size.  Only the first
+    other level is then joined, so the cost follows the rated pairs and the
+    output.  Levels that many users ask for are copied, and their users dealt
+    over the copies, so a popular item is no hot key.  A pair that the
+    similarity table repeats counts once per level and keeps its rows.
     """
-    ui = _user_item_counts(ratings)
-    k = F.count_if(F.col("rated_cnt") > 0).over(Window.partitionBy("userid"))
-    # The replicated liked rows are partitioned on the join key after the
-    # explode (pinned, so AQE cannot fold them into one task from the
-    # pre-explode size estimate) and sort-merge joined: never a broadcast
-    # of a side whose estimate misses the replication, and per key only
-    # one level block's similarity rows are buffered.
-    liked = spread(ui.withColumn("_k", k).where(F.col("liked_cnt") > 0)
-                     .select("userid", F.col("movieid").alias("movieid1"),
-                             F.col("liked_cnt").alias("mult"), "_k"),
-                   "userid", "movieid1")  # leave the per-user window task first
-    last_block = F.floor(F.col("_k") / level_block).cast("long")
-    liked = spread(liked.select("userid", "movieid1", "mult", "_k",
-                                F.explode(F.sequence(F.lit(0).cast("long"), last_block)).alias("_lvb")),
-                   "movieid1", "_lvb")
-    lv = Window.partitionBy("movieid1").orderBy(F.col("correlation_factor").desc())
-    ranked = (sim_table.withColumn("_lvl", F.dense_rank().over(lv))
-                       .withColumn("_lvb", F.floor((F.col("_lvl") - 1) / level_block).cast("long"))
-                       .hint("merge"))
-    spu = (liked.join(ranked, on=["movieid1", "_lvb"])
-                .where((F.col("_lvl") <= F.col("_k") + 1) & (F.col("movieid1") != F.col("movieid2")))
-                .select("userid", "movieid1", "movieid2", "correlation_factor", "mult"))
+    others = drop_self_pairs(sim_table).where(F.col("correlation_factor").isNotNull())
+    distinct = others.distinct()
+    level = ["movieid1", "correlation_factor"]
+    sizes = distinct.groupBy(*level).agg(F.count("*").alias("_size"))
+    order = Window.partitionBy("movieid1").orderBy(F.desc("correlation_factor"))
+    levels = sizes.withColumn("_lvl", F.row_number().over(order))
+    full = (_seen_pairs(ratings, distinct, block_size).groupBy("userid", *level)
+            .agg(F.count("*").alias("_seen")).join(levels, level).where("_seen = _size"))
+    group = Window.partitionBy("userid", "movieid1").orderBy("_lvl")
+    first = (full.withColumn("_rn", F.row_number().over(group)).where("_rn = _lvl")
+             .groupBy("userid", "movieid1").agg((F.max("_lvl") + 1).alias("_lvl")))
+    liked = (_user_item_counts(ratings).where(F.col("liked_cnt") > 0)
+             .select("userid", F.col("movieid").alias("movieid1"), F.col("liked_cnt").alias("mult"))
+             .join(first, ["userid", "movieid1"], "left").withColumn("_lvl", F.coalesce("_lvl", F.lit(1))))
+    asked = (liked.groupBy("movieid1", "_lvl").agg(F.count("*").alias("_users"))
+             .select("movieid1", "_lvl", F.ceil(F.col("_users") / users_per_copy).cast("int").alias("_copies")))
+    liked = liked.join(asked, ["movieid1", "_lvl"]).withColumn(
+        "_copy", F.pmod(F.xxhash64("userid"), F.col("_copies")).cast("int")).drop("_copies")
+    rows = (others.join(levels.drop("_size"), level).join(asked, ["movieid1", "_lvl"])
+            .withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))).drop("_copies"))
+    on = ["movieid1", "_lvl", "_copy"]
+    spu = spread(liked, *on).join(spread(rows, *on).hint("merge"), on).select(
+        "userid", "movieid1", "movieid2", "correlation_factor", "mult")
     r = _rated(ratings).where(F.col("rating").isNotNull())
     cond = (spu.userid == r.r_userid) & (spu.movieid2 == r.r_movieid)
     return spu.join(r, cond, "left_anti")
 
 
+def max_seen_correlation(ratings: DataFrame, sim_table: DataFrame,
+                         block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
+    """:func:`max_correlation` of the already-rated candidates, from the blocked
+    pairs: repeated rows do not change a maximum."""
+    return max_correlation(_seen_pairs(ratings, sim_table, block_size))
+
+
 def best_candidate_groups(ratings: DataFrame, sim: DataFrame, candidates: str = "seen",
                           narrow: bool = True, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """Best candidates with a ``mult`` column instead of repeated rows."""
@@ -243,9 +249,10 @@ def best_candidate_groups(ratings: DataFrame, sim: DataFrame, candidates: str =
         raise ValueError(f"candidates must be one of {CANDIDATE_MODES}, got {candidates!r}")
     st = similarity_table(sim, narrow)
     cands = (_seen_pairs(ratings, st, block_size) if candidates == "seen"
-             else _unseen_pairs(ratings, st))
+             else _unseen_pairs(ratings, st, block_size))
+    # rank() = 1 is a group limit: tasks keep their own best before the shuffle
     w = Window.partitionBy("userid", "movieid1").orderBy(F.col("correlation_factor").desc())
-    return (spread(cands.where(F.col("correlation_factor").isNotNull()), "userid", "movieid1")
+    return (cands.where(F.col("correlation_factor").isNotNull())
                  .withColumn("_rk", F.rank().over(w)).where(F.col("_rk") == 1)
                  .select("userid", "movieid1", "movieid2",
                          F.col("correlation_factor").alias("correlation"), "mult"))

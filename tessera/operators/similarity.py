@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.stats import is_finite_number, pearson
+from tessera.functions.stats import is_defined_number, pearson
 from tessera.operators.skew import DEFAULT_BLOCK_SIZE, blocked_self_join
 
 PAIR_FILTERS = ("user_lt_item", "item_lt_item")
@@ -113,11 +113,11 @@ def similarity(ratings: DataFrame, pair_filter: str = "user_lt_item",
                block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """``(movie1, movie2, corr)`` with undefined correlations dropped.
 
-    Zero-variance pairs and single-rater pairs have no correlation and are
-    left out; the job never raises on them.
+    Zero-variance pairs and single-rater pairs have no correlation (NaN) and
+    are left out; the job never raises on them.  ±Infinity is kept.
     """
     c = correlations(pair_sums(ratings, pair_filter, block_size))
-    return c.where(is_finite_number(F.col("corr")))
+    return c.where(is_defined_number(F.col("corr")))
 
 
 def similarity_lines(sim: DataFrame) -> DataFrame:

@@ -10,22 +10,19 @@ hot key are replicated ``nb`` times per side — ``d²/block_size`` rows,
 a ``block_size``-th of the pairs that must be produced anyway.  Keys at or
 below ``block_size`` items take the plain path (one block, no copies).
 
-The per-key degree is a window count over the key on the already
-pre-aggregated rows, so a key's group holds one row per distinct item (raw
-duplicates were combined map-side before any shuffle) and both sides of
-the self-join read the same shuffle (exchange reuse): the source is
-scanned once.  No hot-key table is broadcast.  Rows are spread out of the
-window task before they are replicated, the replicated sides are shuffled
-into a pinned number of partitions (:func:`spread`) and joined by
-sort-merge, so neither AQE's byte-based coalescing nor an estimate-based
-broadcast can put the fan-out back into a few tasks.
+The per-key degree is a partial count over the pre-aggregated rows (one row
+per distinct item of a key); only keys above ``block_size`` are joined back to
+them.  The replicated sides are shuffled into a pinned number of partitions
+(:func:`spread`) and joined by sort-merge, so neither AQE's byte-based
+coalescing nor an estimate-based broadcast can put the fan-out back into a
+few tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BLOCK_SIZE = 2048
@@ -36,12 +33,14 @@ def tag_blocks(df: DataFrame, key: str, item: str, block_size: int) -> DataFrame
 
     ``_nb = ceil(degree / block_size)`` for keys above ``block_size`` rows,
     else 1; ``_blk`` is the item's block, a hash of the item modulo ``_nb``.
+    Degrees are partial counts; only the keys above ``block_size`` are joined
+    back, so no task gathers a key's rows.
     """
     if block_size < 1:
         raise ValueError("block_size must be >= 1")
-    deg = F.count(F.lit(1)).over(Window.partitionBy(key))
-    tagged = df.withColumn(
-        "_nb", F.when(deg > block_size, F.ceil(deg / F.lit(block_size)).cast("int")).otherwise(F.lit(1)))
+    hot = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_deg")).where(F.col("_deg") > block_size)
+           .select(key, F.ceil(F.col("_deg") / F.lit(block_size)).cast("int").alias("_nb")))
+    tagged = df.join(hot, key, "left").withColumn("_nb", F.coalesce("_nb", F.lit(1)))
     return tagged.withColumn(
         "_blk", F.when(F.col("_nb") == 1, F.lit(0))
                  .otherwise(F.pmod(F.xxhash64(F.col(item)), F.col("_nb")).cast("int")))
@@ -55,7 +54,8 @@ def spread(df: DataFrame, *cols: str) -> DataFrame:
     row-heavy step — a window over tie-dense candidates, a join that fans out —
     few bytes can still mean most of the work, and merging them into one
     partition runs that work in one task.  A user-specified partition count
-    is kept as is; skew splitting still applies to joins.
+    is kept as is, and AQE does not split it either: hot keys must be cut into
+    blocks before.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, *cols)
@@ -77,10 +77,7 @@ def blocked_self_join(df: DataFrame, key: str, item: str,
     ``left_filter``/``right_filter`` are single-side predicates applied
     before replication.  The result holds ``key`` plus both projections.
     """
-    # Rows leave the per-key window task before they are replicated, so a
-    # hot key's d × nb copies are generated by many tasks, not the one that
-    # counted its degree.
-    tagged = spread(tag_blocks(df, key, item, block_size), key, item)
+    tagged = tag_blocks(df, key, item, block_size)
     left, right = tagged, tagged
     if left_filter is not None:
         left = left.where(left_filter)

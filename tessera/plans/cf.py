@@ -83,13 +83,12 @@ def q_candidates_unseen(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_max_correlation(spark: SparkSession, sf: str) -> DataFrame:
     r, st = _steps(spark, sf)
-    return P.max_correlation(P.candidates_seen(P.drop_self_pairs(P.similar_per_user(r, st)), r))
+    return P.max_seen_correlation(r, st)
 
 
 def q_best_candidates_joinback(spark: SparkSession, sf: str) -> DataFrame:
     r, st = _steps(spark, sf)
-    return P.best_candidates_joinback(
-        P.candidates_seen(P.drop_self_pairs(P.similar_per_user(r, st)), r))
+    return P.best_candidates_joinback(P.seen_candidates(r, st))
 
 
 def _best(candidates: str, narrow: bool = True, pair_filter: str = "user_lt_item"):

@@ -5,8 +5,8 @@
 
 1. Refuse early when the output exists and ``overwrite`` is false
    (an exception; the process is never exited).
-2. List and read every file under the input (distributed ``binaryFile``
-   scan) — or take a ``(path, content)`` DataFrame.
+2. List and read every file under the input, whatever its name (see
+   :mod:`tessera.sources.files`) — or take a ``(path, content)`` DataFrame.
 3. Parse once with :func:`tessera.operators.email.parse_emails` and stage
    the parsed rows (messages and errors) as Parquet under the shared
    checkpoint folder: the lineage is cut there, so a lost executor never
@@ -15,7 +15,7 @@
    Processed / failed / attachment counts are observed during that write
    (no extra pass).
 5. If any file failed, write the distinct reject messages as text at a
-   timestamped path; return the counts.
+   timestamped path; remove the stage and return the counts.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import email as E
 from tessera.operators.metrics import observe
-from tessera.session import scratch_path
+from tessera.session import remove_path, scratch_path
 from tessera.sinks import writers as W
 from tessera.sources.files import read_binary_files
 
@@ -66,7 +66,8 @@ def ingest_emails(spark: SparkSession, source: str | DataFrame, output_path: str
         E.parse_emails(files), "email_ingest",
         processed=F.count_if(F.col("error").isNull()),
         failed=F.count_if(F.col("error").isNotNull()),
-        attachments=F.coalesce(F.sum(F.size(F.col("attachments"))), F.lit(0)).cast("bigint"))
+        attachments=F.coalesce(F.sum(F.size(F.col("attachments"))), F.lit(0)).cast("bigint"),
+        skipped_attachments=F.coalesce(F.sum("skippedAttachments"), F.lit(0)).cast("bigint"))
     parsed_live.write.mode("errorifexists").parquet(stage)
     stats = counters.get
     parsed = spark.read.parquet(stage)
@@ -77,4 +78,5 @@ def ingest_emails(spark: SparkSession, source: str | DataFrame, output_path: str
     if stats["failed"]:
         written = rejects_file_name(rejects_path, now)
         E.rejects(parsed).write.mode("overwrite").text(written)
-    return {**stats, "output_path": output_path, "rejects_path": written, "stage_path": stage}
+    remove_path(spark, stage)
+    return {**stats, "output_path": output_path, "rejects_path": written}

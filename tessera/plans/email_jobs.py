@@ -10,7 +10,7 @@ from tessera.operators.skew import spread
 from tessera.plans.email_ingest import ingest_emails
 from tessera.session import scratch_path
 from tessera.sources import eml
-from tessera.sources.files import list_files_recursive, read_binary_files
+from tessera.sources.files import bare_path, list_files_recursive, read_binary_files
 from tessera.sources.tables import documents
 
 
@@ -38,7 +38,7 @@ def _tree(spark: SparkSession, sf: str) -> str:
 
 
 def _doc_id_of(path_col: str = "path"):
-    return F.regexp_extract(F.col(path_col), r"/doc_id=(\d+)/", 1).cast("bigint")
+    return F.regexp_extract(F.col(path_col), r"/_?(\d+)\.$", 1).cast("bigint")
 
 
 def q_email_parse(spark: SparkSession, sf: str) -> DataFrame:
@@ -68,7 +68,10 @@ def q_email_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_email_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    return E.rejects(E.parse_emails(eml.compose_corpus(_docs(spark, sf))))
+    root = _tree(spark, sf)
+    bare = spark.range(1).select(bare_path(F.lit(root))).first()[0]
+    found = E.rejects(E.parse_emails(read_binary_files(spark, root)))
+    return found.select(F.replace("value", F.lit(bare), F.lit("")).alias("value"))
 
 
 def q_email_ingest_stats(spark: SparkSession, sf: str) -> DataFrame:
@@ -150,21 +153,27 @@ def _path(kind: str) -> str:
     return f"'documents/{kind}/' || lang || '/' || doc_id || '.eml'"
 
 
+_INNER = f"('From: inner@example.com' || {_NL} || {_NL} || 'inner ' || doc_id)"
+_CRLF = "chr(13) || chr(10)"
+_NESTED = (f"('--in' || {_CRLF} || 'Content-Type: text/plain' || {_CRLF} || {_CRLF} || 'nested ' || doc_id || "
+           f"{_CRLF} || '--in--' || {_CRLF})")
 _PAYLOAD = "encode(source || ':' || doc_id)"
 _ATTS = (f"[{{'name': 'doc-' || doc_id || '.bin', "
          f"'contentType': 'application/octet-stream; name=\"doc-' || doc_id || '.bin\"', "
-         f"'content': {_PAYLOAD}, 'size': cast(length(to_base64({_PAYLOAD})) as bigint)}}]")
+         f"'content': {_PAYLOAD}, 'size': cast(length(to_base64({_PAYLOAD})) as bigint)}}, "
+         "{'name': 'inner.eml', 'contentType': 'message/rfc822', "
+         f"'content': encode({_INNER}), 'size': cast(strlen({_INNER}) as bigint)}}]")
 
 SINGLE_SQL = _msg_select(_path("single"), "('doc ' || doc_id)", [_OWNER], [], [], "text",
                          "('<' || doc_id || '@example.com>')", f"[]::{_ATT_T}")
 MULTI_SQL = _msg_select(
     _path("multipart"), "('doc ' || doc_id)", ["('reply-' || doc_id || '@example.com')"],
-    ["(source || '@example.org')", "(lang || '@example.org')"], ["(source || '@example.net')"],
-    "(' ' || text || ' <b>doc ' || doc_id || '</b>')", "('<' || doc_id || '@example.com>')", _ATTS)
+    ["('\"Doe, J\" <' || source || '@example.org>')", "(lang || '@example.org')"], ["(source || '@example.net')"],
+    f"(' ' || text || ' <b>doc ' || doc_id || '</b>' || ' ' || {_NESTED})", "('<' || doc_id || '@example.com>')", _ATTS)
 PLAIN_SQL = _msg_select(_path("plain"), "''", [_OWNER], [], [], "text", "''", f"[]::{_ATT_T}",
                         with_path=False)
 TREE_SQL = _msg_select(_path("single"), "('doc ' || doc_id)", [_OWNER], [], [],
-                       f"(text || {_NL})", "('<' || doc_id || '@example.com>')", f"[]::{_ATT_T}",
+                       "text", "('<' || doc_id || '@example.com>')", f"[]::{_ATT_T}",
                        with_path=False)
 
 ORACLE = {
@@ -176,14 +185,15 @@ ORACLE = {
                          "bccRecipients, recipients from m"),
     "email_id": f"with m as ({SINGLE_SQL}) select path, id from m",
     "email_dedup": f"select distinct * from ({PLAIN_SQL})",
-    "email_rejects": ("select distinct 'Error while reading file  ' || "
-                      f"{_path('raw')} as value from documents"),
+    "email_rejects": ("select distinct 'Error while reading file  /junk/' || lang || '/' || "
+                      "(case doc_id % 3 when 0 then 'inbox' when 1 then '_sent_mail' else '.x' end) || '/' || "
+                      "(case when doc_id % 5 = 0 then '_' else '' end) || doc_id || '.' as value from documents"),
     "email_ingest_stats": ("select 2 * count(*) as processed, count(*) as failed, "
-                           "count(*) as attachments from documents"),
-    "scan_binary_files": f"select doc_id, encode({_single_eml()} || {_NL}) as content from documents",
+                           "2 * count(*) as attachments, 0::bigint as skipped_attachments from documents"),
+    "scan_binary_files": f"select doc_id, encode({_single_eml()}) as content from documents",
     "list_files_recursive": (
-        f"select 'mail' as tree, doc_id, cast(octet_length(encode({_single_eml()})) + 1 as bigint) "
+        f"select 'mail' as tree, doc_id, cast(octet_length(encode({_single_eml()})) as bigint) "
         "as length from documents union all "
-        "select 'junk', doc_id, cast(octet_length(encode(text)) + 1 as bigint) from documents"),
+        "select 'junk', doc_id, cast(octet_length(encode(text)) as bigint) from documents"),
     "email_ingest": TREE_SQL,
 }

@@ -43,7 +43,8 @@ def movie_lines(spark: SparkSession, sf: str) -> DataFrame:
              for k in range(len(D.GENRE_COLUMNS))]
     return s.select(F.concat_ws(
         "|", F.col("s_suppkey").cast("string"), F.col("s_name"), F.lit("01-Jan-1995"), F.lit(""),
-        F.concat(F.lit("http://example.com/m/"), F.col("s_suppkey").cast("string")), *flags
+        F.when(s.s_suppkey % 7 == 0, "").when(s.s_suppkey % 7 == 1, "\\N")
+         .otherwise(F.concat(F.lit("http://example.com/m/"), F.col("s_suppkey").cast("string"))), *flags
     ).alias("value"))
 
 
@@ -85,6 +86,33 @@ def _parse_triples(df: DataFrame) -> DataFrame:
                      f.getItem(2).cast("double").alias("corr"))
 
 
+def user_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """``|``-separated user lines; some ages are missing or no numbers."""
+    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    age = (F.when(c.c_custkey % 5 == 0, "\\N").when(c.c_custkey % 5 == 1, "unknown")
+           .otherwise((c.c_nationkey + 18).cast("string")))
+    return c.select(F.concat_ws("|", F.col("c_custkey").cast("string"), age,
+                                F.when(c.c_custkey % 2 == 0, "M").otherwise("F"), F.lower("c_mktsegment"),
+                                F.lpad((c.c_custkey % 100000).cast("string"), 5, "0")).alias("value"))
+
+
+def q_load_users(spark: SparkSession, sf: str) -> DataFrame:
+    src, dst = scratch_path(spark, "users-psv"), scratch_path(spark, "user-table")
+    W.write_text(user_lines(spark, sf), src)
+    return D.load_overwrite(spark, src, D.USER_SCHEMA, "|", dst)
+
+
+def q_predictions_external(spark: SparkSession, sf: str) -> DataFrame:
+    """Predictions from the similarity lines another job wrote, read through an
+    external table with a FLOAT column."""
+    path = scratch_path(spark, "similarity-lines")
+    W.write_text(S.similarity_lines(_similarity(spark, sf)), path)
+    sim = D.read_delimited(spark, path, D.SIMILARITY_SCHEMA, ",").select(
+        F.col("movieID1").cast("bigint").alias("movie1"), F.col("movieID2").cast("bigint").alias("movie2"),
+        F.col("correlation_factor").alias("corr"))
+    return P.predictions(ratings(spark, sf), sim, movies(spark, sf))
+
+
 def q_sink_text_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "sim-text")
     W.write_text(S.similarity_lines(_similarity(spark, sf)), path)
@@ -126,8 +154,8 @@ def q_sink_sequencefile_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "pred-seq")
     r = ratings(spark, sf)
     pred = P.predictions(r, S.similarity(r), movies(spark, sf))
-    W.write_sequence_file(pred, path, "userid", "moviename")
-    return W.read_sequence_file(spark, path, "userid", "moviename", "userid bigint, moviename string")
+    W.write_pairs(pred, path, "userid", "moviename")
+    return W.read_pairs(spark, path, "userid bigint, moviename string")
 
 
 QUERIES = {
@@ -135,6 +163,8 @@ QUERIES = {
     "scan_delimited_permissive": q_scan_delimited_permissive,
     "scan_external_similarity": q_scan_external_similarity,
     "load_overwrite": q_load_overwrite,
+    "load_users": q_load_users,
+    "predictions_external": q_predictions_external,
     "sink_text_roundtrip": q_sink_text_roundtrip,
     "sink_csv_roundtrip": q_sink_csv_roundtrip,
     "sink_parquet_codec": q_sink_parquet_codec,
@@ -155,7 +185,8 @@ def _oracle():
         "scan_delimited_permissive": (
             "select cast(s_suppkey as integer) as movieID, s_name as movieName, "
             "cast(null as timestamp) as release_date, cast(null as timestamp) as video_release_date, "
-            f"'http://example.com/m/' || cast(s_suppkey as varchar) as imdb_link, {flags} from supplier"),
+            "case s_suppkey % 7 when 0 then '' when 1 then null else "
+            f"'http://example.com/m/' || cast(s_suppkey as varchar) end as imdb_link, {flags} from supplier"),
         "scan_external_similarity": (
             f"with {O.sim('user_lt_item')} select cast(movie1 as integer) as movieID1, "
             "cast(movie2 as integer) as movieID2, cast(corr as float) as correlation_factor from sim"),
@@ -163,6 +194,12 @@ def _oracle():
             "select cast(o_custkey as integer) as userID, cast(l_suppkey as integer) as movieID, "
             "cast(ceil(l_quantity/10) as double) as rating, cast(epoch(o_orderdate) as integer) as time "
             "from lineitem join orders on l_orderkey = o_orderkey"),
+        "load_users": (
+            "select cast(c_custkey as integer) as userID, case when c_custkey % 5 > 1 "
+            "then cast(c_nationkey + 18 as integer) end as age, "
+            "case when c_custkey % 2 = 0 then 'M' else 'F' end as gender, lower(c_mktsegment) as occupation, "
+            "lpad(cast(c_custkey % 100000 as varchar), 5, '0') as zip_code from customer"),
+        "predictions_external": O.predictions(),
         "sink_text_roundtrip": sim,
         "sink_csv_roundtrip": sim,
         "sink_parquet_codec": O.ORACLE["ratings_with_size"],

@@ -47,8 +47,8 @@ def column_correction_job(spark: SparkSession, input_path: str, output_path: str
     return spark.read.text(output_path)
 
 
-def prediction_job(spark: SparkSession, ratings_path: str, movies_path: str, similarity_path: str,
-                   db: str = "tessera_cf") -> DataFrame:
+def prediction_job(spark: SparkSession, ratings_path: str, movies_path: str,
+                   similarity_path: str) -> DataFrame:
     """The table script over text inputs: ratings (tab), movies (``|``) and the
     similarity lines written by :func:`similarity_job` (read as FLOAT)."""
     ratings = D.read_delimited(spark, ratings_path, D.RATING_SCHEMA, "\t").select(
@@ -58,7 +58,7 @@ def prediction_job(spark: SparkSession, ratings_path: str, movies_path: str, sim
     sim = D.read_delimited(spark, similarity_path, D.SIMILARITY_SCHEMA, ",").select(
         F.col("movieID1").alias("movieid1"), F.col("movieID2").alias("movieid2"),
         F.col("correlation_factor").cast("double").alias("correlation_factor"))
-    return H.run_script(spark, ratings, sim, movies, db)
+    return H.prediction_tables(spark, ratings, sim, movies)
 
 
 def lazy_predictions(spark: SparkSession, ratings_path: str, movies_path: str,

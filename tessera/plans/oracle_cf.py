@@ -23,8 +23,10 @@ def st(pair_filter: str) -> str:
             f"group by a.movieid, b.movieid)")
 
 
-CORR = ("(size*dot_product - rating_sum*rating2_sum) / nullif(sqrt(size*rating_sq - rating_sum*rating_sum)"
-        " * sqrt(size*rating2_sq - rating2_sum*rating2_sum), 0)")
+_NUM = "(size*dot_product - rating_sum*rating2_sum)"
+_DEN = "(sqrt(size*rating_sq - rating_sum*rating_sum) * sqrt(size*rating2_sq - rating2_sum*rating2_sum))"
+CORR = (f"case when {_DEN} <> 0 then {_NUM} / {_DEN} when {_NUM} > 0 then 'inf'::double "
+        f"when {_NUM} < 0 then '-inf'::double else 'nan'::double end")
 
 
 def sim(pair_filter: str) -> str:

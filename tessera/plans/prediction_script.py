@@ -1,90 +1,87 @@
-"""The prediction pipeline as a sequence of materialised SQL tables.
-
-This is the statement-by-statement form (database, CTAS chain, typed
-result tables filled by ``INSERT INTO``, clean-up of the intermediates)
-for users who want the tables themselves.  Each statement is planned by
-Catalyst on its own.  The lazy single-plan form is
-:func:`tessera.operators.predictions.predictions`.
-
-The two inputs are registered as temporary views ``rating`` and
-``similarity``; ``movies`` supplies ``(movieid, moviename)``.
+"""Predictions as tables: each step saved, typed result tables filled by inserts.
+
+For users who want the steps themselves as tables.  The steps are the
+operators of :mod:`tessera.operators.predictions`, saved one by one (CTAS);
+already-rated candidates come from the blocked pairs, so liked × similarity is
+never written.  Result tables declare their types, and the inserts widen the
+FLOAT correlations to DOUBLE.
+
+Every run works in a database of its own below the scratch folder, made
+current while the run lasts and dropped with its tables at the end.  The
+results are external tables: their files stay and are what is returned.
+No view or table of the caller is touched.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tessera.operators import predictions as P
 from tessera.session import scratch_path
 
-INTERMEDIATES = ("similarity_peruser_intermed", "similarity_peruser",
-                 "similarity_peruser_notseen_intermed", "similarity_peruser_notseen")
-MAX_TABLE = "similarity_per_user_not_seen_movies_max_correlation"
-PRED_TABLE = "user_predictions"
-
-
-def ensure_database(spark: SparkSession, db: str) -> None:
-    """``CREATE DATABASE IF NOT EXISTS`` under the shared folder."""
-    if not spark.catalog.databaseExists(db):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch_path(spark, db)}'")
-
-
-def candidate_tables(spark: SparkSession, ratings: DataFrame, sim_table: DataFrame,
-                     db: str = "tessera_cf") -> DataFrame:
-    """The CTAS chain; returns the last table (already-rated candidates)."""
-    ensure_database(spark, db)
-    ratings.createOrReplaceTempView("rating")
-    sim_table.createOrReplaceTempView("similarity")
-    statements = [
-        f"""CREATE TABLE {db}.similarity_peruser_intermed USING parquet AS
-            SELECT users.userid, similarity.movieid1, similarity.movieid2, similarity.correlation_factor
-            FROM (SELECT r.userid, r.movieid FROM rating r WHERE r.rating > 4) users
-            JOIN similarity ON users.movieid = similarity.movieid1""",
-        f"""CREATE TABLE {db}.similarity_peruser USING parquet AS
-            SELECT * FROM {db}.similarity_peruser_intermed s WHERE s.movieid1 <> s.movieid2""",
-        f"""CREATE TABLE {db}.similarity_peruser_notseen_intermed USING parquet AS
-            SELECT p.userid, p.movieid1, p.movieid2, p.correlation_factor, rating.rating
-            FROM {db}.similarity_peruser p LEFT OUTER JOIN rating
-            ON p.userid = rating.userid AND p.movieid2 = rating.movieid""",
-        f"""CREATE TABLE {db}.similarity_peruser_notseen USING parquet AS
-            SELECT * FROM {db}.similarity_peruser_notseen_intermed WHERE rating IS NOT NULL""",
-    ]
-    for name, stmt in zip(INTERMEDIATES, statements):
-        spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
-        spark.sql(stmt)
-    return spark.table(f"{db}.similarity_peruser_notseen")
-
-
-def result_tables(spark: SparkSession, movies: DataFrame, db: str = "tessera_cf") -> DataFrame:
-    """Typed result tables filled by append inserts; returns the predictions."""
-    movies.createOrReplaceTempView("movies")
-    spark.sql(f"DROP TABLE IF EXISTS {db}.{MAX_TABLE}")
-    spark.sql(f"CREATE TABLE {db}.{MAX_TABLE} (userid INT, movieid1 INT, movieid2 INT, "
-              f"correlation DOUBLE) USING parquet")
-    spark.sql(f"""INSERT INTO {db}.{MAX_TABLE}
-        SELECT maxim.userid, maxim.movieid1, n.movieid2, maxim.correlation
-        FROM (SELECT c.userid, c.movieid1, max(c.correlation_factor) AS correlation
-              FROM {db}.similarity_peruser_notseen c GROUP BY c.userid, c.movieid1) maxim
-        JOIN {db}.similarity_peruser_notseen n
-          ON maxim.userid = n.userid AND maxim.movieid1 = n.movieid1
-         AND maxim.correlation = n.correlation_factor""")
-    spark.sql(f"DROP TABLE IF EXISTS {db}.{PRED_TABLE}")
-    spark.sql(f"CREATE TABLE {db}.{PRED_TABLE} (userid INT, moviename STRING) USING parquet")
-    spark.sql(f"""INSERT INTO {db}.{PRED_TABLE}
-        SELECT DISTINCT t.userid, t.moviename FROM
-          (SELECT sim.userid, b.moviename FROM {db}.{MAX_TABLE} sim
-           JOIN movies b ON sim.movieid2 = b.movieid) t""")
-    return spark.table(f"{db}.{PRED_TABLE}")
-
-
-def drop_intermediates(spark: SparkSession, db: str = "tessera_cf") -> None:
-    for name in INTERMEDIATES:
-        spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
-
-
-def run_script(spark: SparkSession, ratings: DataFrame, sim_table: DataFrame, movies: DataFrame,
-               db: str = "tessera_cf") -> DataFrame:
-    """Whole script: CTAS chain, result tables, clean-up; returns predictions."""
-    candidate_tables(spark, ratings, sim_table, db)
-    pred = result_tables(spark, movies, db)
-    drop_intermediates(spark, db)
-    return pred
+
+@contextmanager
+def own_database(spark: SparkSession) -> Iterator[str]:
+    """A new current database, dropped with its tables on leaving."""
+    name, before = f"run_{uuid.uuid4().hex}", spark.catalog.currentDatabase()
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{scratch_path(spark, name)}'")
+    spark.sql(f"USE {name}")
+    try:
+        yield name
+    finally:
+        spark.sql(f"USE {before}")
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def save_step(spark: SparkSession, name: str, step: DataFrame, path: str | None = None) -> DataFrame:
+    """Replace the table by the step's rows; with ``path`` the files outlive it."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    writer = step.write.format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return spark.table(name)
+
+
+def _candidates(spark: SparkSession, ratings: DataFrame, sim_table: DataFrame, path: str | None) -> DataFrame:
+    """Four saved steps up to the already-rated candidates."""
+    narrow = F.col("correlation_factor").cast("float")
+    sim = save_step(spark, "similar_items", P.drop_self_pairs(sim_table).withColumn("correlation_factor", narrow))
+    liked = save_step(spark, "liked", P.liked_items(ratings))
+    rated = save_step(spark, "ratings_of_likers", ratings.join(liked.select("userid").distinct(), "userid", "left_semi"))
+    return save_step(spark, "rated_candidates", P.seen_candidates(rated, sim), path)
+
+
+def candidate_table(spark: SparkSession, ratings: DataFrame, sim_table: DataFrame) -> DataFrame:
+    """The already-rated candidates as a table another job can read."""
+    path = scratch_path(spark, "rated-candidates")
+    with own_database(spark):
+        _candidates(spark, ratings, sim_table, path)
+    return spark.read.parquet(path).withColumn("correlation_factor", F.col("correlation_factor").cast("double"))
+
+
+def prediction_tables(spark: SparkSession, ratings: DataFrame, sim_table: DataFrame,
+                      movies: DataFrame) -> DataFrame:
+    """All steps; returns ``(userid int, moviename string)``.
+
+    The best candidates arrive in two appends, likes of odd and of even items,
+    so the second goes into a table that has rows.
+    """
+    path = scratch_path(spark, "user-predictions")
+    with own_database(spark):
+        cands = _candidates(spark, ratings, sim_table, None)
+        spark.sql("CREATE TABLE best_rated (userid INT, movieid1 INT, movieid2 INT, correlation DOUBLE) USING parquet")
+        best = P.best_candidates(cands).withColumn("correlation", F.col("correlation").cast("float"))
+        for odd in (True, False):
+            half = best.where((F.col("movieid1") % 2 != 0) == F.lit(odd))
+            half.select(F.col("userid").cast("int"), F.col("movieid1").cast("int"), F.col("movieid2").cast("int"),
+                        "correlation").write.insertInto("best_rated")
+        spark.sql(f"CREATE TABLE user_predictions (userid INT, moviename STRING) USING parquet LOCATION '{path}'")
+        named = P.predictions_from_best(spark.table("best_rated"), movies)
+        named.select(F.col("userid").cast("int"), "moviename").write.insertInto("user_predictions")
+        for step in ("similar_items", "liked", "ratings_of_likers", "rated_candidates"):
+            spark.sql(f"DROP TABLE IF EXISTS {step}")
+    return spark.read.schema("userid int, moviename string").parquet(path)

@@ -12,6 +12,7 @@ from tessera.operators import predictions as P
 from tessera.operators import similarity as S
 from tessera.plans import oracle_cf as O
 from tessera.plans import prediction_script as H
+from tessera.session import scratch_path
 from tessera.sources.tables import movies, ratings
 
 
@@ -22,12 +23,12 @@ def _inputs(spark: SparkSession, sf: str):
 
 def q_ctas(spark: SparkSession, sf: str) -> DataFrame:
     r, st = _inputs(spark, sf)
-    return H.candidate_tables(spark, r, st)
+    return H.candidate_table(spark, r, st)
 
 
 def q_insert_append(spark: SparkSession, sf: str) -> DataFrame:
     r, st = _inputs(spark, sf)
-    return H.run_script(spark, r, st, movies(spark, sf))
+    return H.prediction_tables(spark, r, st, movies(spark, sf))
 
 
 def q_named_dataset(spark: SparkSession, sf: str) -> DataFrame:
@@ -35,7 +36,10 @@ def q_named_dataset(spark: SparkSession, sf: str) -> DataFrame:
     first = N.get_or_create(spark, name, lambda: S.raters_per_item(ratings(spark, sf)))
     again = N.get_or_create(spark, name, lambda: None)  # served from the catalog
     assert again.columns == first.columns and name in N.names(spark)
-    return N.update(spark, name, again.withColumn("num_raters", F.col("num_raters") * 10))
+    path = scratch_path(spark, "named")
+    N.update(spark, name, again.withColumn("num_raters", F.col("num_raters") * 10)).write.parquet(path)
+    N.drop(spark, name)  # leaves no cached view behind
+    return spark.read.parquet(path)
 
 
 QUERIES = {

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import text as T
+from tessera.session import scratch_path
+from tessera.sinks.writers import write_text
 from tessera.sources.tables import comma_lines, documents, table
 
 
@@ -26,6 +28,13 @@ def q_word_count_total(spark: SparkSession, sf: str) -> DataFrame:
     return T.word_count_total(_lines(spark, sf))
 
 
+def q_word_count_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """The tokens that the word count job saves as text, one a line."""
+    path = scratch_path(spark, "tokens")
+    write_text(T.tokenize(_lines(spark, sf)).select("word"), path)
+    return spark.read.text(path).withColumnRenamed("value", "word")
+
+
 def q_column_correction(spark: SparkSession, sf: str) -> DataFrame:
     return T.correct_columns(comma_lines(spark, sf).select("value"))
 
@@ -50,6 +59,7 @@ QUERIES = {
     "scan_text_lines": q_scan_text_lines,
     "tokenize": q_tokenize,
     "word_count_total": q_word_count_total,
+    "word_count_tokens": q_word_count_tokens,
     "column_correction": q_column_correction,
     "map_scale": q_map_scale,
     "global_sum": q_global_sum,
@@ -67,6 +77,7 @@ ORACLE = {
     "tokenize": (f"with {_LINES}, tk as (select doc_id, line_no, {_JSPLIT} as w from ln) "
                  "select doc_id, line_no, cast(generate_subscripts(w, 1) as bigint) as word_no, "
                  "unnest(w) as word from tk"),
+    "word_count_tokens": f"with {_LINES} select unnest({_JSPLIT}) as word from ln",
     "word_count_total": (f"with {_LINES} select count(*) as lines, "
                          f"cast(sum(len({_JSPLIT})) as bigint) as words from ln"),
     "column_correction": (

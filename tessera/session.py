@@ -3,8 +3,9 @@
 On a cluster the session is created by the platform; ``get_session`` only
 fills in settings that are missing.  Intermediate data that must survive
 executor loss goes under the shared folder named by ``spark.checkpoint.dir``
-(see :func:`scratch_path`); a machine-local temporary folder is used only
-when that setting is absent, which is the case in local tests.
+(see :func:`scratch_path`); a machine-local temporary folder is used only in
+``local`` sessions without that setting, as in tests.  On a cluster a missing
+setting is an error.
 """
 
 from __future__ import annotations
@@ -53,8 +54,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir).  Only when neither is set — local runs and tests — a
-    fresh private folder is created and registered as the checkpoint dir.
+    checkpoint dir).  When neither is set a local session gets a fresh
+    private folder, registered as the checkpoint dir; any other session fails.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -64,12 +65,20 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # pragma: no cover - older API
             root = None
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tessera-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
     return root.rstrip("/")
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder once nothing reads it any more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"

@@ -1,10 +1,9 @@
 """Delimited text readers.
 
 * :func:`read_ratings_strict` — tab-separated ``user, item, rating[, ...]``
-  where a short line or an unparsable number fails the job (ANSI casts and
-  ``split(...)[i]`` raise), like the original rating parser.
+  where a short line or an unparsable number fails the job.
 * :func:`read_delimited` — declared-schema reader where a bad field turns
-  into NULL (CSV ``PERMISSIVE``), like a schema-on-read text table.
+  into NULL, like a schema-on-read text table.
 * :func:`register_external_table` — a table over a directory that another
   job writes (``CREATE TABLE ... USING csv LOCATION``).
 """
@@ -15,6 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The written forms of numbers and timestamps in text tables.
+_INTEGER = r"^[+-]?[0-9]+$"
+_DOUBLE = r"^[+-]?(NaN|Infinity|([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?)$"
+_TIMESTAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}( [0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?)?$"
+
 RATING_SCHEMA = T.StructType([
     T.StructField("userID", T.IntegerType()),
     T.StructField("movieID", T.IntegerType()),
@@ -56,27 +60,43 @@ SIMILARITY_SCHEMA = T.StructType([
 def read_ratings_strict(spark: SparkSession, path: str) -> DataFrame:
     """``(userid bigint, movieid bigint, rating double)``; extra fields ignored.
 
-    Fails (ANSI) on a line with fewer than three fields or a non-numeric
-    value instead of producing NULLs.
+    A line with fewer than three fields, a non-numeric value or a padded
+    integer fails the job, whichever columns are read (also for a ``count``)
+    and with ANSI mode off: the check is a filter on the line itself.
     """
     f = F.split(F.col("value"), "\t", -1)
-    return spark.read.text(path).select(
-        f.getItem(0).cast("bigint").alias("userid"),
-        f.getItem(1).cast("bigint").alias("movieid"),
-        f.getItem(2).cast("double").alias("rating"))
+    user, item, rating = F.get(f, F.lit(0)), F.get(f, F.lit(1)), F.get(f, F.lit(2))
+    number = F.regexp_replace(F.trim(rating), "(?<=[0-9.])[dDfF]$", "")
+    long_ = lambda c: F.when(c.rlike(_INTEGER), c.try_cast("bigint"))
+    double = F.when(number.rlike(_DOUBLE), number.try_cast("double"))
+    good = long_(user).isNotNull() & long_(item).isNotNull() & double.isNotNull()
+    failed = F.raise_error(F.concat(F.lit("malformed rating line: "), F.col("value"))).cast("boolean")
+    return (spark.read.text(path).where(F.when(good, F.lit(True)).otherwise(failed))
+            .select(long_(user).alias("userid"), long_(item).alias("movieid"), double.alias("rating")))
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str) -> DataFrame:
-    """Schema-on-read delimited text; fields that do not parse become NULL."""
-    return (spark.read.schema(schema)
-                 .option("sep", sep)
-                 .option("mode", "PERMISSIVE")
-                 .option("header", "false")
-                 .option("quote", "\u0000")
-                 .option("escape", "\u0000")
-                 .option("ignoreLeadingWhiteSpace", "false")
-                 .option("ignoreTrailingWhiteSpace", "false")
-                 .csv(path))
+    """Schema-on-read delimited text, by the rules of a text table.
+
+    ``\\N``, a missing field and a field that does not parse are NULL; an empty
+    string stays an empty string; a blank line is a row; booleans are ``true``
+    and ``false`` only; numbers are not trimmed.
+    """
+    f = F.split(F.col("value"), f"\\Q{sep}\\E", -1)
+
+    def field(i: int, kind: T.DataType):
+        raw = F.get(f, F.lit(i))
+        raw = F.when(raw != "\\N", raw)
+        if isinstance(kind, T.StringType):
+            return raw
+        if isinstance(kind, T.BooleanType):
+            return F.when(F.lower(raw).isin("true", "false"), F.lower(raw) == "true")
+        form = (_INTEGER if isinstance(kind, T.IntegralType) else
+                _TIMESTAMP if isinstance(kind, T.TimestampType) else _DOUBLE)
+        return F.when(raw.rlike(form), raw.try_cast(kind))
+
+    return spark.read.text(path).select(
+        *[field(i, c.dataType).alias(c.name) for i, c in enumerate(schema.fields)])
 
 
 def register_external_table(spark: SparkSession, name: str, path: str,

@@ -2,17 +2,23 @@
 
 ``compose_*`` build ``(path, content)`` rows from the ``documents`` table
 with Spark string expressions (no driver data), standing in for an EML
-corpus; ``write_eml_tree`` lays such rows out as one file per message in
-a directory tree (``<root>/lang=<l>/doc_id=<id>/part-*``) that
-:func:`tessera.sources.files.read_binary_files` lists recursively.
+corpus; ``write_eml_tree`` lays such rows out as one file per message in a
+mail tree (``<root>/<lang>/<folder>/<name>``) with folder and file names as
+mail archives have them, some starting with ``_`` or ``.``.
 """
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.sources.files import open_store
+
 # Fixed values of the composed corpus.
+TREE_FOLDERS = ("inbox", "_sent_mail", ".x")
 BOUNDARY = "tessera-part-boundary"
 MAIL_DOMAIN = "example.com"
 
@@ -41,10 +47,11 @@ def attachment_payload() -> Column:
 
 
 def multipart_text() -> Column:
-    """Multipart/mixed: text part, html part, base64 attachment; plus Cc/Bcc/Reply-To."""
+    """Multipart/mixed: text, html, base64 attachment, nested multipart and an
+    attached message; plus Cc with a comment, Bcc and Reply-To."""
     return F.concat(
         *_headers(True),
-        F.lit("Cc: "), _s("source"), F.lit("@example.org, "), _s("lang"), F.lit("@example.org\n"),
+        F.lit("Cc: "), _s("source"), F.lit("@example.org (Doe, J), "), _s("lang"), F.lit("@example.org\n"),
         F.lit("Bcc: "), _s("source"), F.lit("@example.net\n"),
         F.lit("Reply-To: reply-"), _s("doc_id"), F.lit(f"@{MAIL_DOMAIN}\n"),
         F.lit(f'MIME-Version: 1.0\nContent-Type: multipart/mixed; boundary="{BOUNDARY}"\n\n'),
@@ -54,9 +61,23 @@ def multipart_text() -> Column:
         _s("doc_id"), F.lit(".bin\"\nContent-Disposition: attachment; filename=\"doc-"), _s("doc_id"),
         F.lit('.bin"\nContent-Transfer-Encoding: base64\n\n'),
         F.base64(F.encode(attachment_payload(), "UTF-8")),
+        F.lit(f'\n--{BOUNDARY}\nContent-Type: multipart/alternative; boundary="in"\n\n'),
+        nested_text(),
+        F.lit(f'\n--{BOUNDARY}\nContent-Type: message/rfc822\n'
+              'Content-Disposition: attachment; filename="inner.eml"\n\n'),
+        attached_message(),
         F.lit(f"\n--{BOUNDARY}--\n"))
 
 
+def nested_text() -> Column:
+    """A nested multipart with CRLF line ends, appended to the content as it is."""
+    return F.concat(F.lit("--in\r\nContent-Type: text/plain\r\n\r\nnested "), _s("doc_id"), F.lit("\r\n--in--\r\n"))
+
+
+def attached_message() -> Column:
+    return F.concat(F.lit(f"From: inner@{MAIL_DOMAIN}\n\ninner "), _s("doc_id"))
+
+
 def _rows(docs: DataFrame, kind: str, text: Column) -> DataFrame:
     path = F.concat(F.lit(f"documents/{kind}/"), _s("lang"), F.lit("/"), _s("doc_id"), F.lit(".eml"))
     return docs.select(path.alias("path"), F.encode(text, "UTF-8").alias("content"))
@@ -82,11 +103,26 @@ def compose_corpus(docs: DataFrame) -> DataFrame:
 
 
 def write_eml_tree(docs: DataFrame, root: str, text: Column | None = None) -> None:
-    """Write one EML file per document under ``root/lang=<l>/doc_id=<id>/``.
-
-    The text writer ends each file with a newline after the message.
-    """
+    """Write one file per document, by the tasks: ``root`` + :func:`tree_path`."""
     t = single_part_text(True) if text is None else text
-    # doc_id is unique, so every partition directory receives exactly one file.
-    (docs.select("lang", "doc_id", t.alias("value"))
-         .write.mode("overwrite").partitionBy("lang", "doc_id").text(root))
+
+    def put(batches):
+        for batch in batches:
+            for path, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                store, at, _ = open_store(path)
+                store.create_dir(at.rpartition("/")[0], recursive=True)
+                with store.open_output_stream(at) as f:
+                    f.write(data)
+            yield batch.select([0])
+
+    cloudpickle.register_pickle_by_value(sys.modules[open_store.__module__])
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    rows = docs.select(F.concat(F.lit(root), tree_path()).alias("path"), F.encode(t, "UTF-8").alias("data"))
+    rows.mapInArrow(put, "path string").write.format("noop").mode("overwrite").save()
+
+
+def tree_path() -> Column:
+    """``/<lang>/<inbox|_sent_mail|.x>/<doc_id>.``, every fifth name with a ``_`` before."""
+    folder = F.element_at(F.array(*map(F.lit, TREE_FOLDERS)), (F.col("doc_id") % 3 + 1).cast("int"))
+    name = F.concat(F.when(F.col("doc_id") % 5 == 0, "_").otherwise(""), _s("doc_id"), F.lit("."))
+    return F.concat(F.lit("/"), _s("lang"), F.lit("/"), folder, F.lit("/"), name)

@@ -1,32 +1,120 @@
-"""File-tree sources.
+"""File-tree sources: listing and reading on the executors.
 
-The listing is distributed: ``binaryFile`` with ``recursiveFileLookup``
-lists the tree in parallel (the driver only plans splits) and reads each
-file whole into a ``content`` column on the executors.  Note that Hadoop
-path filters skip names that start with ``_`` or ``.``.
+Spark's own file sources skip names that start with ``_`` or ``.``, at every
+depth, and keep the file list on the driver.  A mail tree holds such names
+(``_sent_mail``), so the tree is walked here: each pass lists one level of
+folders in tasks, and the found folders are the next pass's rows.  Contents
+are read in tasks, too; the driver sees neither names nor bytes.
+
+Executors reach the files through ``pyarrow.fs``: a shared mount (plain or
+``file:`` paths) or any store it has a client for (``s3:``, ``gs:``,
+``hdfs:``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import sys
+from collections.abc import Iterator
+
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.session import scratch_path
+
+LISTED = "path string, is_dir boolean, modificationTime timestamp, length long"
+#: Folders listed, or files read, per task at least.
+ROWS_PER_TASK = 64
+
+
+def bare_path(path: Column) -> Column:
+    """A path without its scheme and authority: ``file:/a`` and ``hdfs://n:1/a`` → ``/a``."""
+    return F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?(?=/)", "")
+
+
+def open_store(uri: str):
+    """``(file system, path in it, prefix that turns such a path into a URI)``."""
+    import re
+
+    from pyarrow import fs
+    if uri.startswith("file:"):
+        uri = re.sub(r"^file:/+", "/", uri)
+    store, path = fs.FileSystem.from_uri(uri)
+    return store, path, uri[:len(uri) - len(path)] if uri.endswith(path) else ""
+
+
+def _list_level(batches: Iterator) -> Iterator:
+    import pyarrow as pa
+    from pyarrow import fs
+    schema = pa.schema([("path", pa.string()), ("is_dir", pa.bool_()),
+                        ("modificationTime", pa.timestamp("us", "UTC")), ("length", pa.int64())])
+    for batch in batches:
+        for folder in batch.column("path").to_pylist():
+            store, path, prefix = open_store(folder)
+            infos = [i for i in store.get_file_info(fs.FileSelector(path, recursive=False))
+                     if i.type in (fs.FileType.File, fs.FileType.Directory)]
+            for lo in range(0, len(infos), 10_000):
+                part = infos[lo:lo + 10_000]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([prefix + i.path for i in part], pa.string()),
+                     pa.array([i.type == fs.FileType.Directory for i in part]),
+                     pa.array([i.mtime for i in part], pa.timestamp("us", "UTC")),
+                     pa.array([i.size for i in part], pa.int64())], schema=schema)
+
+
+def _read_contents(batches: Iterator) -> Iterator:
+    import pyarrow as pa
+    for batch in batches:
+        for i, uri in enumerate(batch.column("path").to_pylist()):
+            store, path, _ = open_store(uri)
+            with store.open_input_stream(path) as f:
+                data = f.read()
+            one = batch.slice(i, 1)  # a batch per file: one content in memory at a time
+            yield pa.RecordBatch.from_arrays([*one.columns, pa.array([data], pa.binary())],
+                                             names=[*one.schema.names, "content"])
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows are folders or files, each an amount of work of its own."""
+    n = df.count()
+    most = max(1, -(-n // ROWS_PER_TASK))
+    return df.repartition(min(most, 4 * df.sparkSession.sparkContext.defaultParallelism), "path")
+
+
+def walk_files(spark: SparkSession, root: str) -> DataFrame:
+    """``(path, modificationTime, length)`` of every file at any depth, whatever its name.
+
+    One job per level of the tree; every level is written to the scratch folder.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    level = spark.createDataFrame([(root,)], "path string")
+    files = None
+    while True:
+        path = scratch_path(spark, "file-level")
+        _spread(level).mapInArrow(_list_level, LISTED).write.parquet(path)
+        listed = spark.read.schema(LISTED).parquet(path)
+        here = listed.where("not is_dir").select("path", "modificationTime", "length")
+        files = here if files is None else files.unionByName(here)
+        level = listed.where("is_dir").select("path")
+        if level.isEmpty():
+            return files
+
 
 def read_binary_files(spark: SparkSession, root: str, with_content: bool = True) -> DataFrame:
-    """``(path, modificationTime, length[, content])`` of every file under ``root``."""
-    df = (spark.read.format("binaryFile")
-               .option("recursiveFileLookup", "true")
-               .load(root))
-    if not with_content:
-        # Column pruning keeps the reader from opening the files.
-        df = df.select("path", "modificationTime", "length")
-    return df
+    """``(path, modificationTime, length[, content])`` of every file under ``root``.
+
+    ``path`` is bare: without scheme and authority.
+    """
+    files = walk_files(spark, root)
+    if with_content:
+        files = _spread(files).mapInArrow(
+            _read_contents, "path string, modificationTime timestamp, length long, content binary")
+    return files.withColumn("path", bare_path(F.col("path")))
 
 
 def list_files_recursive(spark: SparkSession, root: str) -> DataFrame:
     """``(path, length)`` of all files at all depths below ``root``."""
-    return read_binary_files(spark, root, with_content=False).select(
-        F.regexp_replace(F.col("path"), "^file:", "").alias("path"), "length")
+    return read_binary_files(spark, root, with_content=False).select("path", "length")
 
 
 def inline_source(spark: SparkSession, values, schema: str, num_slices: int | None = None) -> DataFrame:

@@ -40,7 +40,7 @@ def staged(spark: SparkSession, key: str, build) -> DataFrame:
 def ratings(spark: SparkSession, sf_dir: str, stage: bool = True) -> DataFrame:
     """Ratings ``(userid bigint, movieid bigint, rating double)``.
 
-    Stand-in for the MovieLens rating file: one rating per order line, the
+    Stand-in for a rating file: one rating per order line, the
     customer rates the supplier with ``ceil(quantity / 10)`` (1.0 .. 5.0).
     Repeated (customer, supplier) lines are kept — duplicates are part of
     the reproduced semantics.  With ``stage`` (default) the orders ⋈

@@ -125,7 +125,7 @@ def test_composed_corpus_counts(spark):
     docs = documents(spark, SF_SMALL)
     s = E.ingest_stats(E.parse_emails(eml.compose_corpus(docs))).first()
     n = docs.count()
-    assert (s.processed, s.failed, s.attachments) == (2 * n, n, n)
+    assert (s.processed, s.failed, s.attachments) == (2 * n, n, 2 * n)
 
 
 def test_quoted_printable_and_crlf():
@@ -152,3 +152,82 @@ def test_message_rfc822_part_is_text_not_walked():
     r = parse(b"From: a@x.org\nContent-Type: multipart/mixed; boundary=Z\n\n"
               b"--Z\nContent-Type: message/rfc822\n\nFrom: b@y.org\nSubject: in\n\ninner body\n--Z--\n")
     assert "inner body" in r["content"] and r["attachments"] == []
+
+
+def _parsed(raw: bytes):
+    return E.parse_message("p", raw)
+
+
+def test_lenient_address_lists():
+    r = _parsed(b"From: a@x.org (Doe, John)\nTo: b@x.org (Doe, J), c@x.org\n\nx")
+    assert r["error"] is None and r["owner"] == '"Doe, John" <a@x.org>'
+    assert r["toRecipients"] == ['"Doe, J" <b@x.org>', "c@x.org"]
+
+
+def test_headers_are_text_whatever_their_bytes():
+    r = _parsed(b"From: a@x.org\nMessage-ID: <1\xe9@x>\n\nx")
+    assert r["messageId"] == "<1\xe9@x>"
+    folded = _parsed(b"From: a@x.org\nMessage-ID:\n <1@x>\n\nx")
+    assert folded["messageId"] == "<1@x>"
+
+
+def test_eight_bit_message_id_does_not_fail_the_job(spark):
+    rows = [("a", bytearray(b"From: a@x.org\nMessage-ID: <\xff\xfe>\nSubject: \xff\n\nx")),
+            ("b", bytearray(b'From: a@x.org\nContent-Type: text/plain; name="\xff.txt"\n\nx'))]
+    got = E.parse_emails(spark.createDataFrame(rows, "path string, content binary")).collect()
+    assert [r.error for r in got] == [None, None]
+
+
+def test_nested_part_and_attached_message_keep_their_bytes():
+    nested = b"--in\r\nContent-Type: text/plain\r\n\r\nx\r\n--in--"
+    inner = b"From: z@x.org\n\ninner text"
+    raw = (b'From: a@x.org\nContent-Type: multipart/mixed; boundary="B"\n\n'
+           b'--B\nContent-Type: multipart/alternative; boundary="in"\n\n' + nested +
+           b'\n--B\nContent-Type: message/rfc822\nContent-Disposition: attachment; filename="m.eml"\n\n' + inner +
+           b"\n--B--\n")
+    r = _parsed(raw)
+    assert r["content"] == " " + nested.decode()
+    assert [(a["content"], a["size"]) for a in r["attachments"]] == [(inner, len(inner))]
+
+
+def test_unreadable_attachment_is_counted(monkeypatch):
+    def fail(*_):
+        raise ValueError
+    monkeypatch.setattr(E, "_attachment", fail)
+    r = _parsed(b'From: a@x.org\nContent-Type: text/plain; name="f.txt"\n\nx')
+    assert (r["error"], r["attachments"], r["skippedAttachments"]) == (None, [], 1)
+
+
+def test_walk_finds_every_name(spark, tmp_path):
+    from tessera.sources.files import list_files_recursive, read_binary_files
+    names = ["u/inbox/1.", "u/inbox/_2.", "u/_sent_mail/1.", "u/_sent_mail/2.", "u/.hid/1."]
+    for n in names:
+        f = tmp_path / n
+        f.parent.mkdir(parents=True, exist_ok=True)
+        f.write_bytes(n.encode())
+    for root in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}"):
+        got = {r.path: r.length for r in list_files_recursive(spark, root).collect()}
+        assert got == {f"{tmp_path}/{n}": len(n) for n in names}
+    read = {r.path: bytes(r.content) for r in read_binary_files(spark, str(tmp_path)).collect()}
+    assert read == {f"{tmp_path}/{n}": n.encode() for n in names}
+
+
+def test_bare_paths(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.sources.files import bare_path
+    for uri in ("/a/b", "file:/a/b", "file:///a/b", "hdfs://n:1/a/b", "s3://bucket/a/b"):
+        assert spark.range(1).select(bare_path(F.lit(uri))).first()[0] == "/a/b"
+
+
+def test_building_a_parse_plan_runs_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "")
+    try:
+        files = spark.range(100).selectExpr("cast(id as string) as path", "cast('x' as binary) as content")
+        E.dedup_messages(E.messages(E.parse_emails(files.repartition(3))))
+        E.ingest_stats(E.parse_emails(files.repartition(3)))
+        E.rejects(E.parse_emails(files.repartition(3)))
+        assert list(tracker.getJobIdsForGroup("plan-only")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -97,9 +97,25 @@ def test_expand_splits_large_multiplicities(spark):
     assert sorted(r.k for r in got.collect()) == [1] * 5 + [2] + [3] * 10
 
 
-def test_unseen_level_blocks_do_not_change_candidates(spark):
+def test_popular_levels_are_dealt_over_copies(spark):
     r = ratings(spark, SF_SMALL)
     st = P.similarity_table(S.similarity(r))
-    many = rows(P._unseen_pairs(r, st, level_block=2))
-    one = rows(P._unseen_pairs(r, st, level_block=100000))
+    many = rows(P._unseen_pairs(r, st, users_per_copy=1))
+    one = rows(P._unseen_pairs(r, st))
     assert many == one and len(many) > 0
+
+
+def test_an_item_liked_by_every_user_spans_partitions(spark):
+    r = spark.range(3000).selectExpr("id as userid", "10L as movieid", "5.0D as rating")
+    sim = spark.createDataFrame([(10, 20, 0.5), (10, 21, 0.5), (10, 10, 1.0)], SS)
+    pairs = P._unseen_pairs(r, P.similarity_table(sim), users_per_copy=100)
+    parts = pairs.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert sum(x["count"] for x in parts) == 6000 and len(parts) > 1
+    assert max(x["count"] for x in parts) < 4500
+
+
+def test_repeated_similarity_rows_are_kept(spark):
+    r = spark.createDataFrame([(1, 10, 5.0), (1, 20, 1.0)], RS)
+    sim = spark.createDataFrame([(10, 20, 0.9), (10, 20, 0.9), (10, 21, 0.6), (10, 21, 0.6)], SS)
+    got = rows(P.best_candidates_for(r, sim, "unseen", narrow=False))
+    assert got == [(1, 10, 21, 0.6), (1, 10, 21, 0.6)]

@@ -93,3 +93,17 @@ def test_plan_has_no_cartesian_and_partial_aggregation(spark):
     plan = S.similarity(ratings(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "partial_sum" in plan
+
+
+def test_infinite_correlation_is_kept(spark):
+    # zero variance on one side and a rounding remainder in the numerator
+    r = spark.createDataFrame([(u, m, x) for m, xs in ((101, (0.2, 0.2, 0.2)), (102, (2.0, 3.0, 2.8)))
+                               for u, x in enumerate(xs)], "userid bigint, movieid bigint, rating double")
+    got = {(x.movie1, x.movie2): x["corr"] for x in S.similarity(r, "item_lt_item").collect()}
+    assert got == {(101, 102): float("-inf")}
+
+
+def test_no_window_over_a_user(spark):
+    r = spark.createDataFrame([(1, 2, 3.0)], "userid bigint, movieid bigint, rating double")
+    plan = S.similarity(r)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan

@@ -26,6 +26,17 @@ def test_strict_ratings_reader(spark):
     _write(f"{d}/bad/u.data", "1\t10\tx\t0\n")
     with pytest.raises(Exception):
         D.read_ratings_strict(spark, f"{d}/bad").collect()
+    for bad in ("1\t10\tx\t0\n", "1\t10\n", " 1\t10\t4\n", "1\t10\t\n"):
+        _write(f"{d}/bad/u.data", "2\t11\t3\t0\n" + bad)
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            try:
+                with pytest.raises(Exception, match="malformed rating line"):
+                    D.read_ratings_strict(spark, f"{d}/bad").count()
+                with pytest.raises(Exception, match="malformed rating line"):
+                    D.read_ratings_strict(spark, f"{d}/bad").select("movieid").collect()
+            finally:
+                spark.conf.unset("spark.sql.ansi.enabled")
     _write(f"{d}/short/u.data", "1\t10\n")
     with pytest.raises(Exception):
         D.read_ratings_strict(spark, f"{d}/short").collect()
@@ -81,11 +92,11 @@ def test_text_and_delimited_sinks(spark):
     assert [r.value for r in spark.read.text(p).collect()] == ["1,2,1.0E-5"]
 
 
-def test_sequence_file_roundtrip(spark):
+def test_pairs_roundtrip(spark):
     p = scratch_path(spark, "seq")
     df = spark.createDataFrame([(1, "a"), (2, "b")], "k bigint, v string")
-    W.write_sequence_file(df, p, "k", "v")
-    assert rows(W.read_sequence_file(spark, p, "k", "v", "k bigint, v string")) == [(1, "a"), (2, "b")]
+    W.write_pairs(df, p, "k", "v")
+    assert rows(W.read_pairs(spark, p, "k bigint, v string")) == [(1, "a"), (2, "b")]
 
 
 def test_inline_source_partitions(spark):
@@ -104,3 +115,19 @@ def test_recursive_listing(spark):
 def test_checkpoint_root_is_reused(spark):
     assert checkpoint_root(spark) == checkpoint_root(spark)
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
+
+
+def test_text_table_rules(spark):
+    d = tempfile.mkdtemp()
+    _write(f"{d}/u.user", "1|\\N||x|99999\n\n2| 3|M||\n")
+    got = sorted((tuple(r) for r in D.read_delimited(spark, d, D.USER_SCHEMA, "|").collect()), key=str)
+    assert got == [(1, None, "", "x", "99999"), (2, None, "M", "", ""), (None,) * 5]
+
+
+def test_row_groups_follow_the_block_size(spark):
+    p = scratch_path(spark, "row-groups")
+    df = spark.range(0, 400_000, 1, 1).selectExpr("id", "sha2(cast(id as string), 256) as a", "uuid() as b")
+    W.write_parquet(df, p, block_size=4 << 20)
+    meta = pq.ParquetFile(glob.glob(f"{p}/*.parquet")[0]).metadata
+    sizes = [meta.row_group(i).total_byte_size for i in range(meta.num_row_groups)]
+    assert len(sizes) > 3 and max(sizes) < 8 << 20
