@@ -6,8 +6,8 @@ tree is a Huffman tree of the training counts.  Each bit on a token's path is
 predicted in several contexts:
 
 * the tree node alone (exact counts),
-* the node with the token before, with the two before, and with the one two
-  places back: hashed into tables of ``2 ** SLOT_BITS`` counters each,
+* the node with the token before, and with the two before: hashed into
+  tables of ``2 ** SLOT_BITS`` counters each,
 * the node within this document so far: a hashed table that starts empty.
 
 A context's counts are smoothed by the shorter context's probability, put on
@@ -27,13 +27,13 @@ import numpy as np
 
 from tessera.llm.common import mix64
 
-LEAVES, CLASSES = 8000, 250
+LEAVES, CLASSES = 3000, 250
 SLOT_BITS, DOC_BITS = 20, 12
-HASHED = 3
+HASHED = 2
 CHUNK, TOGETHER = 48, 256
 RATE, DOC_PRIOR, PRIOR = 0.01, 6.0, 3.0
-#: Starting weights: node, previous token, two previous, skip, document, bias.
-START = (0.25, 0.35, 0.05, 0.25, 0.55, 0.0)
+#: Starting weights: node, previous token, two previous, document, bias.
+START = (0.3, 0.5, 0.05, 0.55, 0.0)
 DEPTHS, SEEN, BIAS = 6, 9, 0.3
 
 
@@ -88,7 +88,7 @@ def _spans(starts, lengths):
 
 
 def contexts(symbols, doc_start):
-    """Hashes of the hashed contexts of each token: 3 uint64 arrays.
+    """Hashes of the hashed contexts of each token: one uint64 array each.
 
     ``doc_start`` is each token's distance from its document's first token.
     """
@@ -98,8 +98,7 @@ def contexts(symbols, doc_start):
     one[doc_start < 1], two[doc_start < 2] = 1, 1
     k = np.uint64(1_000_003)
     return (mix64(one + (np.uint64(1) << np.uint64(40))),
-            mix64(one * k + two + (np.uint64(2) << np.uint64(40))),
-            mix64(two + (np.uint64(3) << np.uint64(40))))
+            mix64(one * k + two + (np.uint64(2) << np.uint64(40))))
 
 
 def slots(context, token, node):
@@ -173,8 +172,7 @@ class Mixer:
                 both = ones + (c >> np.uint32(16)).astype(np.float32)
                 base = probs[1] if k == 1 else p0
                 probs.append((ones + PRIOR * base) / (both + PRIOR))
-                if k < 2:
-                    seen = seen * np.int8(3) + (both >= 2) + (both >= 30)
+                seen = seen * np.int8(3) + (both >= 2) + (both >= 30)
             cell = (owner << DOC_BITS) + t.cell[where]
             mine = own[cell]
             probs.append((mine[:, 1] + DOC_PRIOR * p0) / (mine[:, 0] + mine[:, 1] + DOC_PRIOR))
@@ -185,6 +183,7 @@ class Mixer:
                 np.clip(q, 1e-6, 1 - 1e-6, out=q)
                 x.append(np.log(q / (1 - q)))
                 dot += weight[:, j] * x[j]
+            np.clip(dot, -20, 20, out=dot)
             p = 1 / (1 + np.exp(-dot))
             np.clip(p, 1e-6, 1 - 1e-6, out=p)
             total[:alive] += np.bincount(owner, np.log(np.where(bit, p, 1 - p)), alive)

@@ -40,8 +40,10 @@ VOCABULARY = 250_000
 ALPHA = 0.1
 END = b""
 BLOCKS = 16
+#: Counts told apart when the vocabulary is cut; larger ones are one level.
+COUNT_LEVELS = 100_000
 #: Words in a task's partial counts before they are sent on.
-HELD_WORDS = 700_000
+HELD_WORDS = 300_000
 
 
 def _texts(batch, column: int):
@@ -70,10 +72,8 @@ class Code:
     """Symbols of words, the tree, and class masses; travels to the tasks."""
 
     def __init__(self, top: list[tuple[bytes, int]], mass: dict[int, tuple[int, int]], total: int, types: int):
-        self.total, self.types = total, types
-        self.counts = dict(top)
-        self.leaf = {w: i for i, (w, _) in enumerate(top[:cm.LEAVES])}
-        leaves = len(self.leaf)
+        self.total, self.types, self.words = total, types, [w for w, _ in top]
+        leaves = min(cm.LEAVES, len(top))
         # what is left of each class once the leaves are taken out
         n = np.array([mass.get(k, (0, 0))[0] for k in range(cm.CLASSES)], float)
         v = np.array([mass.get(k, (0, 0))[1] for k in range(cm.CLASSES)], float)
@@ -82,25 +82,31 @@ class Code:
             v[cm.word_class(w)] -= 1
         self.class_total = n + ALPHA * (v + 1)
         self.weights = [c for _, c in top[:cm.LEAVES]] + list(n + ALPHA)
-        self.first_class = leaves
         self.tree = cm.Tree(self.weights)
-
-    def symbol(self, word: bytes) -> int:
-        s = self.leaf.get(word)
-        return self.first_class + cm.word_class(word) if s is None else s
-
-
-class _Symbols(dict):
-    """word -> symbol, remembered; emptied when large."""
+        # by word number, then by class for words outside the vocabulary:
+        # symbol, base log-probability, log share of the class
+        count = np.array([c for _, c in top], float)
+        kind = np.array([cm.word_class(w) for w, _ in top], np.int64)
+        self.symbol = np.concatenate((np.arange(leaves), leaves + kind[leaves:], leaves + np.arange(cm.CLASSES)))
+        out = np.zeros(cm.CLASSES)
+        self.base = np.concatenate((np.log10((count + ALPHA) / (total + ALPHA * (types + 1))), out))
+        share = np.log10((count + ALPHA) / self.class_total[kind])
+        share[:leaves] = 0
+        self.share = np.concatenate((share, out))
+
+
+class _Numbers(dict):
+    """word -> its number in the vocabulary, or the vocabulary's size plus its
+    class; numbers of other words are remembered, a bounded number of them."""
 
     def __init__(self, code: Code):
-        super().__init__()
-        self.code = code
+        super().__init__(zip(code.words, range(len(code.words)), strict=True))
+        self.size = len(code.words)
 
     def __missing__(self, word):
-        if len(self) > 500_000:
-            self.clear()
-        s = self[word] = self.code.symbol(word)
+        s = self.size + cm.word_class(word)
+        if len(self) < self.size + 200_000:
+            self[word] = s
         return s
 
 
@@ -109,7 +115,7 @@ def _count_bits(code_bc):
         import pyarrow as pa
         import zstandard
         code = code_bc.value
-        symbols = _Symbols(code)
+        numbers = _Numbers(code)
         into = [np.zeros(2 << cm.SLOT_BITS, np.uint32) for _ in range(cm.HASHED)]
         for batch in batches:
             held, size = [], 0
@@ -119,7 +125,7 @@ def _count_bits(code_bc):
                                   np.concatenate([np.arange(len(h)) for h in held]), into)
                     held, size = [], 0
                 if ws is not None:
-                    held.append(np.fromiter(map(symbols.__getitem__, ws), np.int64, len(ws)))
+                    held.append(code.symbol[np.fromiter(map(numbers.__getitem__, ws), np.int64, len(ws))])
                     size += len(ws)
         pack = zstandard.ZstdCompressor(level=1).compress
         rows = [(k * BLOCKS + b, pack(part.tobytes())) for k in range(cm.HASHED)
@@ -152,32 +158,23 @@ def _score(code_bc, tables_bc, held_out_column: int):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         code = code_bc.value
-        symbols = _Symbols(code)
+        numbers = _Numbers(code)
         raw = tables_bc.value
         tables = [np.frombuffer(raw[k], np.uint32) for k in range(cm.HASHED)]
         mixer = cm.Mixer(code.tree, code.tree.node_odds(code.weights), tables)
-        z = code.total + ALPHA * (code.types + 1)
         for whole in batches:
             for lo in range(0, whole.num_rows, 1024):
                 batch = whole.slice(lo, 1024)
                 docs, n, known, base, extra, rare_w, rare_n = [], [], [], [], [], [], []
                 for ws in _texts(batch, 1):
-                    docs.append(np.fromiter(map(symbols.__getitem__, ws), np.int64, len(ws)))
-                    b = s = 0.0
-                    k, rare = 0, {}
-                    for w, times in Counter(ws).items():
-                        c = code.counts.get(w)
-                        if c is None:
-                            rare[w] = times
-                            continue
-                        k += times
-                        b += times * math.log10((c + ALPHA) / z)
-                        if w not in code.leaf:
-                            s += times * math.log10((c + ALPHA) / code.class_total[cm.word_class(w)])
+                    at = np.fromiter(map(numbers.__getitem__, ws), np.int64, len(ws))
+                    docs.append(code.symbol[at])
+                    other = np.flatnonzero(at >= numbers.size)
+                    rare = Counter([ws[i] for i in other])
                     n.append(len(ws))
-                    known.append(k)
-                    base.append(b)
-                    extra.append(s)
+                    known.append(len(ws) - len(other))
+                    base.append(float(code.base[at].sum()))
+                    extra.append(float(code.share[at].sum()))
                     rare_w.append(list(rare))
                     rare_n.append(list(rare.values()))
                 scores = mixer.score(docs) / math.log(10) + np.array(extra) if docs else []
@@ -204,9 +201,14 @@ def fit(docs: DataFrame, training: Column, text: str = "text"):
                    "word-counts")
     classes = (counts.groupBy(_class_of(F.col("word")).alias("k")).agg(F.sum("n"), F.count("*")).collect())
     total, types = sum(r[1] for r in classes), sum(r[2] for r in classes)
-    top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()  # a fixed number of words
-    if total == 0:
-        top = []
+    # the least count that keeps the vocabulary within its size, then the words above it
+    often = sorted(counts.groupBy(F.least("n", F.lit(COUNT_LEVELS)).alias("n")).count().collect(), reverse=True)
+    least, room = COUNT_LEVELS, VOCABULARY
+    for n, many in often:
+        if many > room:
+            break
+        least, room = n, room - many
+    top = sorted(counts.where(F.col("n") >= least).collect(), key=lambda r: (-r[1], r[0])) if total else []
     code = sc.broadcast(Code([(bytes(w), n) for w, n in top], {r[0]: (r[1], r[2]) for r in classes}, total, types))
     blocks = cm.HASHED * BLOCKS
     summed = (rows.mapInArrow(_count_bits(code), "block int, data binary")

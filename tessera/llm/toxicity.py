@@ -24,8 +24,8 @@ at most ``FIT_ROWS`` of them and the logistic function on at most
 are parameters, and they bound the broadcast model too.  Scoring covers every
 word of every text.
 
-Defined cases: an empty or null text scores the logistic intercept; null
-labels are ignored; several labels of one id count as toxic if one is;
+Defined cases: a null text or one without words scores the share of toxic
+rows among the labelled ones; null labels are ignored; several labels of one id count as toxic if one is;
 without labelled rows of both classes every score is 0.  Rows with equal ids
 are scored one by one.
 """
@@ -49,7 +49,6 @@ WINDOW = 16
 HEADS = (3, 4, 5)
 WORD_DISCOUNT, HEAD_DISCOUNT = 4.0, 2.0
 COUNTS = "word binary, toxic int, n long"
-FEATURES = "toxic int, a double, b double, c double"
 
 
 def _count(batches: Iterator) -> Iterator:
@@ -142,19 +141,19 @@ class Memo(dict):
         return r
 
 
-def features(text: str | None, memo: Memo) -> tuple[float, float, float]:
-    """Largest window, mean of the two largest, mean of all (per word)."""
+def features(text: str | None, memo: Memo) -> tuple[float, float, float, int]:
+    """Largest window, mean of the two largest, mean of all (per word); words."""
     ws = words(text)
     if not ws:
-        return 0.0, 0.0, 0.0
+        return 0.0, 0.0, 0.0, 0
     get = memo.__getitem__
     wins = [sum(map(get, set(ws[i:i + WINDOW]))) / WINDOW for i in range(0, len(ws), WINDOW)]
     total = sum(wins) * WINDOW / len(ws)
     first = max(wins)
     if len(wins) > 1:
         wins.remove(first)
-        return first, (first + max(wins)) / 2, total
-    return first, first / 2, total
+        return first, (first + max(wins)) / 2, total, len(ws)
+    return first, first / 2, total, len(ws)
 
 
 def _logistic(x, y, ridge: float = 1e-2, steps: int = 50):
@@ -173,18 +172,19 @@ def _logistic(x, y, ridge: float = 1e-2, steps: int = 50):
 
 
 def _features_udf(model_bc):
-    @F.pandas_udf("a double, b double, c double")
+    @F.pandas_udf("a double, b double, c double, words long")
     def of(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         memo = Memo(model_bc.value)
         for col in texts:
-            yield pd.DataFrame([features(t, memo) for t in col], columns=["a", "b", "c"])
+            yield pd.DataFrame([features(t, memo) for t in col], columns=["a", "b", "c", "words"])
     return of
 
 
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column, key: str = "doc_id",
         text: str = "text", label: str = "toxic", fit_rows: int = FIT_ROWS,
         calibration_rows: int = CALIBRATION_ROWS):
-    """(broadcast model, logistic weights) or None without both classes.
+    """(broadcast model, logistic weights, share of toxic rows), or None
+    without both classes.
 
     ``allowed`` is a condition on ``key`` that labelled rows must meet.
     """
@@ -216,7 +216,7 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, key: str = "doc_id"
             .select("toxic", "f.*").toPandas())
     if seen["toxic"].nunique() < 2:
         return None
-    return bc, _logistic(seen[["a", "b", "c"]].to_numpy(), seen["toxic"].to_numpy())
+    return bc, _logistic(seen[["a", "b", "c"]].to_numpy(), seen["toxic"].to_numpy()), float(seen["toxic"].mean())
 
 
 def score(docs: DataFrame, fitted, key: str = "doc_id", text: str = "text",
@@ -230,7 +230,8 @@ def score(docs: DataFrame, fitted, key: str = "doc_id", text: str = "text",
     else:
         w = fitted[1]
         z = F.lit(w[0]) + F.col("_f.a") * w[1] + F.col("_f.b") * w[2] + F.col("_f.c") * w[3]
-        out = base.withColumn("score", 1 / (1 + F.exp(-z))).drop("_f")
+        out = base.withColumn("score", F.when(F.col("_f.words") == 0, F.lit(fitted[2]))
+                              .otherwise(1 / (1 + F.exp(-z)))).drop("_f")
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
