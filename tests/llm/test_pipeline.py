@@ -1,0 +1,81 @@
+"""The pipeline's stages on a small corpus with planted cases."""
+import random
+
+import pytest
+
+import corpus_pipeline
+from tessera.llm.common import words
+
+RNG = random.Random(21)
+VOCAB = ["".join(RNG.choices("abcdefghij", k=RNG.randint(3, 7))) for _ in range(800)]
+
+
+def text(n):
+    return " ".join(RNG.choices(VOCAB, k=n))
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    d = str(tmp_path_factory.mktemp("sf"))
+    rows, labels = [], []
+    for i in range(1200):  # labelled ground: toxic ones carry marker words
+        ws = text(RNG.randint(20, 60)).split()
+        if i % 4 == 0:
+            for w in ("hateful", "hatefully", "rotten") * 2:
+                ws.insert(RNG.randrange(len(ws)), w)
+        rows.append((i, " ".join(ws)))
+        labels.append((i, int(i % 4 == 0)))
+    base, passage, item = text(80), text(60), text(30)
+    edited = base.split()
+    edited[40] = "edit"
+    rows += [(5000, base), (5001, base), (5002, " ".join(edited)), (5000, base), (5003, None), (None, text(30)),
+             (5010, text(40) + " " + passage + " " + text(40)), (5011, text(40) + " " + passage + " " + text(40)),
+             (5020, text(50) + " " + item + " " + text(50)), (5021, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "doc_id", "text", "'en' as lang", "'s' as source", "length(text) as n_chars")
+    docs.write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{d}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    return d, dict(labels), passage, item
+
+
+def test_stages_one_by_one(spark, folder, tmp_path):
+    d, truth, passage, item = folder
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    columns = docs.columns
+    seen = {}
+    for name, function in corpus_pipeline.STAGES:
+        out = function(spark, docs, d)
+        out.write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        seen[name] = docs.collect()
+        assert name == "packing" or docs.columns == columns
+    ids = {name: [r.doc_id for r in rows] for name, rows in seen.items()}
+    left = set(ids["toxicity"])
+    right = sum((i in left) == (t == 0) for i, t in truth.items())
+    assert right / len(truth) > 0.97 and {5000, 5001, 5003, None, 5021} <= left
+    assert ids["near_duplicates"].count(5000) == 1 and not {5001, 5002} & set(ids["near_duplicates"])
+    assert {5003, None, 5021, 5010, 5011} <= set(ids["near_duplicates"])
+    texts = {r.doc_id: r.text for r in seen["substring_dedup"]}
+    assert passage in texts[5010] and passage not in texts[5011] and texts[5003] is None
+    assert all(r.n_chars == len(r.text) for r in seen["substring_dedup"] if r.text is not None)
+    assert 5020 not in ids["decontamination"] and set(ids["substring_dedup"]) - {5020} == set(ids["decontamination"])
+    assert set(ids["packing"]) == set(ids["decontamination"])
+    assert len(words(texts[5010])) == 140
+
+
+def test_run_equals_the_stages(spark, folder):
+    d = folder[0]
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    for _, function in corpus_pipeline.STAGES:
+        docs = function(spark, docs, d)
+    cols = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    got = corpus_pipeline.run(spark, d).select(cols)
+    assert got.exceptAll(docs.select(cols)).count() == 0 and got.count() == docs.count()
+
+
+def test_every_operator_is_registered():
+    from tessera.llm import registry
+    names = list(registry.queries())
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
+    assert set(registry.oracle_sql()) <= set(names) and len(corpus_pipeline.STAGES) == 5
