@@ -40,8 +40,8 @@ VOCABULARY = 250_000
 ALPHA = 0.1
 END = b""
 BLOCKS = 16
-#: Counts told apart when the vocabulary is cut; larger ones are one level.
-COUNT_LEVELS = 100_000
+#: Levels of a doubling of the count at which the vocabulary can be cut.
+COUNT_LEVELS = 256
 #: Words in a task's partial counts before they are sent on.
 HELD_WORDS = 300_000
 
@@ -201,14 +201,14 @@ def fit(docs: DataFrame, training: Column, text: str = "text"):
                    "word-counts")
     classes = (counts.groupBy(_class_of(F.col("word")).alias("k")).agg(F.sum("n"), F.count("*")).collect())
     total, types = sum(r[1] for r in classes), sum(r[2] for r in classes)
-    # the least count that keeps the vocabulary within its size, then the words above it
-    often = sorted(counts.groupBy(F.least("n", F.lit(COUNT_LEVELS)).alias("n")).count().collect(), reverse=True)
-    least, room = COUNT_LEVELS, VOCABULARY
-    for n, many in often:
+    # the lowest level of counts that keeps the vocabulary within its size, then its words
+    level = F.floor(F.log2("n") * COUNT_LEVELS)
+    room, least = VOCABULARY, math.inf
+    for at, many in sorted(counts.groupBy(level.alias("at")).count().collect(), reverse=True):
         if many > room:
             break
-        least, room = n, room - many
-    top = sorted(counts.where(F.col("n") >= least).collect(), key=lambda r: (-r[1], r[0])) if total else []
+        least, room = at, room - many
+    top = sorted(counts.where(level >= F.lit(float(least))).collect(), key=lambda r: (-r[1], r[0]))
     code = sc.broadcast(Code([(bytes(w), n) for w, n in top], {r[0]: (r[1], r[2]) for r in classes}, total, types))
     blocks = cm.HASHED * BLOCKS
     summed = (rows.mapInArrow(_count_bits(code), "block int, data binary")
