@@ -180,6 +180,6 @@ def test_whole_characters():
 @pytest.mark.parametrize("n", [0, 1, 49, 50, 51, 200])
 def test_anchor_windows_cover_every_window_once(n):
     buf = np.random.default_rng(n).integers(97, 100, n).astype(np.uint8)
-    _, _, first, count = substrings._anchors(buf, np.arange(n, 0, -1))
+    _, _, first, count, _ = substrings._anchors(buf, np.arange(n, 0, -1))
     got = sorted(w for f, c in zip(first, count) for w in range(f, f + c))
     assert got == list(range(max(0, n - 49)))
