@@ -28,6 +28,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -46,8 +47,10 @@ COUNT_LEVELS = 256
 HELD_WORDS = 300_000
 
 
-def _texts(batch, column: int):
-    return [words(t) + [END] for t in batch.column(column).to_pylist()]
+def _texts(batch, column: int) -> Iterator[list[bytes]]:
+    """Words of one text after the other: a batch's words are never held at once."""
+    for text in batch.column(column):
+        yield words(text.as_py()) + [END]
 
 
 def _count_words(batches: Iterator) -> Iterator:
@@ -119,7 +122,7 @@ def _count_bits(code_bc):
         into = [np.zeros(2 << cm.SLOT_BITS, np.uint32) for _ in range(cm.HASHED)]
         for batch in batches:
             held, size = [], 0
-            for ws in _texts(batch, 0) + [None]:
+            for ws in chain(_texts(batch, 0), [None]):
                 if held and (ws is None or size > 200_000):
                     cm.count_bits(code.tree, np.concatenate(held),
                                   np.concatenate([np.arange(len(h)) for h in held]), into)
@@ -163,8 +166,8 @@ def _score(code_bc, tables_bc, held_out_column: int):
         tables = [np.frombuffer(raw[k], np.uint32) for k in range(cm.HASHED)]
         mixer = cm.Mixer(code.tree, code.tree.node_odds(code.weights), tables)
         for whole in batches:
-            for lo in range(0, whole.num_rows, 1024):
-                batch = whole.slice(lo, 1024)
+            for lo in range(0, whole.num_rows, 512):
+                batch = whole.slice(lo, 512)
                 docs, n, known, base, extra, rare_w, rare_n = [], [], [], [], [], [], []
                 for ws in _texts(batch, 1):
                     at = np.fromiter(map(numbers.__getitem__, ws), np.int64, len(ws))
