@@ -40,7 +40,7 @@ def tag_blocks(df: DataFrame, key: str, item: str, block_size: int) -> DataFrame
         raise ValueError("block_size must be >= 1")
     hot = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_deg")).where(F.col("_deg") > block_size)
            .select(key, F.ceil(F.col("_deg") / F.lit(block_size)).cast("int").alias("_nb")))
-    tagged = df.join(hot, key, "left").withColumn("_nb", F.coalesce("_nb", F.lit(1)))
+    tagged = df.join(hot.hint("merge"), key, "left").withColumn("_nb", F.coalesce("_nb", F.lit(1)))
     return tagged.withColumn(
         "_blk", F.when(F.col("_nb") == 1, F.lit(0))
                  .otherwise(F.pmod(F.xxhash64(F.col(item)), F.col("_nb")).cast("int")))
