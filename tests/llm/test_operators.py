@@ -3,6 +3,7 @@ nulls, empty texts, ties, repeated rows, clashing columns, empty tables."""
 import hashlib
 import math
 import random
+import struct
 import zlib
 from collections import Counter
 
@@ -98,6 +99,29 @@ def test_substring_dedup(docs_of, monkeypatch, many, buffer, flush):
     assert Counter(tuple(r) for r in got) == brute_removed(rows)
 
 
+def test_shard_over_two_mebibytes():
+    rng = np.random.default_rng(17)
+    noise = lambda n: rng.integers(97, 123, n).astype(np.uint8).tobytes()
+    snippets = [noise(70) for _ in range(50_000)]
+    assert 3 << 20 < 50_000 * 70 < substrings.SHARD
+    for a, b in ((5, 9), (20_000, 49_000), (31_000, 40_000), (45_000, 49_999), (49_990, 7)):  # past 2 MiB: from 29,960
+        shared = noise(58)
+        snippets[a], snippets[b] = shared + noise(12), noise(12) + shared
+    first = {}
+    for doc, t in enumerate(snippets):
+        for k in range(21):
+            first.setdefault(t[k:k + 50], doc)
+    want = {(doc, k) for doc, t in enumerate(snippets) for k in range(21) if first[t[k:k + 50]] < doc}
+    rows = [(0, substrings.SNIPPETS, doc, None, struct.pack("<IiIB", 1, doc, 0, 21) + t)
+            for doc, t in enumerate(snippets)]
+    got = set()
+    for batch in substrings._sort_shards(1)(iter([substrings._batch(rows)])):
+        for r in batch.to_pylist():
+            for a, b in np.frombuffer(r["data"], "<u4").reshape(-1, 2).tolist():
+                got |= {(r["doc"], k) for k in range(a, b - 49)}
+    assert got == want and len(want) == 45
+
+
 def test_dedup_texts_keeps_rows_and_columns(docs_of):
     df = docs_of(CORPUS)
     out = substrings.dedup_texts(df)
