@@ -211,12 +211,12 @@ def extract_text(html: str | None, weights: dict[str, float]) -> str:
         run += w
         if run > best:
             best, start, stop = run, at, i + 1
-    # A run that lies in a marked element is read in that element's bounds.
+    # A run that lies wholly in the only marked element is read in its bounds.
     opens = [i for i, w in marks if w == "open"]
     closes = [i for i, w in marks if w == "close"]
     if len(opens) == 1 and start < stop:
         end = closes[-1] if closes and closes[-1] > opens[0] else len(seq)
-        if start < end and stop > opens[0]:
+        if opens[0] < start and stop <= end:
             start, stop = opens[0], end
     blocks: list[str] = []
     line: list[str] = []

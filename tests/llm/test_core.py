@@ -143,6 +143,14 @@ def test_extraction_with_and_without_marks():
     assert html.extract_text("<p>one<p>two<!-- never closed", {}) == "one\ntwo"
 
 
+def test_a_small_article_does_not_replace_the_scan():
+    body = "".join(f"<p>body part {i} of the page's long main text</p>" for i in range(9))
+    for teaser in ("<article>read this too</article>", "<main><p>read this too</p></main>"):
+        for page in (f"<div>{body}{teaser}</div>", f"<div>{teaser}{body}</div>"):
+            got = html.extract_text(page, {})
+            assert all(f"body part {i} of the page's long main text" in got for i in range(9))
+
+
 def test_rotation_keeps_lengths_and_angles():
     x = np.random.default_rng(0).normal(size=(5, 24))
     y = ann.rotate(x, 3)
