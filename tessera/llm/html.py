@@ -6,6 +6,10 @@ and tags negative; words enclosed by an element that labelled pages keep
 outside their article score negative too.  One linear scan (Kadane) finds
 the contiguous run with the highest score; elements inside the run that are
 no part of an article (menus, forms, adverts, comments, ...) are left out.
+A class may also name furniture on an element that holds the article (``<div
+class="no-comments">``): such an element is scanned on its own as well, and
+if its best run, at a quarter of its score, is the page's best, neither it
+nor an element around it is furniture.
 
 Weights come from labelled pages: pages whose markup names their content
 with exactly one ``<article>`` or ``<main>``.  For each kind, Spark counts
@@ -36,11 +40,12 @@ from pyspark.sql import functions as F
 from tessera.llm.common import ship
 
 # Element names of the HTML standard by their role.
-RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "object",
+RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg",
        "select", "title", "canvas", "audio", "video"}
 BOILERPLATE = {"nav", "header", "footer", "aside", "form", "head", "button", "menu", "dialog",
                "fieldset", "label", "input", "option"}
 CONTENT = {"article", "main"}
+WHOLE = CONTENT | {"html", "body"}  # never furniture, whatever their class says
 BLOCK = {"address", "article", "aside", "blockquote", "body", "br", "center", "dd", "details",
          "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1",
          "h2", "h3", "h4", "h5", "h6", "head", "header", "hr", "html", "li", "main", "menu", "nav",
@@ -55,6 +60,8 @@ FURNITURE = {"ad", "ads", "advert", "advertisement", "adverts", "banner", "bread
              "navigation", "newsletter", "notice", "notification", "pagination", "popup", "promo",
              "promoted", "related", "replies", "reply", "share", "sharing", "sidebar", "signup",
              "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget"}
+#: Share of a score that text inside an element of a furniture class keeps.
+FURNITURE_SHARE = 0.25
 
 _ITEM = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -69,50 +76,61 @@ def _furniture(attrs: str) -> str:
     return ""
 
 
-def items(html: str) -> Iterator[tuple[str, str, str]]:
-    """``(what, kind, text)`` in page order; ``what`` is open, close or text.
+def items(html: str) -> Iterator[tuple[str, str, str, int, str]]:
+    """``(what, kind, text, frame, plain)`` in page order; ``what`` is open,
+    close or text.
 
     A text's kind is ``word:<context>``: the nearest enclosing furniture or
-    boilerplate element, else ``word:a`` inside a link, else ``word:text``.
+    boilerplate element, else ``word:a`` inside a link, else ``word:text``;
+    ``plain`` is its kind without furniture.  ``frame`` is 0, or the number of
+    the nearest element of a furniture class; ``~frame`` inside a boilerplate
+    element there.
     """
-    stack: list[tuple[str, str]] = []  # (element, its context or "")
-    pos, n = 0, len(html)
+    stack: list[tuple[str, str, int]] = []  # (element, its context or "", frame)
+    pos, n, frames = 0, len(html), 0
 
-    def context() -> str:
+    def word(text: str):
         link = False
-        for name, ctx in reversed(stack):
-            if ctx:
-                return ctx
+        for name, ctx, _ in reversed(stack):
             link |= name == "a"
-        return "a" if link else "text"
+            if ctx:
+                break
+        else:
+            ctx = ""
+        plain = "word:a" if link else "word:text"
+        return "text", f"word:{ctx}" if ctx else plain, text, frame(), plain
+
+    def frame() -> int:
+        return stack[-1][2] if stack else 0
 
     while pos < n:
         m = _ITEM.search(html, pos)
         if m is None:
-            yield "text", f"word:{context()}", html[pos:]
+            yield word(html[pos:])
             return
         if m.start() > pos:
-            yield "text", f"word:{context()}", html[pos:m.start()]
+            yield word(html[pos:m.start()])
         pos = m.end()
         if m[2] is None:
             if m[0].startswith("<![CDATA["):
-                yield "text", f"word:{context()}", m[0][9:].removesuffix("]]>").replace("&", "&amp;")
+                yield word(m[0][9:].removesuffix("]]>").replace("&", "&amp;"))
             continue
         name = m[2].lower()
         if m[1]:
             at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             if at is not None:
                 del stack[at:]
-            yield "close", f"tag:{name}" if name in BLOCK | CONTENT else "tag:inline", name
+            kind = f"tag:{name}" if name in BLOCK | CONTENT else "tag:inline"
+            yield "close", kind, name, frame(), kind
             continue
-        furniture = _furniture(m[3])
+        furniture = "" if name in WHOLE else _furniture(m[3])
         if furniture:
             kind, ctx = f"tag:.{furniture}", f".{furniture}"
         elif name in BOILERPLATE:
             kind, ctx = f"tag:{name}", name
         else:
             kind, ctx = (f"tag:{name}" if name in BLOCK | CONTENT | RAW else "tag:inline"), ""
-        yield "open", kind, name
+        yield "open", kind, name, frame(), kind
         if name in VOID or m[3].rstrip().endswith("/"):
             continue
         if name in RAW:  # its content is no markup: skip to its end tag
@@ -123,18 +141,24 @@ def items(html: str) -> Iterator[tuple[str, str, str]]:
             while stack and stack[-1][0] in ("p", "b", "i", "em", "strong", "span", "a", "u") \
                     and any(s[0] == "p" for s in stack):
                 stack.pop()
-        stack.append((name, ctx))
+        at = frame()
+        if name in BOILERPLATE and at >= 0:
+            at = ~at
+        elif furniture and at >= 0:
+            frames += 1
+            at = frames
+        stack.append((name, ctx, at))
 
 
 def _label_counts(html: str) -> dict[str, list[int]] | None:
     """Items per kind [inside, outside] the page's only article, else None."""
     seq = list(items(html))
     for mark in ("article", "main"):
-        opens = [i for i, (w, _, t) in enumerate(seq) if w == "open" and t == mark]
-        closes = [i for i, (w, _, t) in enumerate(seq) if w == "close" and t == mark]
+        opens = [i for i, (w, _, t, *_) in enumerate(seq) if w == "open" and t == mark]
+        closes = [i for i, (w, _, t, *_) in enumerate(seq) if w == "close" and t == mark]
         if len(opens) == 1 and len(closes) == 1 and opens[0] < closes[0]:
             counts: dict[str, list[int]] = {}
-            for i, (what, kind, text) in enumerate(seq):
+            for i, (what, kind, text, _, _) in enumerate(seq):
                 if what == "open" and text == mark or what == "close" and text == mark:
                     continue
                 n = len(text.split()) if what == "text" else 1
@@ -189,28 +213,55 @@ def fit_weights(pages: DataFrame, html: str = "html") -> dict[str, float]:
     return out
 
 
+class _Scan:
+    """Kadane's scan over the items of one frame."""
+    __slots__ = ("parent", "run", "at", "best", "start", "stop", "outside")
+
+    def __init__(self, parent: int):
+        self.parent, self.at, self.start, self.stop = parent, 0, 0, 0
+        self.run = self.best = self.outside = 0.0
+
+    def add(self, i: int, inside: float, outside: float) -> None:
+        self.outside += outside  # what the frame weighs for the frames around it
+        if self.run <= 0:
+            self.run, self.at = 0.0, i
+        self.run += inside
+        if self.run > self.best:
+            self.best, self.start, self.stop = self.run, self.at, i + 1
+
+
 def extract_text(html: str | None, weights: dict[str, float]) -> str:
     """Text of the best-scoring run of one page."""
     if not html:
         return ""
     seq = list(items(html))
-    marks = [(i, w) for i, (w, _, t) in enumerate(seq) if t in CONTENT and w != "text"]
-    best = run = 0.0
-    start = at = 0
-    stop = 0
-    for i, (what, kind, text) in enumerate(seq):
+    marks = [(i, w) for i, (w, _, t, *_) in enumerate(seq) if t in CONTENT and w != "text"]
+
+    def weight(kind: str) -> float:
         w = weights.get(kind)
-        if w is None:
-            w = prior(kind)
-        if what == "text":
-            w *= len(text.split())
-        elif text in CONTENT:
-            w = -0.05
-        if run <= 0:
-            run, at = 0.0, i
-        run += w
-        if run > best:
-            best, start, stop = run, at, i + 1
+        return prior(kind) if w is None else w
+
+    # one scan; a run lies in one frame, and frames inside that one count as furniture
+    scans = [_Scan(0)]
+    live = [0]
+    for i, (what, kind, text, frame, plain) in enumerate(seq):
+        at = frame if frame >= 0 else ~frame
+        while live[-1] > at:
+            left = scans[live.pop()]
+            scans[live[-1]].add(i, left.outside, left.outside)
+        if live[-1] < at:
+            scans += [_Scan(live[-1]) for _ in range(at + 1 - len(scans))]
+            live.append(at)
+        n = len(text.split()) if what == "text" else 1
+        outside = -0.05 if what != "text" and text in CONTENT else weight(kind) * n
+        inside = weight(plain) * n if what == "text" and frame >= 0 else outside
+        scans[at].add(i, inside, outside)
+    won = max(range(len(scans)), key=lambda f: (scans[f].best * (FURNITURE_SHARE if f else 1), -f))
+    start, stop = scans[won].start, scans[won].stop
+    shown = {0, won}  # the frame of the run and those around it
+    while won:
+        won = scans[won].parent
+        shown.add(won)
     # A run that lies wholly in the only marked element is read in its bounds.
     opens = [i for i, w in marks if w == "open"]
     closes = [i for i, w in marks if w == "close"]
@@ -227,10 +278,9 @@ def extract_text(html: str | None, weights: dict[str, float]) -> str:
             blocks.append(text)
         line.clear()
 
-    for what, kind, text in seq[start:stop]:
+    for what, _, text, frame, _ in seq[start:stop]:
         if what == "text":
-            name = kind[5:]
-            if name in ("text", "a") or not (name.startswith(".") or name in BOILERPLATE):
+            if frame in shown:
                 line.append(text)
         elif text in BLOCK or text in CONTENT:
             flush()

@@ -151,6 +151,25 @@ def test_a_small_article_does_not_replace_the_scan():
             assert all(f"body part {i} of the page's long main text" in got for i in range(9))
 
 
+@pytest.mark.parametrize("open_, close", [
+    ('<div id="content" class="no-comments">', "</div>"), ('<article class="post share">', "</article>"),
+    ('<main class="with-sidebar">', "</main>"), ('<div class="has-sidebar"><div class="post share">', "</div></div>"),
+    ('<div class="no-ads"><article>', "</article></div>")])
+def test_containers_of_the_article_are_no_furniture(open_, close):
+    want = "Title & more\nFirst bold words here.\nSecond <p> part"
+    page = PAGE.format(open=open_, close=close)
+    assert html.extract_text(page, {}) == want
+    page = page.replace("<html>", '<html class="no-ads">').replace("<body>", '<body class="has-sidebar">')
+    assert html.extract_text(page, {}) == want
+    assert html.extract_text(page.replace("<nav>", "<p>Home of things</p><nav>").replace(
+        "Second", "Second " + "word " * 40), {}).startswith("Title & more\nFirst bold words here.\nSecond word")
+
+
+def test_formulas_and_fallback_text_are_kept():
+    page = "<article><p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> and <object data='a.swf'>a film</object></p></article>"
+    assert html.extract_text(page, {}) == "so x=2 and a film"
+
+
 def test_rotation_keeps_lengths_and_angles():
     x = np.random.default_rng(0).normal(size=(5, 24))
     y = ann.rotate(x, 3)
