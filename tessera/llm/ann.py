@@ -95,6 +95,17 @@ def _norms(x):
     return top[:, 0] * np.sqrt(((x / top) ** 2).sum(axis=1))
 
 
+def _best(scores, ids, k: int):
+    """Places of the best score of each of the ``k`` best distinct ids."""
+    order = np.lexsort((ids, -scores))
+    size = 2 * k
+    while True:
+        _, first = np.unique(ids[order[:size]], return_index=True)
+        if len(first) >= k or size >= len(order):
+            return order[np.sort(first)[:k]]
+        size *= 4
+
+
 def _search(queries_bc, k: int, tables: int, share: float):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -131,7 +142,7 @@ def _search(queries_bc, k: int, tables: int, share: float):
                         s, near = best[d][j]
                         s = np.concatenate((s, (unit[found] * q[j]).sum(axis=1)))
                         near = np.concatenate((near, ids[found]))
-                        top = np.lexsort((near, -s))[:k]
+                        top = _best(s, near, k)
                         best[d][j] = (s[top], near[top])
         out = [(int(prepared[d][0][j]), int(v), float(s))
                for d in best for j, (ss, vs) in enumerate(best[d]) for s, v in zip(ss, vs, strict=True)]

@@ -305,6 +305,13 @@ def test_nearest(spark):
     assert [m[1] for m in got[1200]] == [1250] and set(got) == {*range(0, 700, 50), 1200, 1250}
 
 
+def test_nearest_of_repeated_rows(spark):
+    rows = [(0, [1.0, 0.0, 0.0])] + [(1, [1.0, 0.01, 0.0])] * 5 + [(i, [1.0, 0.1 * i, 0.0]) for i in range(2, 8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1)
+    got = ann.nearest(df, F.expr("vec_id = 0"), k=5, probes=1.0).orderBy("rank").collect()
+    assert [(r["rank"], r.vec_id) for r in got] == [(i, i) for i in range(1, 6)]
+
+
 def test_empty_tables(spark, docs_of):
     none = spark.createDataFrame([], "doc_id long, text string")
     labels = spark.createDataFrame([], "doc_id long, toxic int")
