@@ -12,7 +12,8 @@ about ``QUERY_BLOCK`` rows, each block broadcast to one pass over all rows.
 A task hashes its rows, looks the buckets up, scores the candidates and
 keeps the best ``k`` per query, so a bucket that holds a third of all rows
 stays spread over the tasks that read them, and only ``k`` rows per query
-and task are shuffled.
+and task are shuffled.  Queries whose buckets held fewer than ``k`` rows get
+one more such pass in which every row is a candidate.
 
 Defined cases: vectors that are null, empty, zero, or hold a null or
 non-finite component take no part; vectors of another dimension than the
@@ -30,7 +31,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ship
+from tessera.llm.common import ship, stage
 
 TABLES = 12
 PROBES = 0.047    # share of a table's buckets that a query probes, two at least
@@ -106,13 +107,16 @@ def _best(scores, ids, k: int):
         size *= 4
 
 
-def _search(queries_bc, k: int, tables: int, share: float):
+def _search(queries_bc, k: int, tables: int, share: float | None):
+    """Tasks' best ``k`` per query; without a ``share`` every row is a candidate."""
+    tables = 0 if share is None else tables
+
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         prepared = {}
         for d, (ids, q) in queries_bc.value.items():
             size = 2 << max(0, (d - 1).bit_length())
-            n = min(size, max(2, math.ceil(size * share)))
+            n = min(size, max(2, math.ceil(size * (share or 0))))
             prepared[d] = (ids, q / _norms(q)[:, None],
                            [probe_order(q, t, n) for t in range(tables)])
         best = {d: [(np.empty(0), np.empty(0, np.int64))] * len(p[0]) for d, p in prepared.items()}
@@ -131,7 +135,7 @@ def _search(queries_bc, k: int, tables: int, share: float):
                         order = np.argsort(b, kind="stable")
                         lists.append((order, np.searchsorted(b[order], np.arange(4 * d + 4))))
                     for j in range(len(qids)):
-                        mark = np.zeros(len(ids), bool)
+                        mark = np.full(len(ids), share is None)
                         for t, (order, bounds) in enumerate(lists):
                             for b in probes[t][j]:
                                 mark[order[bounds[b]:bounds[b + 1]]] = True
@@ -162,15 +166,31 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id",
     data = rows.select(F.col(key).cast("long").alias("_id"), F.col(vector).alias("_v"))
     queries = (rows.where(is_query & F.col(key).isNotNull())
                .groupBy(F.col(key).cast("long").alias("_id")).agg(F.min(vector).alias("_v")))
-    blocks = max(1, -(-queries.count() // block))
-    found = None
-    for b in range(blocks):
-        part = queries.where(F.pmod(F.xxhash64("_id"), F.lit(blocks)) == b).collect()
-        bc = sc.broadcast(_by_dimension([r[0] for r in part], [r[1] for r in part]))
-        hits = data.mapInArrow(_search(bc, k, tables, probes), NEAREST)
-        found = hits if found is None else found.unionByName(hits)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    # several tasks may report the same id once each when rows repeat
-    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    return (found.withColumn("rank", F.row_number().over(order).cast("int"))
-            .where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
+
+    def search(queries: DataFrame, share: float | None) -> DataFrame | None:
+        """One pass over all rows for each block of usable queries."""
+        found = None
+        blocks = max(1, -(-queries.count() // block))
+        for b in range(blocks):
+            part = queries.where(F.pmod(F.xxhash64("_id"), F.lit(blocks)) == b).collect()
+            usable = _by_dimension([r[0] for r in part], [r[1] for r in part])
+            if usable:
+                hits = data.mapInArrow(_search(sc.broadcast(usable), k, tables, share), NEAREST)
+                found = hits if found is None else found.unionByName(hits)
+        return found
+
+    def ranked(found: DataFrame) -> DataFrame:
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        # several tasks may report the same id once each when rows repeat
+        found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        return (found.withColumn("rank", F.row_number().over(order).cast("int"))
+                .where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
+
+    found = search(queries, probes)
+    if found is None:
+        return ranked(rows.sparkSession.createDataFrame([], NEAREST))
+    found = stage(ranked(found), "nearest")
+    # queries whose buckets held fewer than k rows are searched among all rows
+    full = found.where(F.col("rank") == k).select(F.col("query_id").alias("_id"))
+    more = search(queries.join(full, "_id", "left_anti"), None)
+    return found if more is None else ranked(found.drop("rank").unionByName(more))

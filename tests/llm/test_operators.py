@@ -312,6 +312,16 @@ def test_nearest_of_repeated_rows(spark):
     assert [(r["rank"], r.vec_id) for r in got] == [(i, i) for i in range(1, 6)]
 
 
+def test_nearest_returns_all_candidates_if_few(spark):
+    rows = [(0, [1.0, 2.0]), (1, [-1.0, -2.0]), (2, [1.0] + [0.0] * 63), (None, [3.0, 1.0]), (9, None)]
+    rows += [(10 + i, [-1.0] + [0.01 * (j == i) for j in range(1, 64)]) for i in range(1, 8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = ann.nearest(df, F.expr("vec_id in (0, 2, 9)"), k=5, block=1).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r["rank"], r.vec_id) for r in got] == [(0, 1, 1)] + [(2, i, 10 + i) for i in range(1, 6)]
+    assert abs(got[0].score + 1) < 1e-12
+    assert ann.nearest(df, F.expr("vec_id = 9")).count() == 0
+
+
 def test_empty_tables(spark, docs_of):
     none = spark.createDataFrame([], "doc_id long, text string")
     labels = spark.createDataFrame([], "doc_id long, toxic int")
