@@ -47,18 +47,34 @@ def ranks_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def added_tokens() -> dict[str, int]:
+    """Added tokens of ``byte_bpe_50k.json``, which are matched in texts as they stand."""
+    import json
+
+    import public_tokenizers
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    if any(a["single_word"] or a["lstrip"] or a["rstrip"] for a in added):
+        raise ValueError("added tokens that depend on their surroundings")
+    return {a["content"]: a["id"] for a in added}
+
+
 class Tokens(dict):
     """Text -> token ids as little-endian uint32 bytes.
 
     The byte-pair rank file holds the vocabulary of ``byte_bpe_50k.json``;
     ids are the same as the ``tokenizers`` library's for that file, tested
-    on whole texts.  Texts are cut before single spaces, where the
+    on whole texts.  Texts are first split at the ``added`` tokens; without
+    them these are read as ordinary text.  What lies between is cut before single spaces, where the
     pre-tokeniser always cuts too, and the chunks remembered.  Runs of white
     space that its look-ahead could join across a cut go through whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: dict[str, int] | None = None):
         super().__init__()
+        self._added = {t: np.array([i], "<u4").tobytes() for t, i in (added or {}).items()}
+        longest = sorted(self._added, key=len, reverse=True)
+        self._split = re.compile(f"({'|'.join(map(re.escape, longest))})").split if longest else None
         import base64
 
         import public_tokenizers
@@ -78,6 +94,11 @@ class Tokens(dict):
         return out
 
     def ids(self, text: str) -> bytes:
+        if self._split is None:
+            return self._ordinary(text)
+        return b"".join(self._added.get(part) or self._ordinary(part) for part in self._split(text))
+
+    def _ordinary(self, text: str) -> bytes:
         if not text:
             return b""
         if _RUNS.search(text):
@@ -93,10 +114,10 @@ def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     return [(0, first)] + [(s, capacity) for s in range(first, n, capacity)]
 
 
-def _pieces(path: str, capacity: int, keep_ids: bool):
+def _pieces(path: str, added: dict[str, int], capacity: int, keep_ids: bool):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        tokens, seen, task = Tokens(path), {}, TaskContext.get().partitionId()
+        tokens, seen, task = Tokens(path, added), {}, TaskContext.get().partitionId()
         for batch in batches:
             key = batch.column(0)
             src, rows = [], []
@@ -189,7 +210,8 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int
     ship()
     src = docs.select(F.col(key).alias("doc_id"), F.col(text))
     id_type = src.schema["doc_id"].dataType.simpleString()
-    pieces = stage(src.mapInArrow(_pieces(ranks or ranks_path(), capacity, keep_ids),
+    added = {} if ranks else added_tokens()
+    pieces = stage(src.mapInArrow(_pieces(ranks or ranks_path(), added, capacity, keep_ids),
                                   f"doc_id {id_type}, {PIECES}"), "pieces")
     per_task = pieces.groupBy("task", "length").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)

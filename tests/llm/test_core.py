@@ -89,6 +89,21 @@ def test_ids_equal_the_tokenizers_library():
         assert np.frombuffer(ours.ids(text), "<u4").tolist() == want, text
 
 
+def test_added_tokens_equal_the_tokenizers_library():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ours = packing.Tokens(packing.ranks_path(), packing.added_tokens())
+    rng = random.Random(6)
+    texts = ["", "a b", "<|endoftext|>", "end of doc <|endoftext|> next one", "a  <|endoftext|>  b", "<|endoftext|",
+             "x<|endoftext|><|endoftext|>\n\ny", "<|<|endoftext|>|>", "<|ENDOFTEXT|>"]
+    texts += ["".join(rng.choices([" ", "\n", "<|endoftext|>", "<|", "ab", "1", "'s"], k=rng.randint(1, 30)))
+              for _ in range(300)]
+    for text in texts:
+        want = t.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ours.ids(text), "<u4").tolist() == want, text
+
+
 def test_sketch_coordinates_estimate_similarity():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 1 << 62, 400).astype(np.uint64)

@@ -225,6 +225,11 @@ def test_packing(docs_of, spark):
         assert [r.start for r in parts[::copies]] == [s for s, _ in packing.cut(len(whole) // 4, 256)]
 
 
+def test_packing_of_added_tokens(docs_of):
+    rows = packing.pack(docs_of([(1, "end of doc <|endoftext|> next one")]), keep_ids=True).collect()
+    assert [np.frombuffer(r.ids, "<u4").tolist() for r in rows] == [[437, 286, 2205, 220, 50256, 1306, 530, 0]]
+
+
 @pytest.mark.parametrize("tolerance", [0.002, 0.3])
 def test_sharding(docs_of, tolerance):
     rows = CORPUS + [(i, BASE) for i in range(400, 700)] + [(700, LONG)] * 50 + [(i, text(i % 40)) for i in range(800, 1200)]
