@@ -211,6 +211,20 @@ def test_mixer_is_a_distribution_and_learns():
     assert mixer.score([same])[0] > 0.5 * 400 * np.log(0.05)  # adapts within a document
 
 
+def test_mixer_learns_from_the_token_two_places_back():
+    rng = np.random.default_rng(1)
+    tree = contextmix.Tree([1] * 40)
+    docs = []
+    for _ in range(60):  # every second token tells the one two places on; those between are noise
+        doc = rng.integers(0, 40, 60)
+        doc[::2] = (doc[0] + 7 * np.arange(30)) % 40
+        docs.append(doc)
+    tables = [np.zeros(2 << contextmix.SLOT_BITS, np.uint32) for _ in range(contextmix.HASHED)]
+    contextmix.count_bits(tree, np.concatenate(docs[:50]), np.concatenate([np.arange(60)] * 50), tables)
+    mixer = contextmix.Mixer(tree, tree.node_odds([1] * 40), [contextmix.shrink(t) for t in tables])
+    assert mixer.score(docs[50:]).sum() > 0.95 * 10 * 60 * np.log(1 / 40)
+
+
 def test_whole_characters():
     raw = "aé日b".encode()
     assert substrings.whole_characters(raw, [(0, 2)]) == [(0, 1)]
