@@ -6,9 +6,6 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MED = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -22,8 +19,3 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
-
-
-def rows(df):
-    return sorted((tuple(r) for r in df.collect()),
-                  key=lambda t: tuple((v is not None, v if v is not None else 0) for v in t))

@@ -8,7 +8,7 @@ from tessera.operators import email as E
 from tessera.plans.email_ingest import ingest_emails, rejects_file_name
 from tessera.sources import eml
 from tessera.sources.tables import documents
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 MULTI = (b"From: a@x.org\nSubject: hi\nMIME-Version: 1.0\n"
          b"Content-Type: multipart/mixed; boundary=\"BB\"\n\n"

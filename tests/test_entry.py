@@ -1,5 +1,5 @@
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 
 def test_entry_runs(spark):

@@ -9,7 +9,7 @@ from tessera.plans.io_jobs import movie_lines, rating_lines
 from tessera.operators import predictions as P
 from tessera.operators import similarity as S
 from tessera.sources.tables import movies, ratings
-from conftest import SF_SMALL, rows
+from support import SF_SMALL, rows
 
 
 @pytest.fixture(scope="module")

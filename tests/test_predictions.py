@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from tessera.operators import predictions as P
 from tessera.operators import similarity as S
 from tessera.sources.tables import movies, ratings
-from conftest import SF_SMALL, rows
+from support import SF_SMALL, rows
 
 RS = "userid bigint, movieid bigint, rating double"
 SS = "movie1 bigint, movie2 bigint, corr double"

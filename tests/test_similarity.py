@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import similarity as S
 from tessera.sources.tables import ratings
-from conftest import SF_SMALL, rows
+from support import SF_SMALL, rows
 
 SCHEMA = "userid bigint, movieid bigint, rating double"
 

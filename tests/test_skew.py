@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import predictions as P
 from tessera.operators import similarity as S
-from conftest import rows
+from support import rows
 
 
 @pytest.fixture(scope="module")

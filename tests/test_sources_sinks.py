@@ -10,7 +10,7 @@ from tessera.sinks import writers as W
 from tessera.sources import delimited as D
 from tessera.sources.files import inline_source, list_files_recursive
 from tessera.session import checkpoint_root, scratch_path
-from conftest import rows
+from support import rows
 
 
 def _write(path, text):
