@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tessera.llm import (ann, decontaminate, html, lm, neardup, packing, sharding, substrings,
-                         toxicity, urls)
+from tessera.llm import (ann, decontaminate, html, lm, neardup, packing, periodic, phrases, sharding,
+                         substrings, tokencount, toxicity, urls)
 from tessera.llm.common import table
 
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
@@ -55,6 +55,18 @@ def op10_nearest_neighbours(spark, sf_dir):
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.expr("vec_id % 50 = 0"), k=5)
 
 
+def op11_periodic_runs(spark, sf_dir):
+    return periodic.run_digest(table(spark, sf_dir, "documents"))
+
+
+def op12_token_counts(spark, sf_dir):
+    return tokencount.token_counts(table(spark, sf_dir, "documents"), limit=4096)
+
+
+def op13_collocations(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"), lengths=3, min_count=10, first=2000, covered=50)
+
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -93,6 +105,34 @@ ORACLE = {
                d.doc_id = min(r.y) as kept
         from documents d left join sizes z on z.doc_id = d.doc_id join reach r on r.x = d.doc_id
         group by d.doc_id, z.n""",
+    "op13_collocations": f"""
+        with pieces as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[.,;:!?\\x0A-\\x0D]')) as p
+            from documents),
+        words as (select lang, list_filter(regexp_split_to_array(p, '[\\x20\\x09]+'), lambda x: x <> '') as w
+            from pieces),
+        grams as (select lang, m, unnest(list_transform(range(1, len(w) - m + 2),
+                lambda i: array_to_string(w[i:i + m - 1], ' '))) as phrase
+            from words, (values (1), (2), (3)) as sizes(m) where len(w) >= m),
+        counts as (select lang, m, phrase, count(*) as a from grams group by lang, m, phrase),
+        total as (select lang, sum(a)::bigint as n from counts where m = 1 group by lang),
+        cand as (select *, string_split(phrase, ' ') as w from counts where m >= 2 and a >= 10),
+        cuts as (select lang, m, phrase, a, k, array_to_string(w[1:k], ' ') as x, array_to_string(w[k + 1:], ' ') as y
+            from cand, (values (1), (2)) as ks(k) where k < m),
+        scored as (select c.*, p.a as l, q.a as r,
+                ((1000000::hugeint * c.a * c.a) // (p.a::hugeint * q.a))::bigint as score
+            from cuts c join counts p on p.lang = c.lang and p.phrase = c.x and p.m = c.k
+            join counts q on q.lang = c.lang and q.phrase = c.y and q.m = c.m - c.k),
+        best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+        longer as (select lang, phrase, max(a) as b from (
+                select lang, array_to_string(w[1:2], ' ') as phrase, a from cand where m = 3
+                union all select lang, array_to_string(w[2:3], ' '), a from cand where m = 3) as sub
+            group by lang, phrase),
+        kept as (select b.* from best b left join longer o on o.lang = b.lang and o.phrase = b.phrase
+            where o.b is null or 100 * o.b < 50 * b.a),
+        ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+        select d.lang, d.rank, d.phrase, d.a, d.l, d.r, t.n, d.score
+        from ranked d join total t on t.lang = d.lang where d.rank <= 2000""",
     "op2_url_filter": f"""
         with rules(verdict, host, path, rule) as (values {_RULE_SQL}),
         cut as (select page_id, case when strpos(url, '://') > 0
@@ -115,7 +155,8 @@ def pipeline(spark, sf_dir):
 
 
 QUERIES = (op1_decontamination, op2_url_filter, op3_sharding, op4_language_model, op5_substring_dedup,
-           op6_near_duplicates, op7_html_text, op8_toxicity, op9_packing, op10_nearest_neighbours, pipeline)
+           op6_near_duplicates, op7_html_text, op8_toxicity, op9_packing, op10_nearest_neighbours,
+           op11_periodic_runs, op12_token_counts, op13_collocations, pipeline)
 
 
 def queries():

@@ -77,5 +77,5 @@ def test_run_equals_the_stages(spark, folder):
 def test_every_operator_is_registered():
     from tessera.llm import registry
     names = list(registry.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
     assert set(registry.oracle_sql()) <= set(names) and len(corpus_pipeline.STAGES) == 5
