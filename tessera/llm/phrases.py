@@ -26,7 +26,7 @@ Words are ``[^\\x20\\x09]+`` in the pieces between ``[.,;:!?\\x0A-\\x0D]``, with
 lowered.
 
 Defined cases: a null text counts as empty; a null group is the group ``und``;
-repeated rows each count; ids are not read; very long pieces are counted whole;
+repeated rows each count; ids are not read; a text is counted whole, however long;
 an empty table, or one without words, gives no rows.  Further columns, whatever
 their names, are not read.
 """
@@ -44,19 +44,21 @@ from tessera.llm.common import WordHash, mix64, ship, stage
 
 #: One row of so many is mined for the proposal, which takes what occurs
 #: ``SAMPLE_COUNT`` times there.  Both only decide how much later passes count.
-SHARE, SAMPLE_COUNT = 4, 2
+SHARE, SAMPLE_COUNT = 8, 2
 #: Largest bit array sent to the tasks (32 MiB); about 16 bits a phrase below it.
 MAX_BITS = 1 << 28
-#: Words that a task counts together.
-STRETCH = 1 << 20
+#: Words that a task counts together, hashes of words it remembers, and rows it
+#: hands on at once.
+STRETCH, MEMO, ROWS = 1 << 18, 200_000, 1 << 14
 
-_CUT = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
+END = b"\xff"  # ends a piece; no byte of a UTF-8 text
+_CUT = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", END * 10)
 COUNTED = "lang string, m int, phrase string, n long"
 
 
-def pieces(text: bytes) -> list[list[bytes]]:
-    """The words of each piece of a text."""
-    return [p.split() for p in text.lower().translate(_CUT).split(b"\n")]
+def words_of(text: bytes) -> list[bytes]:
+    """The words of a text, with ``END`` wherever a piece ends."""
+    return text.lower().translate(_CUT).replace(END, b" \xff ").split()
 
 
 def _slot(h: np.ndarray, bits: int) -> np.ndarray:
@@ -82,25 +84,16 @@ def _join(h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
     return mix64(h1 ^ (h2 * np.uint64(0x9E3779B97F4A7C15)))
 
 
-def _phrase_hash(phrase: bytes, lang: int, memo: WordHash) -> int:
-    h = None
-    for w in phrase.split(b" "):
-        x = np.array([memo[w]], np.uint64) ^ np.uint64(lang)
-        h = x if h is None else _join(h, x)
-    return int(h[0])
-
-
 class _Stretch:
-    """Words of one group's pieces as numbers, 0 between pieces."""
+    """Words of one group's texts as numbers, 0 where a piece ends."""
 
     def __init__(self):
-        self.number: dict[bytes, int] = defaultdict(lambda: len(self.number) + 1)
+        self.number: dict[bytes, int] = defaultdict(lambda: len(self.number), {END: 0})
         self.seq: list[int] = []
 
     def add(self, words: list[bytes]) -> None:
-        if words:
-            self.seq += map(self.number.__getitem__, words)
-            self.seq.append(0)
+        self.seq += map(self.number.__getitem__, words)
+        self.seq.append(0)
 
 
 def _counted(stretch: _Stretch, lang: int, memo: WordHash, lengths: int, words_too: bool,
@@ -108,9 +101,8 @@ def _counted(stretch: _Stretch, lang: int, memo: WordHash, lengths: int, words_t
     """(length, phrases, counts) of the phrases of a stretch that this pass counts."""
     import pyarrow as pa
     import pyarrow.compute as pc
-    vocabulary = pa.array([b"", *stretch.number], pa.binary())
-    hashes = np.fromiter(map(memo.__getitem__, stretch.number), np.uint64, len(stretch.number))
-    hashes = np.concatenate([np.zeros(1, np.uint64), hashes ^ np.uint64(lang)])
+    vocabulary = pa.array(stretch.number, pa.binary())
+    hashes = np.fromiter(map(memo.__getitem__, stretch.number), np.uint64, len(stretch.number)) ^ np.uint64(lang)
     seq = np.array(stretch.seq, np.int64)
     if words_too:
         n = np.bincount(seq, minlength=len(vocabulary))
@@ -160,7 +152,7 @@ def _count(lengths: int, words_too: bool, now_bc, before_bc):
         import pyarrow as pa
         now = Proposal(now_bc.value if now_bc else None)
         before = Proposal(before_bc.value) if before_bc else None
-        memo = WordHash()
+        memo = WordHash(MEMO)
         held: dict[str, _Stretch] = defaultdict(_Stretch)
         size = 0
 
@@ -168,10 +160,11 @@ def _count(lengths: int, words_too: bool, now_bc, before_bc):
             for lang, stretch in held.items():
                 seed = memo[b"\0" + lang.encode()]
                 for m, phrase, n in _counted(stretch, seed, memo, lengths, words_too, now, before):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(phrase), pa.string()), pa.array(np.full(len(phrase), m, np.int32)),
-                         phrase.cast(pa.string()), pa.array(n.astype(np.int64))],
-                        names=["lang", "m", "phrase", "n"])
+                    for at in range(0, len(phrase), ROWS):
+                        some = phrase[at:at + ROWS].cast(pa.string())
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([lang] * len(some), pa.string()), pa.array(np.full(len(some), m, np.int32)),
+                             some, pa.array(n[at:at + ROWS].astype(np.int64))], names=["lang", "m", "phrase", "n"])
             held.clear()
 
         for batch in batches:
@@ -179,32 +172,37 @@ def _count(lengths: int, words_too: bool, now_bc, before_bc):
             for lang, text in zip(langs, batch.column(1).cast(pa.binary()), strict=True):
                 if not text.is_valid:
                     continue
-                stretch = held[lang]
-                for words in pieces(text.as_py()):
-                    stretch.add(words)
-                    size += len(words)
-                    if size >= STRETCH:
-                        yield from flush()
-                        size, stretch = 0, held[lang]
+                words = words_of(text.as_py())
+                held[lang].add(words)
+                size += len(words)
+                if size >= STRETCH:
+                    yield from flush()
+                    size = 0
         yield from flush()
     return run
 
 
-def _hashes():
-    """(group, phrase) rows -> hashes of the phrases."""
+def _hashes(m: int):
+    """(group, phrase of m words) rows -> hashes of the phrases."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        memo = WordHash()
+        memo = WordHash(MEMO)
         for batch in batches:
-            h = [_phrase_hash(p.encode(), memo[b"\0" + lang.encode()], memo)
-                 for lang, p in zip(*(c.to_pylist() for c in batch.columns[:2]), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(h, np.uint64).view(np.int64))], names=["h"])
+            langs, texts = (c.to_pylist() for c in batch.columns[:2])
+            seed = np.fromiter((memo[b"\0" + x.encode()] for x in langs), np.uint64, len(langs))
+            words = (memo[w] for t in texts for w in t.encode().split(b" "))
+            each = np.fromiter(words, np.uint64, m * len(texts)).reshape(-1, m) ^ seed[:, None]
+            h = each[:, 0]
+            for j in range(1, m):
+                h = _join(h, each[:, j])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
     return run
 
 
-def _bits(phrases: DataFrame) -> bytes:
-    """(lang, phrase) rows as a bit array; at most ``MAX_BITS / 64`` rows are collected."""
-    h = stage(phrases.select("lang", "phrase").mapInArrow(_hashes(), "h long"), "phrase-hashes")
+def _bits(phrases: DataFrame, m: int) -> bytes:
+    """(lang, phrase of m words) rows as a bit array; at most ``MAX_BITS / 64``
+    rows are collected."""
+    h = stage(phrases.select("lang", "phrase").mapInArrow(_hashes(m), "h long"), "phrase-hashes")
     n = max(1, h.count())
     size = min(MAX_BITS, max(64, 1 << (16 * n - 1).bit_length()))
     at = F.col("h").bitwiseAND(F.lit(size - 1))
@@ -233,7 +231,7 @@ def frequent_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", le
     levels = range(1, lengths)
     sample = one_pass(src.sample(1.0 / share, seed=13), sample_count, True, None, None, "phrases-sample")
     proposal = {m: sample.where(F.col("m") == m) for m in levels}
-    arrays = {m: _bits(proposal[m]) for m in levels}
+    arrays = {m: _bits(proposal[m], m) for m in levels}
     now, before, counted = send([arrays[m] for m in levels]), None, None
     while True:
         found = one_pass(src, min_count, before is None, now, before, "phrases-pass")
@@ -244,16 +242,16 @@ def frequent_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", le
         if all(f.isEmpty() for f in failures.values()):
             return counted
         proposal = {m: proposal[m].select("lang", "phrase").unionByName(failures[m]) for m in levels}
-        grown = {m: arrays[m] if failures[m].isEmpty() else _grown(arrays[m], failures[m]) for m in levels}
+        grown = {m: arrays[m] if failures[m].isEmpty() else _grown(arrays[m], failures[m], m) for m in levels}
         if grown == arrays:
             return counted  # other phrases' bits had proposed the failures
         arrays = grown
         now, before = send([arrays[m] for m in levels]), now
 
 
-def _grown(old: bytes, more: DataFrame) -> bytes:
+def _grown(old: bytes, more: DataFrame, m: int) -> bytes:
     """The array with further phrases, as large as the larger of the two."""
-    a, b = np.frombuffer(old, np.uint64), np.frombuffer(_bits(more), np.uint64)
+    a, b = np.frombuffer(old, np.uint64), np.frombuffer(_bits(more, m), np.uint64)
     size = max(len(a), len(b))
     return (np.tile(a, size // len(a)) | np.tile(b, size // len(b))).tobytes()
 
