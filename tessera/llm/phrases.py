@@ -19,8 +19,8 @@ What is sent to the tasks is the proposal as one bit array per phrase length, of
 at most ``MAX_BITS`` bits: a phrase whose bit is set by another is merely counted
 too.  Which passes count a phrase depends on the arrays alone, so no phrase is
 counted twice.  Tasks count in bounded stretches of text with numbers for words,
-and hand on one row per distinct phrase of a stretch; rows are combined before
-and after the shuffle on (group, phrase), so a frequent phrase is no hot key.
+and hand on one row per distinct phrase of a stretch, so that a frequent phrase
+is no hot key in the shuffle on (group, phrase).
 
 Words are ``[^\\x20\\x09]+`` in the pieces between ``[.,;:!?\\x0A-\\x0D]``, with A-Z
 lowered.
@@ -53,7 +53,7 @@ STRETCH, MEMO, ROWS = 1 << 18, 200_000, 1 << 14
 
 END = b"\xff"  # ends a piece; no byte of a UTF-8 text
 _CUT = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", END * 10)
-COUNTED = "lang string, m int, phrase string, n long"
+COUNTED = "lang string, phrase string, n long"
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -98,7 +98,8 @@ class _Stretch:
 
 def _counted(stretch: _Stretch, lang: int, memo: WordHash, lengths: int, words_too: bool,
              now: Proposal, before: Proposal | None):
-    """(length, phrases, counts) of the phrases of a stretch that this pass counts."""
+    """(phrases, counts) of the phrases of a stretch that this pass counts; the
+    empty phrase stands for all words."""
     import pyarrow as pa
     import pyarrow.compute as pc
     vocabulary = pa.array(stretch.number, pa.binary())
@@ -106,8 +107,8 @@ def _counted(stretch: _Stretch, lang: int, memo: WordHash, lengths: int, words_t
     seq = np.array(stretch.seq, np.int64)
     if words_too:
         n = np.bincount(seq, minlength=len(vocabulary))
-        yield 1, vocabulary[1:], n[1:]
-        yield 0, pa.array([b""], pa.binary()), n[1:].sum(keepdims=True)
+        yield vocabulary[1:], n[1:]
+        yield pa.array([b""], pa.binary()), n[1:].sum(keepdims=True)
     # the phrase of m words that starts at each place: whether it is proposed
     # now and was before, its hash, and a dense number
     h, ok = hashes[seq], seq > 0
@@ -131,7 +132,7 @@ def _counted(stretch: _Stretch, lang: int, memo: WordHash, lengths: int, words_t
         if wanted.any():
             start = at[first[wanted]]
             parts = [vocabulary.take(pa.array(seq[start + j])) for j in range(m)]
-            yield m, pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary())), n[wanted]
+            yield pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary())), n[wanted]
         if m == lengths:
             return
         hm = _join(h[:-1][at[first]], hashes[last[at[first]]])
@@ -147,7 +148,7 @@ def _counted(stretch: _Stretch, lang: int, memo: WordHash, lengths: int, words_t
 
 
 def _count(lengths: int, words_too: bool, now_bc, before_bc):
-    """(group, text) rows -> (group, length, phrase, count) rows of one pass."""
+    """(group, text) rows -> (group, phrase, count) rows of one pass."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         now = Proposal(now_bc.value if now_bc else None)
@@ -159,12 +160,12 @@ def _count(lengths: int, words_too: bool, now_bc, before_bc):
         def flush():
             for lang, stretch in held.items():
                 seed = memo[b"\0" + lang.encode()]
-                for m, phrase, n in _counted(stretch, seed, memo, lengths, words_too, now, before):
+                for phrase, n in _counted(stretch, seed, memo, lengths, words_too, now, before):
                     for at in range(0, len(phrase), ROWS):
                         some = phrase[at:at + ROWS].cast(pa.string())
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array([lang] * len(some), pa.string()), pa.array(np.full(len(some), m, np.int32)),
-                             some, pa.array(n[at:at + ROWS].astype(np.int64))], names=["lang", "m", "phrase", "n"])
+                            [pa.array([lang] * len(some), pa.string()), some,
+                             pa.array(n[at:at + ROWS].astype(np.int64))], names=["lang", "phrase", "n"])
             held.clear()
 
         for batch in batches:
@@ -225,8 +226,12 @@ def frequent_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", le
 
     def one_pass(rows, at_least, words_too, now, before, name):
         found = rows.mapInArrow(_count(lengths if now else lengths - 1, words_too, now, before), COUNTED)
-        found = found.groupBy("lang", "m", "phrase").agg(F.sum("n").alias("n"))
-        return stage(found.where((F.col("n") >= at_least) | (F.col("m") == 0)), name)
+        # a stretch's rows are distinct and few recur in another, so they are
+        # exchanged first: combining them again in the sending task holds much and saves little
+        found = found.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+        found = found.where((F.col("n") >= at_least) | (F.col("phrase") == ""))
+        m = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
+        return stage(found.select("lang", m.alias("m"), "phrase", "n"), name)
 
     levels = range(1, lengths)
     sample = one_pass(src.sample(1.0 / share, seed=13), sample_count, True, None, None, "phrases-sample")
