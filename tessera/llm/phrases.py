@@ -35,6 +35,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -47,15 +48,20 @@ from tessera.llm.common import WordHash, mix64, ship, stage
 SHARE, SAMPLE_COUNT = 8, 2
 #: Largest bit array sent to the tasks (32 MiB); about 16 bits a phrase below it.
 MAX_BITS = 1 << 28
-#: Words that a task counts together, hashes of words it remembers, and rows it
+#: Words that a task counts together, different words it remembers, and rows it
 #: hands on at once.
-STRETCH, MEMO, ROWS = 1 << 18, 200_000, 1 << 14
+STRETCH, MEMO, ROWS = 1 << 20, 400_000, 1 << 14
 
 END = b"\xff"  # ends a piece; no byte of a UTF-8 text
 _CUT = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", END * 10)
 COUNTED = "lang string, phrase string, n long"
 
 
+def _hash(word: bytes) -> int:
+    import xxhash
+    return xxhash.xxh3_64_intdigest(word)
+
+
 def words_of(text: bytes) -> list[bytes]:
     """The words of a text, with ``END`` wherever a piece ends."""
     return text.lower().translate(_CUT).replace(END, b" \xff ").split()
@@ -85,66 +91,87 @@ def _join(h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
 
 
 class _Stretch:
-    """Words of one group's texts as numbers, 0 where a piece ends."""
+    """Words of one group's texts as numbers, 0 where a piece ends.
+
+    Numbers and hashes of words are kept when a stretch is done, until a task
+    holds ``MEMO`` of them.
+    """
 
-    def __init__(self):
+    def __init__(self, lang: str):
         self.number: dict[bytes, int] = defaultdict(lambda: len(self.number), {END: 0})
         self.seq: list[int] = []
+        self._seed = np.uint64(_hash(b"\0" + lang.encode()))
+        self._hashes = np.empty(0, np.uint64)
+
+    def hashes(self) -> np.ndarray:
+        done = len(self._hashes)
+        new = np.fromiter(map(_hash, islice(self.number, done, None)), np.uint64, len(self.number) - done)
+        self._hashes = np.concatenate([self._hashes, new ^ self._seed])
+        return self._hashes
 
     def add(self, words: list[bytes]) -> None:
         self.seq += map(self.number.__getitem__, words)
         self.seq.append(0)
 
 
-def _counted(stretch: _Stretch, lang: int, memo: WordHash, lengths: int, words_too: bool,
-             now: Proposal, before: Proposal | None):
+def _counted(stretch: _Stretch, lengths: int, words_too: bool, now: Proposal, before: Proposal | None):
     """(phrases, counts) of the phrases of a stretch that this pass counts; the
     empty phrase stands for all words."""
     import pyarrow as pa
-    import pyarrow.compute as pc
     vocabulary = pa.array(stretch.number, pa.binary())
-    hashes = np.fromiter(map(memo.__getitem__, stretch.number), np.uint64, len(stretch.number)) ^ np.uint64(lang)
+    hashes = stretch.hashes()
     seq = np.array(stretch.seq, np.int64)
     if words_too:
-        n = np.bincount(seq, minlength=len(vocabulary))
-        yield vocabulary[1:], n[1:]
-        yield pa.array([b""], pa.binary()), n[1:].sum(keepdims=True)
+        n = np.bincount(seq)
+        n[0] = 0
+        at = np.flatnonzero(n)
+        yield vocabulary.take(pa.array(at)), n[at]
+        yield pa.array([b""], pa.binary()), n.sum(keepdims=True)
     # the phrase of m words that starts at each place: whether it is proposed
-    # now and was before, its hash, and a dense number
-    h, ok = hashes[seq], seq > 0
+    # now and was before, its hash, and a code that tells phrases apart
+    h, ok, v = hashes[seq], seq > 0, np.int64(len(vocabulary))
     proposed = ok & now.holds(1, hashes)[seq]
-    earlier = ok & before.holds(1, hashes)[seq] if before else np.zeros(len(seq), bool)
-    number = seq
+    earlier = ok & before.holds(1, hashes)[seq] if before else None
+    code, dense, plain = seq, int(v), True
     for m in range(2, lengths + 1):
         last = seq[m - 1:]
-        ok = ok[:-1] & (last > 0)
-        new = ok & proposed[:-1] & proposed[1:]
-        if before:
-            old = ok & earlier[:-1] & earlier[1:]
-            take = new & ~old
-        else:
-            old, take = None, new
-        # all phrases a pass over longer ones may need get a number; the rest are no candidates
-        at = np.flatnonzero(new)
-        code = number[:-1][at] * np.int64(len(vocabulary)) + last[at]
-        _, first, inverse, n = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
-        wanted = take[at][first]
-        if wanted.any():
-            start = at[first[wanted]]
-            parts = [vocabulary.take(pa.array(seq[start + j])) for j in range(m)]
-            yield pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary())), n[wanted]
+        at = np.flatnonzero(proposed[:-1] & proposed[1:] & (last > 0))
+        if dense * int(v) >> 62:  # codes of a text with very many words are numbered anew
+            kinds, code = np.unique(code, return_inverse=True)
+            dense, plain = len(kinds), False
+        code = code[:-1] * v + last
+        dense *= int(v)
+        old = earlier[at] & earlier[at + 1] if before else None
+        mine = at if old is None else at[~old]
+        if len(mine):
+            yield _spelt(vocabulary, seq, code, mine, m, plain)
         if m == lengths:
             return
-        hm = _join(h[:-1][at[first]], hashes[last[at[first]]])
-        h = np.zeros(len(new), np.uint64)
-        h[at] = hm[inverse]
-        number = np.zeros(len(new), np.int64)
-        number[at] = inverse
-        proposed, holds = np.zeros(len(new), bool), now.holds(m, hm)
-        proposed[at] = holds[inverse]
+        hm = _join(h[at], hashes[last[at]])
+        h = np.zeros(len(last), np.uint64)
+        h[at] = hm
+        proposed = np.zeros(len(last), bool)
+        proposed[at] = now.holds(m, hm)
         if before:
-            earlier, held = np.zeros(len(new), bool), before.holds(m, hm)
-            earlier[at] = held[inverse] & old[at]
+            earlier = np.zeros(len(last), bool)
+            earlier[at] = before.holds(m, hm) & old
+
+
+def _spelt(vocabulary, seq: np.ndarray, code: np.ndarray, at: np.ndarray, m: int, plain: bool):
+    """The distinct phrases of ``m`` words that start at ``at``, and their counts."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    if plain:  # the code is the numbers of the words
+        rest, n = np.unique(code[at], return_counts=True)
+        parts = []
+        for _ in range(m):
+            rest, w = np.divmod(rest, len(vocabulary))
+            parts.insert(0, w)
+    else:
+        _, first, n = np.unique(code[at], return_index=True, return_counts=True)
+        parts = [seq[at[first] + j] for j in range(m)]
+    words = [vocabulary.take(pa.array(w)) for w in parts]
+    return pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.binary())), n
 
 
 def _count(lengths: int, words_too: bool, now_bc, before_bc):
@@ -153,20 +180,20 @@ def _count(lengths: int, words_too: bool, now_bc, before_bc):
         import pyarrow as pa
         now = Proposal(now_bc.value if now_bc else None)
         before = Proposal(before_bc.value) if before_bc else None
-        memo = WordHash(MEMO)
-        held: dict[str, _Stretch] = defaultdict(_Stretch)
+        held: dict[str, _Stretch] = {}
         size = 0
 
         def flush():
             for lang, stretch in held.items():
-                seed = memo[b"\0" + lang.encode()]
-                for phrase, n in _counted(stretch, seed, memo, lengths, words_too, now, before):
+                for phrase, n in _counted(stretch, lengths, words_too, now, before) if stretch.seq else ():
                     for at in range(0, len(phrase), ROWS):
                         some = phrase[at:at + ROWS].cast(pa.string())
                         yield pa.RecordBatch.from_arrays(
                             [pa.array([lang] * len(some), pa.string()), some,
                              pa.array(n[at:at + ROWS].astype(np.int64))], names=["lang", "phrase", "n"])
-            held.clear()
+                stretch.seq.clear()
+            if sum(len(s.number) for s in held.values()) > MEMO:
+                held.clear()
 
         for batch in batches:
             langs = batch.column(0).to_pylist()
@@ -174,6 +201,8 @@ def _count(lengths: int, words_too: bool, now_bc, before_bc):
                 if not text.is_valid:
                     continue
                 words = words_of(text.as_py())
+                if lang not in held:
+                    held[lang] = _Stretch(lang)
                 held[lang].add(words)
                 size += len(words)
                 if size >= STRETCH:

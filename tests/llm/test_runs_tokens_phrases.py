@@ -199,18 +199,19 @@ def test_counts_are_closed_though_the_sample_proposes_nothing(spark):
     assert phrases.collocations(docs.where("false")).count() == 0
 
 
-def test_stretches_and_big_counts(spark, monkeypatch):
+@pytest.mark.parametrize("lengths,letters", [(3, 3), (7, 700)])
+def test_stretches_and_long_phrases(monkeypatch, lengths, letters):
     monkeypatch.setattr(phrases, "STRETCH", 7)
-    seq = " ".join(RNG.choices("pqr", k=500))
-    run = phrases._count(3, True, None, None)
+    seq = " ".join(RNG.choices([f"w{i}" for i in range(letters)] + ["p"], k=900))  # 700 ** 7 passes 62 bits
+    run = phrases._count(lengths, True, None, None)
     import pyarrow as pa
     got = Counter()
     for b in run(iter([pa.record_batch([pa.array(["en", "en"]), pa.array([seq, "p. q r"])], names=["l", "t"])])):
         for lang, p, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
             got[lang, p] += n
     w = seq.split()
-    expected = Counter({("en", ""): 503, ("en", "q r"): 1})
+    expected = Counter({("en", ""): 903, ("en", "q r"): 1})
     expected.update(("en", x) for x in ["p", "q", "r"])
-    for m in (1, 2, 3):
+    for m in range(1, lengths + 1):
         expected.update(("en", " ".join(w[i:i + m])) for i in range(len(w) - m + 1))
     assert got == expected
