@@ -22,8 +22,8 @@ counts, so a hot user is split into item blocks and duplicate ratings are
 carried as a multiplicity) and then joins the pairs to the similarity
 table on (movieid1, movieid2).  Rows are expanded back to their
 multiplicity only at the end (in spread chunks), so the multiset result is
-unchanged.  The "unseen" path counts, from the same pairs, which correlation levels
-a user has rated in full, and joins only the first other level.
+unchanged.  The "unseen" path compares bitmaps of the correlation levels of an
+item with bitmaps of the items a user has rated (:func:`_unseen_pairs`).
 """
 
 from __future__ import annotations
@@ -32,7 +32,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.stats import narrow_to_float
+from tessera.operators import bitmaps as B
 from tessera.operators.skew import DEFAULT_BLOCK_SIZE, blocked_self_join, spread
+from tessera.staging import stage
 
 CANDIDATE_MODES = ("seen", "unseen")
 
@@ -189,50 +191,85 @@ def seen_candidates(ratings: DataFrame, sim_table: DataFrame,
     return _expand(out, "mult")
 
 
-#: Users joined to one copy of an item's level.
+#: Users joined to one copy of an item's level bitmaps.
 USERS_PER_COPY = 50_000
 
 
-def _unseen_pairs(ratings: DataFrame, sim_table: DataFrame, block_size: int = DEFAULT_BLOCK_SIZE,
-                  users_per_copy: int = USERS_PER_COPY) -> DataFrame:
+def level_bitmaps(sim_table: DataFrame) -> DataFrame:
+    """``(movieid1, _bucket, _levels, _rank)``: the similar items of an item, bucket
+    by bucket, as bitmaps of the levels of equal correlation, best level first.
+
+    ``_levels`` holds ``(corr, words)`` with ``words`` of ``(cnt, word, bits)``:
+    items of that word, which the table repeats ``cnt`` times; 1,024 levels at
+    most.  ``_rank`` ranks an item's buckets by their best level.  Of an item's
+    several correlations to another only the highest can be the best unseen one,
+    so the rest is left out.
+    """
+    key = ["movieid1", "_bucket"]
+    pairs = (drop_self_pairs(sim_table).where(F.col("correlation_factor").isNotNull())
+             .withColumn("_bucket", B.bucket("movieid2")).repartition(*key)
+             .groupBy(*key, "movieid2", "correlation_factor").agg(F.count("*").alias("cnt"))
+             .groupBy(*key, "movieid2").agg(F.max(F.struct(F.col("correlation_factor").alias("corr"), "cnt")).alias("_top")))
+    words = (pairs.groupBy(*key, F.col("_top.corr").alias("corr"), F.col("_top.cnt").alias("cnt"),
+                           B.word("movieid2").alias("word")).agg(F.bit_or(B.bit("movieid2")).alias("bits")))
+    levels = words.groupBy(*key, "corr").agg(F.collect_list(F.struct("cnt", "word", "bits")).alias("words"))
+    buckets = levels.groupBy(*key).agg(
+        F.sort_array(F.collect_list(F.struct("corr", "words")), asc=False).alias("_levels"))
+    best = Window.partitionBy("movieid1").orderBy(F.desc(F.col("_levels")[0]["corr"]))
+    return buckets.withColumn("_rank", F.rank().over(best))
+
+
+def _unseen_pairs(ratings: DataFrame, sim_table: DataFrame, users_per_copy: int = USERS_PER_COPY) -> DataFrame:
     """(userid, movieid1, movieid2, correlation_factor, mult) of the best unseen candidates.
 
     An item's similar items fall into levels of equal correlation.  The best
     unseen candidates of (user, item) are what the user has not rated of the
-    first level that the user has not rated in full.  Levels rated in full are
-    found from the already-rated pairs alone: those a user has rated of a
-    level are counted and compared with the level's size.  Only the first
-    other level is then joined, so the cost follows the rated pairs and the
-    output.  Levels that many users ask for are copied, and their users dealt
-    over the copies, so a popular item is no hot key.  A pair that the
-    similarity table repeats counts once per level and keeps its rows.
+    first level that the user has not rated in full.  Both sides are bitmaps:
+    in a bucket the first level with a bit that the user's bitmap lacks is found
+    by ``level & ~rated``, and the best such level over the buckets wins.  Liked
+    and rated items are never paired, and items become rows only in the result.
+
+    A bucket in which a user rated ``d`` items is compared with ``d + 1`` levels
+    at most, and a user with ratings in ``k`` buckets with the ``k + 1`` best buckets
+    of an item, ties included.  Buckets are rows, so a user of very many ratings
+    is split by bucket.  Items that many users like are copied, and their users
+    dealt over the copies.  The level bitmaps are staged, as they are read twice.
     """
-    others = drop_self_pairs(sim_table).where(F.col("correlation_factor").isNotNull())
-    distinct = others.distinct()
-    level = ["movieid1", "correlation_factor"]
-    sizes = distinct.groupBy(*level).agg(F.count("*").alias("_size"))
-    order = Window.partitionBy("movieid1").orderBy(F.desc("correlation_factor"))
-    levels = sizes.withColumn("_lvl", F.row_number().over(order))
-    full = (_seen_pairs(ratings, distinct, block_size).groupBy("userid", *level)
-            .agg(F.count("*").alias("_seen")).join(levels, level).where("_seen = _size"))
-    group = Window.partitionBy("userid", "movieid1").orderBy("_lvl")
-    first = (full.withColumn("_rn", F.row_number().over(group)).where("_rn = _lvl")
-             .groupBy("userid", "movieid1").agg((F.max("_lvl") + 1).alias("_lvl")))
-    liked = (_user_item_counts(ratings).where(F.col("liked_cnt") > 0)
-             .select("userid", F.col("movieid").alias("movieid1"), F.col("liked_cnt").alias("mult"))
-             .join(first, ["userid", "movieid1"], "left").withColumn("_lvl", F.coalesce("_lvl", F.lit(1))))
-    asked = (liked.groupBy("movieid1", "_lvl").agg(F.count("*").alias("_users"))
-             .select("movieid1", "_lvl", F.ceil(F.col("_users") / users_per_copy).cast("int").alias("_copies")))
-    liked = liked.join(asked, ["movieid1", "_lvl"]).withColumn(
-        "_copy", F.pmod(F.xxhash64("userid"), F.col("_copies")).cast("int")).drop("_copies")
-    rows = (others.join(levels.drop("_size"), level).join(asked, ["movieid1", "_lvl"])
-            .withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))).drop("_copies"))
-    on = ["movieid1", "_lvl", "_copy"]
-    spu = spread(liked, *on).join(spread(rows, *on).hint("merge"), on).select(
-        "userid", "movieid1", "movieid2", "correlation_factor", "mult")
-    r = _rated(ratings).where(F.col("rating").isNotNull())
-    cond = (spu.userid == r.r_userid) & (spu.movieid2 == r.r_movieid)
-    return spu.join(r, cond, "left_anti")
+    levels = stage(level_bitmaps(sim_table), "level-bitmaps")
+    ui = _user_item_counts(ratings)
+    rated = (ui.where(F.col("rated_cnt") > 0).groupBy("userid", B.bucket("movieid").alias("_bucket"))
+             .agg(B.bitmap("movieid").alias("_rated")))
+    buckets = rated.groupBy("userid").agg(F.count("*").alias("_k"))
+    liked = (ui.where(F.col("liked_cnt") > 0)
+             .select("userid", F.col("movieid").alias("movieid1"), F.col("liked_cnt")))
+    copies = liked.groupBy("movieid1").agg(F.ceil(F.count("*") / users_per_copy).cast("int").alias("_copies"))
+    offered = levels.join(copies, "movieid1")
+    asked = (liked.join(buckets, "userid", "left")
+             .join(offered.select("movieid1", "_bucket", "_rank", "_copies"), "movieid1")
+             .where(F.col("_rank") <= F.coalesce("_k", F.lit(0)) + 1)
+             .join(rated, ["userid", "_bucket"], "left")
+             .select("userid", "movieid1", "_bucket", "liked_cnt", "_rated",
+                     F.pmod(F.xxhash64("userid"), F.col("_copies")).cast("int").alias("_copy")))
+    dealt = offered.select("movieid1", "_bucket", "_levels",
+                           F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_copy"))
+    on = ["movieid1", "_bucket", "_copy"]
+    both = spread(asked, *on).join(spread(dealt, *on).hint("merge"), on).withColumn("_d", B.size("_rated"))
+    first = F.expr("""if(_rated is null, _levels[0], get(filter(slice(_levels, 1, cast(_d as int) + 1),
+        l -> exists(l.words, e -> (e.bits & ~_rated[e.word]) != 0)), 0))""")
+    found = both.select("userid", "movieid1", "_bucket", "liked_cnt", "_rated", first.alias("_first"))
+    rest = F.expr("transform(_first.words, e -> struct(e.cnt, e.word, "
+                  "if(_rated is null, e.bits, e.bits & ~_rated[e.word]) as bits))")
+    found = found.where("_first is not null").select(
+        "userid", "movieid1", "_bucket", "liked_cnt", F.col("_first.corr").alias("correlation_factor"),
+        rest.alias("_rest"))
+    order = Window.partitionBy("userid", "movieid1").orderBy(F.desc("correlation_factor"))
+    best = spread(found, "userid", "movieid1").withColumn("_rk", F.rank().over(order)).where(F.col("_rk") == 1)
+    kind = sim_table.schema["movieid2"].dataType
+    return (best.select("*", F.inline("_rest")).withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(63))))
+            .where(F.expr("shiftrightunsigned(bits, _i) & 1 = 1"))
+            .select("userid", "movieid1",
+                    F.expr("shiftleft(_bucket, 10) + word * 64 + _i").cast(kind).alias("movieid2"),
+                    "correlation_factor", (F.col("liked_cnt") * F.col("cnt")).alias("mult")))
 
 
 def max_seen_correlation(ratings: DataFrame, sim_table: DataFrame,
@@ -248,8 +285,9 @@ def best_candidate_groups(ratings: DataFrame, sim: DataFrame, candidates: str =
     if candidates not in CANDIDATE_MODES:
         raise ValueError(f"candidates must be one of {CANDIDATE_MODES}, got {candidates!r}")
     st = similarity_table(sim, narrow)
-    cands = (_seen_pairs(ratings, st, block_size) if candidates == "seen"
-             else _unseen_pairs(ratings, st, block_size))
+    if candidates == "unseen":
+        return _unseen_pairs(ratings, st).withColumnRenamed("correlation_factor", "correlation")
+    cands = _seen_pairs(ratings, st, block_size)
     # rank() = 1 is a group limit: tasks keep their own best before the shuffle
     w = Window.partitionBy("userid", "movieid1").orderBy(F.col("correlation_factor").desc())
     return (cands.where(F.col("correlation_factor").isNotNull())

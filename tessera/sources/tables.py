@@ -10,33 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import scratch_path
-
-# (application id, key) -> path of a table already written in this application
-_STAGED: dict[tuple[str, str], str] = {}
-
+from tessera.staging import shared
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def staged(spark: SparkSession, key: str, build) -> DataFrame:
-    """Write ``build()`` once per application under the shared checkpoint
-    folder and return a scan of it.
-
-    Cuts the lineage of an input that several plans consume: each consumer
-    scans the written table instead of recomputing (and re-shuffling) it,
-    and a lost executor costs a re-read, not a recomputation.
-    """
-    k = (spark.sparkContext.applicationId, key)
-    path = _STAGED.get(k)
-    if path is None:
-        path = scratch_path(spark, "staged-" + "".join(c if c.isalnum() else "_" for c in key)[-60:])
-        build().write.mode("errorifexists").parquet(path)
-        _STAGED[k] = path
-    return spark.read.parquet(path)
-
-
 def ratings(spark: SparkSession, sf_dir: str, stage: bool = True) -> DataFrame:
     """Ratings ``(userid bigint, movieid bigint, rating double)``.
 
@@ -45,10 +24,11 @@ def ratings(spark: SparkSession, sf_dir: str, stage: bool = True) -> DataFrame:
     Repeated (customer, supplier) lines are kept — duplicates are part of
     the reproduced semantics.  With ``stage`` (default) the orders ⋈
     lineitem join runs once per application and is read back as a table,
-    like the rating file it stands for; ``stage=False`` returns the lazy join.
+    like the rating file it stands for (``tessera.staging.release(spark,
+    "ratings:" + sf_dir)`` gives a use back); ``stage=False`` returns the lazy join.
     """
     if stage:
-        return staged(spark, f"ratings:{sf_dir}", lambda: ratings(spark, sf_dir, stage=False))
+        return shared(spark, f"ratings:{sf_dir}", lambda: ratings(spark, sf_dir, stage=False))
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return (li.join(od, li.l_orderkey == od.o_orderkey)
