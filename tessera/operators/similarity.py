@@ -11,10 +11,10 @@ Two pair filters are offered:
 
 Plan shape (see ``explain``): ratings are first reduced to one row per
 (user, item) — count, Σr, Σr² — with partial aggregation, so duplicated
-ratings never multiply into pairs.  The self-join on user is the blocked
-join of :mod:`tessera.operators.skew`; per-pair sums are combinable, so
-the pair aggregate runs partially inside the join stage and only one row
-per (pair, task) is shuffled.
+ratings never multiply into pairs.  The self-join on user is the planned
+join of :mod:`tessera.operators.skew` (triangle blocks for ``item_lt_item``);
+per-pair sums are combinable, so the pair aggregate runs partially inside the
+stage that forms the pairs and only one row per (pair, task) is shuffled.
 """
 
 from __future__ import annotations
@@ -52,6 +52,13 @@ def user_item_stats(ratings: DataFrame) -> DataFrame:
         F.sum(F.col("rating") * F.col("rating")).alias("r_sq"))
 
 
+def user_degrees(ratings: DataFrame) -> DataFrame:
+    """``(userid, _deg)``: about how many items each user rated, without shuffling
+    a rating: counts and sketches are combined in the tasks that read."""
+    return ratings.groupBy("userid").agg(F.least(
+        F.count(F.lit(1)), F.approx_count_distinct("movieid")).alias("_deg"))
+
+
 def _check(pair_filter: str) -> None:
     if pair_filter not in PAIR_FILTERS:
         raise ValueError(f"pair_filter must be one of {PAIR_FILTERS}, got {pair_filter!r}")
@@ -67,15 +74,14 @@ def pair_sums(ratings: DataFrame, pair_filter: str = "user_lt_item",
     _check(pair_filter)
     ui = user_item_stats(ratings)
     right_filter = (F.col("userid") < F.col("movieid")) if pair_filter == "user_lt_item" else None
+    ordered = pair_filter == "item_lt_item"
     pairs = blocked_self_join(
-        ui, key="userid", item="movieid",
+        ui, key="userid", item="movieid", ordered=ordered, sizes=user_degrees(ratings),
         left_cols=[F.col("movieid").alias("movie1"), F.col("cnt").alias("c1"),
                    F.col("r_sum").alias("x"), F.col("r_sq").alias("xx")],
         right_cols=[F.col("movieid").alias("movie2"), F.col("cnt").alias("c2"),
                     F.col("r_sum").alias("y"), F.col("r_sq").alias("yy")],
         right_filter=right_filter, block_size=block_size)
-    if pair_filter == "item_lt_item":
-        pairs = pairs.where(F.col("movie1") < F.col("movie2"))
     return pairs.groupBy("movie1", "movie2").agg(
         F.sum(F.col("c1") * F.col("c2")).alias("size"),
         F.sum(F.col("x") * F.col("y")).alias("dot_product"),

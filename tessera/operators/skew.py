@@ -1,49 +1,45 @@
-"""Skew-safe join building blocks.
+"""Skew-safe building blocks: self-joins planned from the degree histogram.
 
 ``blocked_self_join`` pairs up the items of each key (all (left item, right
-item) combinations of one user, say) without putting a hot key's whole
-pair set into one task: a key with ``d`` items is cut into
-``nb = ceil(d / block_size)`` item blocks and the join runs on
-``(key, left block, right block)``, so the key's ``d²`` combinations are
-spread over ``nb²`` tasks of at most ``block_size²`` pairs each.  Rows of a
-hot key are replicated ``nb`` times per side — ``d²/block_size`` rows,
-a ``block_size``-th of the pairs that must be produced anyway.  Keys at or
-below ``block_size`` items take the plain path (one block, no copies).
-
-The per-key degree is a partial count over the pre-aggregated rows (one row
-per distinct item of a key); only keys above ``block_size`` are joined back to
-them.  The replicated sides are shuffled into a pinned number of partitions
-(:func:`spread`) and joined by sort-merge, so neither AQE's byte-based
-coalescing nor an estimate-based broadcast can put the fan-out back into a
-few tasks.
+item) combinations of one user, say).  A key with ``d`` items makes ``d²``
+pairs, so neither rows nor keys tell how much work a task gets.  The join is
+planned from the degrees instead:
+
+* a key above ``block_size`` items is cut into blocks and its pairs into *units*
+  ``(key, left block, right block)``; every other key is one unit.  No unit
+  makes more than about ``block_size²`` pairs;
+* with ``ordered`` only pairs with left item < right item are wanted: blocks are
+  then item ranges with balanced bounds, and only units with left block <= right
+  block exist (triangle blocks).  Every pair of a unit off the diagonal is
+  wanted; on the diagonal the join's own condition takes each pair once;
+* units are dealt over the cells of a hash, the pairs of each cell are summed
+  (one aggregation of the degrees; a bounded number of cells is collected), and
+  runs of cells become partitions of about ``PAIRS_PER_TASK`` pairs.  The number
+  of partitions thus follows the work, whatever ``spark.sql.shuffle.partitions``
+  says, and none holds much more than another.
+
+Rows are exchanged straight to their partition (``repartitionById``), which the
+join then uses as it is.  Where no key is hot and no filter tells the sides
+apart, both sides are one exchange that is read twice.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BLOCK_SIZE = 2048
-
-
-def tag_blocks(df: DataFrame, key: str, item: str, block_size: int) -> DataFrame:
-    """Add ``_nb`` (number of item blocks of the row's key) and ``_blk``.
-
-    ``_nb = ceil(degree / block_size)`` for keys above ``block_size`` rows,
-    else 1; ``_blk`` is the item's block, a hash of the item modulo ``_nb``.
-    Degrees are partial counts; only the keys above ``block_size`` are joined
-    back, so no task gathers a key's rows.
-    """
-    if block_size < 1:
-        raise ValueError("block_size must be >= 1")
-    hot = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_deg")).where(F.col("_deg") > block_size)
-           .select(key, F.ceil(F.col("_deg") / F.lit(block_size)).cast("int").alias("_nb")))
-    tagged = df.join(hot.hint("merge"), key, "left").withColumn("_nb", F.coalesce("_nb", F.lit(1)))
-    return tagged.withColumn(
-        "_blk", F.when(F.col("_nb") == 1, F.lit(0))
-                 .otherwise(F.pmod(F.xxhash64(F.col(item)), F.col("_nb")).cast("int")))
+#: Pairs that a partition holds on average.
+PAIRS_PER_TASK = 1 << 21
+#: Cells per partition, and the most cells that are collected.
+CELLS_PER_TASK, MAX_CELLS = 16, 1 << 20
+#: Fractions of a hot key's items that are known as possible block bounds.
+FRACTIONS = 1024
+#: Most block bounds (8 bytes each) of hot keys that are broadcast.
+BROADCAST_BOUNDS = 1_000_000
 
 
 def spread(df: DataFrame, *cols: str) -> DataFrame:
@@ -61,37 +57,137 @@ def spread(df: DataFrame, *cols: str) -> DataFrame:
     return df.repartition(n, *cols)
 
 
-def _replicas(nb: Column) -> Column:
-    return F.explode(F.when(nb == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), nb - 1)))
+@dataclass(frozen=True)
+class PairPlan:
+    """How the pairs of a self-join are dealt."""
+
+    pairs: int            # pairs of all units
+    cells: list[int]      # partition of each hash cell
+    tasks: int
+    heaviest: int         # pairs of the fullest partition
+    hot_keys: int
+    bounds: int           # blocks of all hot keys
+
+
+def _blocks(degree: Column, block_size: int) -> Column:
+    return F.least(F.ceil(degree / F.lit(block_size)), F.lit(FRACTIONS)).cast("int")
+
+
+def _ids(n: Column) -> Column:
+    return F.sequence(F.lit(0), n - 1)
+
+
+def _cell(key: str, cells: int) -> Column:
+    return F.pmod(F.xxhash64(key, "_lb", "_rb"), F.lit(cells)).cast("int")
+
+
+def degrees(df: DataFrame, key: str) -> DataFrame:
+    """``(key, _deg)``: the rows of each key."""
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_deg"))
+
+
+def plan_pairs(sizes: DataFrame, key: str, block_size: int = DEFAULT_BLOCK_SIZE, ordered: bool = False,
+               pairs_per_task: int | None = None) -> PairPlan:
+    """Deal the units of all keys over partitions; ``sizes`` is ``(key, _deg)``.
+
+    Degrees may be estimates: they decide where a unit runs, not what it holds.
+    """
+    if block_size < 1:
+        raise ValueError("block_size must be >= 1")
+    per_task = pairs_per_task or PAIRS_PER_TASK
+    nb = _blocks(F.col("_deg"), block_size)
+    units = sizes.select(key, "_deg", nb.alias("_nb"))
+    units = units.select(key, "_deg", "_nb", F.explode(_ids(F.col("_nb"))).alias("_lb"))
+    first = F.col("_lb") if ordered else F.lit(0)
+    units = units.select(key, "_deg", "_nb", "_lb", F.explode(F.sequence(first, F.col("_nb") - 1)).alias("_rb"))
+    weight = F.ceil(F.col("_deg") / F.col("_nb")) * F.ceil(F.col("_deg") / F.col("_nb"))
+    if ordered:
+        weight = F.when(F.col("_lb") == F.col("_rb"), F.ceil(weight / 2)).otherwise(weight)
+    wanted = 1 << 10
+    while True:
+        rows = (units.groupBy(_cell(key, wanted).alias("_cell"))
+                .agg(F.sum(weight).alias("w"), F.count_if((F.col("_nb") > 1) & (F.col("_lb") == F.col("_rb"))).alias("b"),
+                     F.count_if((F.col("_nb") > 1) & (F.col("_lb") == 0) & (F.col("_rb") == 0)).alias("h")).collect())
+        total = sum(r.w for r in rows)
+        need = CELLS_PER_TASK * max(1, -(-total // per_task))
+        if need <= wanted or wanted == MAX_CELLS:
+            break
+        wanted = min(MAX_CELLS, 1 << (need - 1).bit_length())
+    weights = [0] * wanted
+    for r in rows:
+        weights[r["_cell"]] = r.w
+    tasks = max(1, min(-(-total // per_task), wanted // CELLS_PER_TASK))
+    cells, done, filled = [], 0, [0] * tasks
+    for w in weights:  # a cell goes where its middle falls
+        at = min(tasks - 1, (2 * done + w) * tasks // (2 * total)) if total else 0
+        cells.append(at)
+        filled[at] += w
+        done += w
+    return PairPlan(total, cells, tasks, max(filled), sum(r.h for r in rows), sum(r.b for r in rows))
+
+
+def _hot(df: DataFrame, sizes: DataFrame, key: str, item: str, block_size: int, ordered: bool) -> DataFrame:
+    """``(key, _nb[, _bounds])`` of the keys that are cut."""
+    hot = sizes.where(F.col("_deg") > block_size).select(key, _blocks(F.col("_deg"), block_size).alias("_nb"))
+    if not ordered:
+        return hot
+    at = [i / FRACTIONS for i in range(1, FRACTIONS)]
+    ranks = (df.join(hot, key, "left_semi").groupBy(key)
+             .agg(F.percentile_approx(item, F.split(F.lit(",".join(map(str, at))), ",").cast("array<double>"),
+                                      F.lit(4 * FRACTIONS)).alias("_ranks")))
+    bounds = F.transform(F.sequence(F.lit(1), F.col("_nb") - 1),
+                         lambda b: F.get("_ranks", F.floor(b * FRACTIONS / F.col("_nb")).cast("int") - 1))
+    return hot.join(ranks, key).select(key, "_nb", bounds.alias("_bounds"))
 
 
 def blocked_self_join(df: DataFrame, key: str, item: str,
                       left_cols: Sequence[Column], right_cols: Sequence[Column],
                       left_filter: Column | None = None,
                       right_filter: Column | None = None,
-                      block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
-    """Inner self-join of ``df`` on ``key`` with hot keys split into blocks.
+                      block_size: int = DEFAULT_BLOCK_SIZE, ordered: bool = False,
+                      sizes: DataFrame | None = None, pairs_per_task: int | None = None) -> DataFrame:
+    """Inner self-join of ``df`` on ``key``, planned from the degrees of the keys.
 
     ``left_cols``/``right_cols`` are the projections of each side (they are
     evaluated on ``df``'s columns and must have distinct output names).
-    ``left_filter``/``right_filter`` are single-side predicates applied
-    before replication.  The result holds ``key`` plus both projections.
+    ``left_filter``/``right_filter`` are single-side predicates, applied before
+    anything is sent.  The result holds ``key`` plus both projections.  With
+    ``ordered`` it holds the pairs whose left item is smaller; ``df`` must then
+    have one row per (key, item).  ``sizes`` may give ``(key, _deg)`` where they
+    are known more cheaply than by counting ``df``.
+
+    The degrees are counted when the plan is built (one job).  A null key
+    joins nothing.
     """
-    tagged = tag_blocks(df, key, item, block_size)
-    left, right = tagged, tagged
-    if left_filter is not None:
-        left = left.where(left_filter)
-    if right_filter is not None:
-        right = right.where(right_filter)
-    left = left.select(F.col(key), F.col("_blk").alias("_lb"), _replicas(F.col("_nb")).alias("_rb"),
-                       *left_cols)
-    right = right.select(F.col(key), _replicas(F.col("_nb")).alias("_lb"), F.col("_blk").alias("_rb"),
-                         *right_cols)
-    # Pair generation fans out (d² pairs from d rows per key): pin the
-    # partition count so AQE does not fold it into a few tasks by input bytes.
-    # Skew is already handled by the blocks.
-    # Sort-merge join: row estimates do not see the replication, so a
-    # size-estimated broadcast could ship a hot key's copies; per key the
-    # buffered side holds at most one block (block_size rows) and spills.
-    left, right = spread(left, key, "_lb", "_rb"), spread(right, key, "_lb", "_rb")
-    return left.join(right.hint("merge"), on=[key, "_lb", "_rb"], how="inner").drop("_lb", "_rb")
+    sizes = degrees(df, key) if sizes is None else sizes.where(F.col(key).isNotNull())
+    plan = plan_pairs(sizes, key, block_size, ordered, pairs_per_task)
+    src = df.where(F.col(key).isNotNull())
+    if plan.hot_keys:
+        hot = _hot(df, sizes, key, item, block_size, ordered)
+        hot = F.broadcast(hot) if plan.bounds <= BROADCAST_BOUNDS else hot.hint("merge")
+        src = src.join(hot, key, "left").withColumn("_nb", F.coalesce("_nb", F.lit(1)))
+        block = (F.size(F.filter("_bounds", lambda b: b < F.col(item))) if ordered
+                 else F.pmod(F.xxhash64(item), F.col("_nb")).cast("int"))
+        src = src.withColumn("_b", F.when(F.col("_nb") == 1, F.lit(0)).otherwise(block)).drop("_bounds")
+        # as left item a row is in the units (_b, j), as right item in (j, _b)
+        every = _ids(F.col("_nb"))
+        as_left = F.sequence(F.col("_b"), F.col("_nb") - 1) if ordered else every
+        as_right = _ids(F.col("_b") + 1) if ordered else every
+        left = src.withColumn("_lb", F.col("_b")).withColumn("_rb", F.explode(as_left))
+        right = src.withColumn("_rb", F.col("_b")).withColumn("_lb", F.explode(as_right))
+    else:  # both sides are one exchange, read twice, where the filters allow it
+        left = right = src.withColumn("_lb", F.lit(0)).withColumn("_rb", F.lit(0))
+    where = F.split(F.lit(",".join(map(str, plan.cells))), ",").cast("array<int>")
+
+    def side(rows, wanted, cols, name):
+        rows = rows if wanted is None else rows.where(wanted)
+        dealt = rows.withColumn("_p", F.get(where, _cell(key, len(plan.cells)))).repartitionById(plan.tasks, "_p")
+        return dealt.select("_p", F.col(key), "_lb", "_rb", F.col(item).alias(name), *cols)
+
+    left, right = side(left, left_filter, left_cols, "_x"), side(right, right_filter, right_cols, "_y")
+    # Sort-merge join: row estimates do not see the replication; per unit the
+    # buffered side holds at most one block, and it spills.
+    pairs = left.join(right.hint("merge"), on=["_p", key, "_lb", "_rb"], how="inner")
+    if ordered:
+        pairs = pairs.where(F.col("_x") < F.col("_y"))
+    return pairs.drop("_p", "_lb", "_rb", "_x", "_y")

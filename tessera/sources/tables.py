@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators.skew import spread
 from tessera.staging import shared
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +32,7 @@ def ratings(spark: SparkSession, sf_dir: str, stage: bool = True) -> DataFrame:
         return shared(spark, f"ratings:{sf_dir}", lambda: ratings(spark, sf_dir, stage=False))
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    li = spread(li, "l_orderkey")  # files for every task that reads the ratings
     return (li.join(od, li.l_orderkey == od.o_orderkey)
               .select(F.col("o_custkey").alias("userid"),
                       F.col("l_suppkey").alias("movieid"),
