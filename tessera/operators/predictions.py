@@ -206,8 +206,9 @@ def level_bitmaps(sim_table: DataFrame) -> DataFrame:
     so the rest is left out.
     """
     key = ["movieid1", "_bucket"]
-    pairs = (drop_self_pairs(sim_table).where(F.col("correlation_factor").isNotNull())
-             .withColumn("_bucket", B.bucket("movieid2")).repartition(*key)
+    src = (drop_self_pairs(sim_table).where(F.col("correlation_factor").isNotNull())
+           .withColumn("_bucket", B.bucket("movieid2")))
+    pairs = (spread(src, *key)
              .groupBy(*key, "movieid2", "correlation_factor").agg(F.count("*").alias("cnt"))
              .groupBy(*key, "movieid2").agg(F.max(F.struct(F.col("correlation_factor").alias("corr"), "cnt")).alias("_top")))
     words = (pairs.groupBy(*key, F.col("_top.corr").alias("corr"), F.col("_top.cnt").alias("cnt"),
@@ -219,8 +220,10 @@ def level_bitmaps(sim_table: DataFrame) -> DataFrame:
     return buckets.withColumn("_rank", F.rank().over(best))
 
 
-def _unseen_pairs(ratings: DataFrame, sim_table: DataFrame, users_per_copy: int = USERS_PER_COPY) -> DataFrame:
-    """(userid, movieid1, movieid2, correlation_factor, mult) of the best unseen candidates.
+def unseen_bitmaps(ratings: DataFrame, sim_table: DataFrame, users_per_copy: int = USERS_PER_COPY) -> DataFrame:
+    """The best unseen candidates of each (user, liked item) as bitmaps:
+    ``(userid, movieid1, _bucket, liked_cnt, correlation_factor, _rest)`` with
+    ``_rest`` an array of ``(cnt, word, bits)``.
 
     An item's similar items fall into levels of equal correlation.  The best
     unseen candidates of (user, item) are what the user has not rated of the
@@ -233,14 +236,16 @@ def _unseen_pairs(ratings: DataFrame, sim_table: DataFrame, users_per_copy: int
     at most, and a user with ratings in ``k`` buckets with the ``k + 1`` best buckets
     of an item, ties included.  Buckets are rows, so a user of very many ratings
     is split by bucket.  Items that many users like are copied, and their users
-    dealt over the copies.  The level bitmaps are staged, as they are read twice.
+    dealt over the copies.  The level bitmaps are staged, as they are read twice, so
+    the similarity is computed once.
     """
     levels = stage(level_bitmaps(sim_table), "level-bitmaps")
     ui = _user_item_counts(ratings)
-    rated = (ui.where(F.col("rated_cnt") > 0).groupBy("userid", B.bucket("movieid").alias("_bucket"))
+    # both counts in every branch: one aggregation, one exchange, read by all
+    rated = (ui.where((F.col("rated_cnt") > 0) & (F.col("liked_cnt") >= 0)).groupBy("userid", B.bucket("movieid").alias("_bucket"))
              .agg(B.bitmap("movieid").alias("_rated")))
     buckets = rated.groupBy("userid").agg(F.count("*").alias("_k"))
-    liked = (ui.where(F.col("liked_cnt") > 0)
+    liked = (ui.where((F.col("liked_cnt") > 0) & (F.col("rated_cnt") > 0))
              .select("userid", F.col("movieid").alias("movieid1"), F.col("liked_cnt")))
     copies = liked.groupBy("movieid1").agg(F.ceil(F.count("*") / users_per_copy).cast("int").alias("_copies"))
     offered = levels.join(copies, "movieid1")
@@ -263,13 +268,22 @@ def _unseen_pairs(ratings: DataFrame, sim_table: DataFrame, users_per_copy: int
         "userid", "movieid1", "_bucket", "liked_cnt", F.col("_first.corr").alias("correlation_factor"),
         rest.alias("_rest"))
     order = Window.partitionBy("userid", "movieid1").orderBy(F.desc("correlation_factor"))
-    best = spread(found, "userid", "movieid1").withColumn("_rk", F.rank().over(order)).where(F.col("_rk") == 1)
-    kind = sim_table.schema["movieid2"].dataType
-    return (best.select("*", F.inline("_rest")).withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(63))))
+    return spread(found, "userid", "movieid1").withColumn("_rk", F.rank().over(order)).where(F.col("_rk") == 1).drop("_rk")
+
+
+def _items_of(words: DataFrame, kind, *cols) -> DataFrame:
+    """A row per item of rows ``(_bucket, word, bits)``, as ``movieid2``."""
+    return (words.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(63))))
             .where(F.expr("shiftrightunsigned(bits, _i) & 1 = 1"))
-            .select("userid", "movieid1",
-                    F.expr("shiftleft(_bucket, 10) + word * 64 + _i").cast(kind).alias("movieid2"),
-                    "correlation_factor", (F.col("liked_cnt") * F.col("cnt")).alias("mult")))
+            .select(*cols, F.expr("shiftleft(_bucket, 10) + word * 64 + _i").cast(kind).alias("movieid2")))
+
+
+def _unseen_pairs(ratings: DataFrame, sim_table: DataFrame, users_per_copy: int = USERS_PER_COPY) -> DataFrame:
+    """(userid, movieid1, movieid2, correlation_factor, mult) of the best unseen candidates."""
+    best = unseen_bitmaps(ratings, sim_table, users_per_copy).select("*", F.inline("_rest"))
+    best = best.withColumn("mult", F.col("liked_cnt") * F.col("cnt"))
+    out = _items_of(best, sim_table.schema["movieid2"].dataType, "userid", "movieid1", "correlation_factor", "mult")
+    return out.select("userid", "movieid1", "movieid2", "correlation_factor", "mult")
 
 
 def max_seen_correlation(ratings: DataFrame, sim_table: DataFrame,
@@ -305,5 +319,11 @@ def best_candidates_for(ratings: DataFrame, sim: DataFrame, candidates: str = "s
 def predictions(ratings: DataFrame, sim: DataFrame, movies: DataFrame, candidates: str = "seen",
                 narrow: bool = True, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """Distinct ``(userid, moviename)``; multiplicities are irrelevant here."""
+    if candidates == "unseen":  # a user's candidates are united as bitmaps, before they become rows
+        st = similarity_table(sim, narrow)
+        words = (unseen_bitmaps(ratings, st).select("userid", "_bucket", F.inline("_rest"))
+                 .groupBy("userid", "_bucket", "word").agg(F.bit_or("bits").alias("bits")))
+        items = _items_of(spread(words, "userid", "_bucket", "word"), st.schema["movieid2"].dataType, "userid")
+        return (items.join(movies, items.movieid2 == movies.movieid).select("userid", "moviename").distinct())
     best = best_candidate_groups(ratings, sim, candidates, narrow, block_size)
     return predictions_from_best(best, movies)
