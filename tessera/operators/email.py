@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from time import perf_counter_ns
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +43,7 @@ PARSED_DDL = (
     "replyTo array<string>, toRecipients array<string>, ccRecipients array<string>, "
     "bccRecipients array<string>, content string, messageId string, contentId string, "
     "attachments array<struct<name:string,contentType:string,content:binary,size:bigint>>, "
-    "skippedAttachments int")
+    "skippedAttachments int, elapsedMicros bigint")
 
 # Columns of the message table, in constructor order, then the derived ones.
 MESSAGE_COLUMNS = ["owner", "subject", "from", "replyTo", "sentDate", "toRecipients",
@@ -213,7 +214,7 @@ def _arrow_schema():
                       ("toRecipients", strs), ("ccRecipients", strs), ("bccRecipients", strs),
                       ("content", pa.string()), ("messageId", pa.string()),
                       ("contentId", pa.string()), ("attachments", att),
-                      ("skippedAttachments", pa.int32())])
+                      ("skippedAttachments", pa.int32()), ("elapsedMicros", pa.int64())])
 
 
 def _parse_batches(batches: Iterator, out_rows: int = 256) -> Iterator:
@@ -224,9 +225,11 @@ def _parse_batches(batches: Iterator, out_rows: int = 256) -> Iterator:
         paths = batch.column("path").to_pylist()
         contents = batch.column("content")
         for start in range(0, len(paths), out_rows):
-            rows = [parse_message(paths[i], contents[i].as_py())
-                    for i in range(start, min(start + out_rows, len(paths)))]
-            rows = [{k: r.get(k) for k in names} for r in rows]
+            rows = []
+            for i in range(start, min(start + out_rows, len(paths))):
+                t0 = perf_counter_ns()
+                row = parse_message(paths[i], contents[i].as_py())
+                rows.append({k: row.get(k) for k in names} | {"elapsedMicros": (perf_counter_ns() - t0) // 1000})
             try:
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
             except (pa.ArrowException, UnicodeError, TypeError, ValueError):
@@ -241,7 +244,8 @@ def _one_row(row: dict, schema):
     except (pa.ArrowException, UnicodeError, TypeError, ValueError):
         path = str(row["path"])
         empty = dict.fromkeys(schema.names)
-        return pa.RecordBatch.from_pylist([empty | {"path": path, "error": ERROR_PREFIX + path}], schema=schema)
+        return pa.RecordBatch.from_pylist([empty | {
+            "path": path, "error": ERROR_PREFIX + path, "elapsedMicros": row["elapsedMicros"]}], schema=schema)
 
 
 # ------------------------------------------------------------- Spark side ---

@@ -67,7 +67,8 @@ def q_scan_delimited_permissive(spark: SparkSession, sf: str) -> DataFrame:
 def q_scan_external_similarity(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "similarity-txt")
     W.write_text(S.similarity_lines(_similarity(spark, sf)), path)
-    return D.register_external_table(spark, "similarity_ext", path, D.SIMILARITY_SCHEMA, ",")
+    with D.external_table(spark, path, D.SIMILARITY_SCHEMA, ",") as t:
+        return t
 
 
 def q_load_overwrite(spark: SparkSession, sf: str) -> DataFrame:

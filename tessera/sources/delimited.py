@@ -10,6 +10,10 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -110,11 +114,56 @@ def register_external_table(spark: SparkSession, name: str, path: str,
     return spark.table(name)
 
 
+@contextmanager
+def external_table(spark: SparkSession, path: str, schema: T.StructType, sep: str) -> Iterator[DataFrame]:
+    """A table over files at ``path`` under a name of its own, dropped on leaving.
+
+    The files stay, and the DataFrame keeps reading them after the drop.
+    """
+    name = f"external_{uuid.uuid4().hex}"
+    try:
+        yield register_external_table(spark, name, path, schema, sep)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def move_overwrite(spark: SparkSession, source_path: str, target_path: str) -> None:
+    """Make the files at ``source_path`` the contents of ``target_path``, by moving.
+
+    No byte is read or written (on a store with real renames).  The old contents
+    are set aside first, put back if the move fails, and deleted once it is
+    done; a failed load thus leaves target and source as they were.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    src, dst = path(source_path), path(target_path)
+    store = dst.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(src):
+        raise FileNotFoundError(f"nothing to load at {source_path}")
+    aside = path(f"{target_path.rstrip('/')}-before-{uuid.uuid4().hex[:12]}")
+    had = store.exists(dst)
+    if had and not store.rename(dst, aside):
+        raise OSError(f"cannot set aside {target_path}")
+    try:
+        if store.getFileStatus(src).isFile():
+            store.mkdirs(dst)
+        else:
+            store.mkdirs(dst.getParent())
+        if not store.rename(src, dst):
+            raise OSError(f"cannot move {source_path} to {target_path}")
+    except BaseException:
+        if had:
+            store.delete(dst, True)
+            store.rename(aside, dst)
+        raise
+    if had:
+        store.delete(aside, True)
+
+
 def load_overwrite(spark: SparkSession, source_path: str, schema: T.StructType, sep: str,
                    target_path: str) -> DataFrame:
-    """Replace the contents of a table location with the parsed source files.
+    """Replace the contents of a table location by the source files, which are moved.
 
-    The files are copied (parsed and written as Parquet), not moved.
+    The table is the files as they came, read with the declared schema.
     """
-    read_delimited(spark, source_path, schema, sep).write.mode("overwrite").parquet(target_path)
-    return spark.read.parquet(target_path)
+    move_overwrite(spark, source_path, target_path)
+    return read_delimited(spark, target_path, schema, sep)

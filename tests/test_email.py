@@ -112,6 +112,7 @@ def test_ingest_pipeline_from_directory(spark):
     res = ingest_emails(spark, f"{root}/in", f"{root}/out", codec="SNAPPY",
                         rejects_path=f"{root}/errors.txt", now=t)
     assert (res["processed"], res["failed"], res["attachments"]) == (2, 1, 1)
+    assert res["processed_elapsed_ms"] > 0 and 0 < res["failed_elapsed_ms"] < 60_000
     assert res["rejects_path"] == f"{root}/errors20240102-1304.txt"
     out = spark.read.parquet(f"{root}/out")
     assert sorted(r.owner for r in out.collect()) == ["a@x.org", "z@x.org"]

@@ -65,6 +65,45 @@ def test_external_table_sees_new_files(spark):
     assert got[1][:2] == (3, 4) and abs(got[1][2] - 0.8660254) < 1e-6
 
 
+def test_external_table_has_its_own_name_and_is_dropped(spark):
+    d = tempfile.mkdtemp()
+    _write(f"{d}/part-0", "1,2,0.5\n")
+    before = {t.name for t in spark.catalog.listTables()}
+    with D.external_table(spark, d, D.SIMILARITY_SCHEMA, ",") as one, \
+            D.external_table(spark, d, D.SIMILARITY_SCHEMA, ",") as two:
+        assert len({t.name for t in spark.catalog.listTables()} - before) == 2
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert rows(one) == rows(two) == [(1, 2, 0.5)] and os.path.exists(f"{d}/part-0")
+
+
+def test_load_moves_the_files(spark):
+    d = tempfile.mkdtemp()
+    _write(f"{d}/old/a", "1\t1\t1.0\t1\n")
+    _write(f"{d}/new/b", "2\t3\t4.0\t5\nbad\t3\t4.0\t5\n")
+    _write(f"{d}/one.tsv", "7\t8\t1.5\t9\n")
+    assert rows(D.load_overwrite(spark, f"{d}/old", D.RATING_SCHEMA, "\t", f"{d}/t/r")) == [(1, 1, 1.0, 1)]
+    inode = os.stat(f"{d}/new/b").st_ino
+    got = D.load_overwrite(spark, f"{d}/new", D.RATING_SCHEMA, "\t", f"{d}/t/r")
+    assert rows(got) == [(None, 3, 4.0, 5), (2, 3, 4.0, 5)]
+    assert not os.path.exists(f"{d}/new") and os.stat(f"{d}/t/r/b").st_ino == inode  # the same file, moved
+    assert rows(D.load_overwrite(spark, f"{d}/one.tsv", D.RATING_SCHEMA, "\t", f"{d}/t/r")) == [(7, 8, 1.5, 9)]
+    assert sorted(os.listdir(f"{d}/t")) == ["r"] and sorted(os.listdir(d)) == ["t"]
+
+
+def test_failed_load_keeps_the_old_contents(spark, monkeypatch):
+    d = tempfile.mkdtemp()
+    _write(f"{d}/old/a", "1\t1\t1.0\t1\n")
+    table = D.load_overwrite(spark, f"{d}/old", D.RATING_SCHEMA, "\t", f"{d}/t")
+    with pytest.raises(FileNotFoundError):
+        D.load_overwrite(spark, f"{d}/none", D.RATING_SCHEMA, "\t", f"{d}/t")
+    os.makedirs(f"{d}/t/inner")
+    with pytest.raises(Exception):  # a folder cannot be moved into itself: the move fails half-way
+        D.move_overwrite(spark, f"{d}/t/inner", f"{d}/t")
+    assert os.path.isdir(f"{d}/t/inner") and sorted(os.listdir(d)) == ["t"]
+    os.rmdir(f"{d}/t/inner")
+    assert rows(table) == [(1, 1, 1.0, 1)]
+
+
 def test_codec_mapping_and_footer(spark):
     assert W.parquet_codec("GZIP") == "gzip" and W.parquet_codec("SNAPPY") == "snappy"
     assert W.parquet_codec("gzip") == "uncompressed" and W.parquet_codec(None) == "uncompressed"
