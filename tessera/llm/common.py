@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import pickle
 import sys
 
 import numpy as np
@@ -21,6 +22,17 @@ def ship() -> None:
     cloudpickle.register_pickle_by_value(sys.modules["tessera.llm"])
 
 
+def send(sc, value):
+    """Broadcast an object of this subpackage's classes: as bytes that hold the
+    classes too, since a broadcast alone names them by module."""
+    return sc.broadcast(cloudpickle.dumps(value))
+
+
+def received(bc):
+    """The object behind :func:`send`; rebuilt once per call, so once per task."""
+    return pickle.loads(bc.value)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

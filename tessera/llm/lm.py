@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import contextmix as cm
-from tessera.llm.common import partitions, ship, stage, words
+from tessera.llm.common import partitions, received, send, ship, stage, words
 
 VOCABULARY = 250_000
 ALPHA = 0.1
@@ -117,7 +117,7 @@ def _count_bits(code_bc):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         import zstandard
-        code = code_bc.value
+        code = received(code_bc)
         numbers = _Numbers(code)
         into = [np.zeros(2 << cm.SLOT_BITS, np.uint32) for _ in range(cm.HASHED)]
         for batch in batches:
@@ -160,7 +160,7 @@ def _score(code_bc, tables_bc, held_out_column: int):
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        code = code_bc.value
+        code = received(code_bc)
         numbers = _Numbers(code)
         raw = tables_bc.value
         tables = [np.frombuffer(raw[k], np.uint32) for k in range(cm.HASHED)]
@@ -195,7 +195,7 @@ def _class_of(word: Column) -> Column:
 
 
 def fit(docs: DataFrame, training: Column, text: str = "text"):
-    """(word counts, broadcast code, broadcast tables) of the training rows."""
+    """(word counts, code, broadcast code, broadcast tables) of the training rows."""
     ship()
     spark = docs.sparkSession
     sc = spark.sparkContext
@@ -212,33 +212,34 @@ def fit(docs: DataFrame, training: Column, text: str = "text"):
             break
         least, room = at, room - many
     top = sorted(counts.where(level >= F.lit(float(least))).collect(), key=lambda r: (-r[1], r[0]))
-    code = sc.broadcast(Code([(bytes(w), n) for w, n in top], {r[0]: (r[1], r[2]) for r in classes}, total, types))
+    code = Code([(bytes(w), n) for w, n in top], {r[0]: (r[1], r[2]) for r in classes}, total, types)
+    sent = send(sc, code)
     blocks = cm.HASHED * BLOCKS
-    summed = (rows.mapInArrow(_count_bits(code), "block int, data binary")
+    summed = (rows.mapInArrow(_count_bits(sent), "block int, data binary")
               .repartition(min(blocks, partitions(spark)), "block").mapInArrow(_sum_blocks, "block int, data binary"))
     size = (1 << cm.SLOT_BITS) // BLOCKS
     tables = [np.zeros(1 << cm.SLOT_BITS, np.uint32) for _ in range(cm.HASHED)]
     for b, data in summed.collect():  # tables of fixed size
         tables[b // BLOCKS][b % BLOCKS * size:(b % BLOCKS + 1) * size] = np.frombuffer(data, np.uint32)
-    return counts, code, sc.broadcast([t.tobytes() for t in tables])
+    return counts, code, sent, sc.broadcast([t.tobytes() for t in tables])
 
 
 def scores(docs: DataFrame, training: Column, held_out: Column, key: str = "doc_id",
            text: str = "text") -> DataFrame:
     """One row per document: ``key, held_out, n_tokens, n_known, train_tokens,
     base_score, score``."""
-    counts, code, tables = fit(docs, training, text)
-    total, types = code.value.total, code.value.types
+    counts, code, sent, tables = fit(docs, training, text)
+    total, types = code.total, code.types
     src = docs.select(F.col(key).alias("_id"), F.col(text), held_out.alias("_held"))
     kind = src.schema["_id"].dataType.simpleString()
-    rows = stage(src.mapInArrow(_score(code, tables, 2), f"""doc_id {kind}, held_out boolean, n_tokens long,
+    rows = stage(src.mapInArrow(_score(sent, tables, 2), f"""doc_id {kind}, held_out boolean, n_tokens long,
         known long, base double, score double, rare_word array<binary>, rare_n array<long>""")
                  .withColumn("_row", F.monotonically_increasing_id()), "lm-rows")
     # words outside the vocabulary: their exact counts, joined by word
     rare = (rows.select("_row", F.explode(F.arrays_zip("rare_word", "rare_n")).alias("r"))
             .select("_row", F.col("r.rare_word").alias("word"), F.col("r.rare_n").alias("times"))
             .join(counts, "word", "left").withColumn("n", F.coalesce("n", F.lit(0))))
-    share = F.create_map(*[F.lit(x) for k, t in enumerate(code.value.class_total) for x in (k, float(t))])
+    share = F.create_map(*[F.lit(x) for k, t in enumerate(code.class_total) for x in (k, float(t))])
     z = total + ALPHA * (types + 1)
     rare = rare.withColumn("_t", share[_class_of(F.col("word"))]).groupBy("_row").agg(
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more"),

@@ -1,159 +1,162 @@
 """Toxicity: class-conditional Kneser-Ney models, compared per length.
 
-Two models, toxic and ordinary, give a word's probability through a chain of
-backoffs: the word, its first 5, 4 and 3 bytes, and last the share of the
-3-byte head in both classes together.  As in Kneser-Ney smoothing
-
-* an absolute discount is taken from every count, so that expressions too
-  rare to judge are left to the shared levels below them;
-* a backoff level counts *types* (distinct words with that head), not
-  tokens, and hands out mass by counts shared by both classes.
-
-Heads let inflected forms of an expression support each other; a word that
-neither class knows is judged by its head alone, and differences cancel
-where the head is unknown, too.
-
-A text is cut into windows of ``WINDOW`` words.  Each window's log-likelihood
-difference (toxic minus ordinary, over its distinct words) is divided by the
-window length.  The score is a logistic function of the largest and the two
-largest windows and the mean, so neither long nor short texts are favoured.
-
-Labelled rows come from the rows the caller allows.  The models are fitted on
-at most ``FIT_ROWS`` of them and the logistic function on at most
-``CALIBRATION_ROWS`` others, both chosen by a hash of the id; these bounds
-are parameters, and they bound the broadcast model too.  Scoring covers every
-word of every text.
+Two word trigram models, toxic and ordinary.  In each class
+
+* trigrams are counted; bigrams and words count the distinct words that precede
+  them (Kneser-Ney's continuation counts), so a phrase repeated in one setting
+  weighs no more than a single one;
+* a discount that the counts of counts determine is taken from every count, one
+  each for counts of 1, 2 and 3 or more, and its mass goes to the next shorter
+  expression; at words it is pooled over both classes and shared by what each word
+  gave, so rare expressions look alike in both.
+
+A context that one class has never seen says nothing about that class, so both
+back off there; a word unseen in both classes has ratio 0.  Expressions are kept
+as 64-bit hashes.
+
+Log-likelihoods (toxic minus ordinary) are compared per word at four lengths: the
+best single word, the best word after the two before it, the best window of
+``WINDOW`` words and the whole text.  The score is a logistic function of the
+four, so neither long nor short texts are favoured.
+
+Labelled rows come from the rows the caller allows: at most ``fit_rows`` rows
+whose texts make up at most ``fit_bytes`` bytes, taken in the order of a hash of
+the id.  Both bounds are parameters, and they bound the broadcast model too.  The
+logistic function is fitted on the same rows, each scored by a model that left
+out its third of them (``FOLDS``).  Scoring covers every word of every text.
 
 Defined cases: a null text or one without words scores the share of toxic
-rows among the labelled ones; null labels are ignored; several labels of one id count as toxic if one is;
-without labelled rows of both classes every score is 0.  Rows with equal ids
-are scored one by one.
+rows among the labelled ones; null labels are ignored; several labels of one id
+count as toxic if one is; every row of a labelled id is learned from; without
+labelled rows of both classes every score is 0.  Rows with equal ids are scored
+one by one.
 """
 
 from __future__ import annotations
 
-import math
-from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ship, words
+from tessera.llm.common import WordHash, mix64, received, send, ship, words
 
 FIT_ROWS = 20_000
-CALIBRATION_ROWS = 8_000
+FIT_BYTES = 12 << 20
+FOLDS = 3
 WINDOW = 16
-HEADS = (3, 4, 5)
-WORD_DISCOUNT, HEAD_DISCOUNT = 4.0, 2.0
-COUNTS = "word binary, toxic int, n long"
+#: Largest log-likelihood ratio that a word in context counts with.
+LARGEST = 6.0
+COUNTS = "k3 long, c3 long, k2 long, c2 long, k1 long, fold int, toxic int, n long"
+START = np.uint64(0x5BD1E9955BD1E995)
 
 
-def _count(batches: Iterator) -> Iterator:
-    """(text, toxic) rows -> word counts per class, flushed when large."""
-    import pyarrow as pa
-    schema = pa.schema([("word", pa.binary()), ("toxic", pa.int32()), ("n", pa.int64())])
-    total: Counter = Counter()
+def _expressions(ws: list[bytes], memo: WordHash):
+    """Hashes of each word's trigram, its context, bigram, its context, and the word."""
+    w = np.fromiter(map(memo.__getitem__, ws), np.uint64, len(ws))
+    v = np.concatenate(([START], w[:-1]))
+    u = np.concatenate(([START], v[:-1]))
+    c2 = mix64(v ^ np.uint64(2))
+    c3 = mix64(mix64(u ^ np.uint64(3)) ^ v)
+    return mix64(c3 ^ w), c3, mix64(c2 ^ w), c2, w
 
-    def flush():
-        out = pa.RecordBatch.from_arrays(
-            [pa.array([w for w, _ in total], pa.binary()), pa.array([y for _, y in total], pa.int32()),
-             pa.array(list(total.values()), pa.int64())], schema=schema)
-        total.clear()
-        return out
 
+def _count(batches: Iterator) -> Iterator:
+    """(text, fold, toxic) rows -> distinct trigrams of each text with their counts."""
+    import pyarrow as pa
+    memo = WordHash()
     for batch in batches:
-        for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            for w, n in Counter(words(text)).items():
-                total[w, y] += n
-            if len(total) > 500_000:
-                yield flush()
-    if total:
-        yield flush()
+        for text, fold, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            ws = words(text)
+            if ws:
+                keys = _expressions(ws, memo)
+                _, at, n = np.unique(keys[0], return_index=True, return_counts=True)
+                cols = [pa.array(k[at].view(np.int64)) for k in keys]
+                cols += [pa.array(np.full(len(at), x, np.int32)) for x in (fold, y)]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(n.astype(np.int64))],
+                                                 names=["k3", "c3", "k2", "c2", "k1", "fold", "toxic", "n"])
+
+
+def discounts(counts) -> np.ndarray:
+    """Discounts of counts 0, 1, 2 and 3 or more, from the counts of counts."""
+    n = [int((counts == i).sum()) for i in range(1, 5)]
+    if not all(n[:2]):
+        return np.array([0, 0.75, 0.75, 0.75])
+    y = n[0] / (n[0] + 2 * n[1])
+    return np.array([0, 1 - 2 * y * n[1] / n[0], *(
+        min(max(i - (i + 1) * y * n[i] / n[i - 1], 0), i) if n[i - 1] else y for i in (2, 3))])
+
+
+def _level(keys, contexts, counts):
+    """One order's table: sorted keys with each class's discounted share, and
+    sorted contexts with each class's backoff weight (0: context not seen)."""
+    ctx, at = np.unique(contexts, return_inverse=True)
+    share, back = [], []
+    for c in counts:
+        taken = discounts(c)[np.minimum(c, 3)]
+        total = np.bincount(at, c, len(ctx))
+        share.append((c - taken) / np.maximum(total, 1)[at])
+        back.append(np.bincount(at, taken, len(ctx)) / np.maximum(total, 1))
+        # a context all of whose counts stay whole still backs off a little
+        back[-1] = np.where(total > 0, np.maximum(back[-1], 1e-3), 0)
+    order = np.argsort(keys)
+    return (keys[order], *(s[order].astype(np.float32) for s in share)), (ctx, *(b.astype(np.float32) for b in back))
 
 
 class Model:
-    """Log-likelihood ratio per word from the two classes' counts."""
-
-    def __init__(self, counts: dict[bytes, list[int]]):
-        self.tokens = [sum(c[y] for c in counts.values()) or 1 for y in (0, 1)]
-        self.rare = [sum(min(c[y], WORD_DISCOUNT) for c in counts.values()) / self.tokens[y]
-                     for y in (0, 1)]
-        self.levels = []
-        for k in HEADS:
-            types: dict[bytes, list[int]] = {}
-            for w, c in counts.items():
-                t = types.setdefault(w[:k], [0, 0])
-                t[0] += c[0] > 0
-                t[1] += c[1] > 0
-            total = [sum(t[y] for t in types.values()) or 1 for y in (0, 1)]
-            back = [sum(min(t[y], HEAD_DISCOUNT) for t in types.values()) / total[y] for y in (0, 1)]
-            # Heads all discounted away carry no class information: leave them out.
-            kept = {h: t for h, t in types.items() if max(t) > HEAD_DISCOUNT}
-            self.levels.append((k, kept, total, back, sum(total), len(types)))
-        mass: Counter = Counter()
-        for w, c in counts.items():
-            mass[w[:HEADS[-1]]] += sum(c)
-        self.known = {}
-        for w, c in counts.items():
-            if max(c) > WORD_DISCOUNT:
-                p, share = self.head(w), (sum(c) + 0.1) / (mass[w[:HEADS[-1]]] + 1.0)
-                t, o = (max(c[y] - WORD_DISCOUNT, 0) / self.tokens[y] + self.rare[y] * p[y] * share
-                        for y in (1, 0))
-                self.known[w] = math.log(t / o)
-
-    def head(self, word: bytes) -> list[float]:
-        """Both classes' probability of the word's longest head."""
-        p, parent = None, 0
-        for k, kept, total, back, everything, kinds in self.levels:
-            t = kept.get(word[:k], (0, 0))
-            n = t[0] + t[1]
-            if p is None:
-                base = [(n + 0.5) / (everything + 0.5 * kinds)] * 2
-            else:
-                share = (n + 0.1) / (parent + 1.0)
-                base = [p[0] * share, p[1] * share]
-            p = [max(t[y] - HEAD_DISCOUNT, 0) / total[y] + back[y] * base[y] for y in (0, 1)]
-            parent = n
-        return p
-
-    def ratio(self, word: bytes) -> float:
-        r = self.known.get(word)
-        if r is None:
-            p = self.head(word)
-            r = math.log(p[1] * self.rare[1] / (p[0] * self.rare[0])) if all(self.rare) else 0.0
-        return r
-
-
-class Memo(dict):
-    """Ratios seen in this task; emptied when large."""
-
-    def __init__(self, model: Model):
-        super().__init__()
-        self.model = model
-
-    def __missing__(self, word):
-        if len(self) > 400_000:
-            self.clear()
-        r = self[word] = self.model.ratio(word)
-        return r
-
-
-def features(text: str | None, memo: Memo) -> tuple[float, float, float, int]:
-    """Largest window, mean of the two largest, mean of all (per word); words."""
+    """Both classes' tables, from the distinct trigrams ``(k3, c3, k2, c2, k1)``
+    and their counts in ordinary and in toxic texts."""
+
+    def __init__(self, k3, c3, k2, c2, k1, counts):
+        def fewer(keys, counts, *more):
+            """Distinct keys, how many rows of each class have them, and ``more`` of each."""
+            kept, first, at = np.unique(keys, return_index=True, return_inverse=True)
+            return kept, [np.bincount(at, c > 0, len(kept)).astype(np.int64) for c in counts], [m[first] for m in more]
+
+        self.levels = [_level(k3, c3, counts)]
+        k2, n2, (c2, w2) = fewer(k2, counts, c2, k1)
+        self.levels.append(_level(k2, c2, n2))
+        k1, n1, _ = fewer(w2, n2)
+        (keys, *share), (_, *back) = _level(k1, np.zeros(len(k1), np.uint64), n1)
+        both = sum(discounts(c)[np.minimum(c, 3)] for c in n1) + 1e-9  # k1 is sorted
+        self.words = (keys, *(s + b[0] * both / both.sum() for s, b in zip(share, back, strict=True)))
+
+    @staticmethod
+    def _find(keys, wanted):
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return at, keys[at] == wanted
+
+    def ratios(self, k3, c3, k2, c2, k1) -> tuple[np.ndarray, np.ndarray]:
+        """Log-likelihood ratio of each word by itself, and after the two before it."""
+        keys, *p = self.words
+        at, seen = self._find(keys, k1)
+        p = [q[at] for q in p]
+        alone = np.where(seen, np.log(p[1] / p[0]), 0.0)
+        for ((keys, *share), (ctx, *back)), k, c in zip(self.levels[::-1], (k2, k3), (c2, c3), strict=True):
+            at, known = self._find(ctx, c)
+            known &= (back[0][at] > 0) & (back[1][at] > 0)
+            hit = np.flatnonzero(known)
+            if len(hit):
+                place, found = self._find(keys, k[hit])
+                for y in (0, 1):
+                    p[y][hit] = np.where(found, share[y][place], 0) + back[y][at[hit]] * p[y][hit]
+        return alone, np.where(seen, np.log(p[1] / p[0]), 0.0)
+
+
+def features(text: str | None, model: Model, memo: WordHash) -> tuple[float, float, float, float, int]:
+    """Largest ratio of a word, of a word after the two before it, of a window
+    and of the text, the last two per word; number of words."""
     ws = words(text)
     if not ws:
-        return 0.0, 0.0, 0.0, 0
-    get = memo.__getitem__
-    wins = [sum(map(get, set(ws[i:i + WINDOW]))) / WINDOW for i in range(0, len(ws), WINDOW)]
-    total = sum(wins) * WINDOW / len(ws)
-    first = max(wins)
-    if len(wins) > 1:
-        wins.remove(first)
-        return first, (first + max(wins)) / 2, total, len(ws)
-    return first, first / 2, total, len(ws)
+        return 0.0, 0.0, 0.0, 0.0, 0
+    alone, r = model.ratios(*_expressions(ws, memo))
+    r = np.clip(r, -LARGEST, LARGEST)  # no single phrase outweighs the rest of a text
+    n = len(r)
+    window = np.add.reduceat(r, np.arange(0, n, WINDOW)).max() / WINDOW
+    return float(alone.max()), float(r.max()), float(window), float(r.sum()) / n, n
 
 
 def _logistic(x, y, ridge: float = 1e-2, steps: int = 50):
@@ -171,52 +174,60 @@ def _logistic(x, y, ridge: float = 1e-2, steps: int = 50):
     return [float(v) for v in w]
 
 
-def _features_udf(model_bc):
-    @F.pandas_udf("a double, b double, c double, words long")
-    def of(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        memo = Memo(model_bc.value)
-        for col in texts:
-            yield pd.DataFrame([features(t, memo) for t in col], columns=["a", "b", "c", "words"])
+def _features_udf(bc):
+    @F.pandas_udf("a double, b double, c double, d double, words long")
+    def of(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        models, memo = received(bc), WordHash()
+        for col, fold in parts:
+            yield pd.DataFrame([features(t, models[f], memo) for t, f in zip(col, fold, strict=True)],
+                               columns=["a", "b", "c", "d", "words"])
     return of
 
 
+def _model(t: dict, use) -> Model:
+    """The model of the counted rows that ``use`` marks."""
+    keys, first, at = np.unique(t["k3"][use], return_index=True, return_inverse=True)
+    counts = [np.bincount(at, np.where(t["toxic"][use] == y, t["n"][use], 0), len(keys)).astype(np.int64)
+              for y in (0, 1)]
+    return Model(keys, *(t[c][use][first] for c in ("c3", "k2", "c2", "k1")), counts)
+
+
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column, key: str = "doc_id",
-        text: str = "text", label: str = "toxic", fit_rows: int = FIT_ROWS,
-        calibration_rows: int = CALIBRATION_ROWS):
+        text: str = "text", label: str = "toxic", fit_rows: int = FIT_ROWS, fit_bytes: int = FIT_BYTES):
     """(broadcast model, logistic weights, share of toxic rows), or None
     without both classes.
 
     ``allowed`` is a condition on ``key`` that labelled rows must meet.
     """
     ship()
-    spark = docs.sparkSession
+    sc = docs.sparkSession.sparkContext
     chosen = (labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & allowed)
-              .groupBy(F.col(key).alias("_id")).agg(F.max(label).cast("int").alias("toxic"))
-              .withColumn("_o", F.xxhash64("_id")))
-    calibrate = F.pmod("_o", F.lit(3)) == 0
-
-    def rows(cond, n):
-        # at most n rows of 16 bytes: a bounded broadcast
-        pick = F.broadcast(chosen.where(cond).orderBy("_o", "_id").limit(n).select("_id", "toxic"))
-        return docs.select(F.col(key).alias("_id"), F.col(text).alias("_t")).join(pick, "_id")
-
-    counts: dict[bytes, list[int]] = {}
-    counted = (rows(~calibrate, fit_rows).select("_t", "toxic").mapInArrow(_count, COUNTS)
-               .groupBy("word").agg(F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("o"),
-                                    F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t")))
-    for batch in counted.toArrow().to_batches():
-        for w, o, t in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            counts[w] = [o, t]
-    if not all(sum(c[y] for c in counts.values()) for y in (0, 1)):
-        return None
-    model = Model(counts)
-    bc = spark.sparkContext.broadcast(model)
-    del counts
-    seen = (rows(calibrate, calibration_rows).select("toxic", _features_udf(bc)("_t").alias("f"))
-            .select("toxic", "f.*").toPandas())
-    if seen["toxic"].nunique() < 2:
+              .groupBy(F.col(key).alias("_id")).agg((F.max(label) > 0).cast("int").alias("toxic"))
+              .withColumn("_o", F.xxhash64("_id")).orderBy("_o", "_id").limit(fit_rows))
+    texts = docs.select(F.col(key).alias("_id"), F.col(text).alias("_t"))
+    # at most fit_rows rows of a few bytes: a bounded broadcast, then one task's running total
+    size = (texts.select("_id", F.octet_length("_t").alias("size")).join(F.broadcast(chosen), "_id")
+            .groupBy("_id", "toxic", "_o").agg(F.sum("size").alias("size")))
+    before = Window.orderBy("_o", "_id").rowsBetween(Window.unboundedPreceding, 0)
+    pick = (size.withColumn("upto", F.sum(F.coalesce("size", F.lit(0))).over(before)).where(F.col("upto") <= fit_bytes)
+            .select("_id", "toxic", F.pmod(F.shiftright("_o", 8), F.lit(FOLDS)).cast("int").alias("fold")))
+    pick = docs.sparkSession.createDataFrame(pick.collect(), pick.schema)  # fit_rows rows at most
+    rows = texts.join(F.broadcast(pick), "_id").select("_t", "fold", "toxic")
+    counted = (rows.mapInArrow(_count, COUNTS).groupBy("k3", "c3", "k2", "c2", "k1", "fold", "toxic")
+               .agg(F.sum("n").alias("n")).toArrow())  # as many rows as the texts have words: fit_bytes / 2 at most
+    t = {c: counted.column(c).to_numpy() for c in counted.column_names}
+    for c in ("k3", "c3", "k2", "c2", "k1"):
+        t[c] = t[c].view(np.uint64)
+    parts = [t["fold"] != f for f in range(FOLDS)] + [np.ones(len(t["fold"]), bool)]
+    if any(not (use & (t["toxic"] == y)).any() for use in parts for y in (0, 1)):
         return None
-    return bc, _logistic(seen[["a", "b", "c"]].to_numpy(), seen["toxic"].to_numpy()), float(seen["toxic"].mean())
+    models = [_model(t, use) for use in parts]
+    whole = send(sc, models[FOLDS:])
+    crossed = send(sc, models[:FOLDS])
+    del models, t, counted
+    seen = rows.select("toxic", _features_udf(crossed)("_t", "fold").alias("f")).select("toxic", "f.*").toPandas()
+    crossed.unpersist()
+    return whole, _logistic(seen[["a", "b", "c", "d"]].to_numpy(), seen["toxic"].to_numpy()), float(seen["toxic"].mean())
 
 
 def score(docs: DataFrame, fitted, key: str = "doc_id", text: str = "text",
@@ -224,12 +235,12 @@ def score(docs: DataFrame, fitted, key: str = "doc_id", text: str = "text",
     """``key``, the ``keep`` columns, ``score`` in 0..1 and ``predicted``."""
     ship()
     base = docs.select(F.col(key), *keep, *([] if fitted is None else
-                                            [_features_udf(fitted[0])(F.col(text)).alias("_f")]))
+                                            [_features_udf(fitted[0])(F.col(text), F.lit(0)).alias("_f")]))
     if fitted is None:
         out = base.withColumn("score", F.lit(0.0))
     else:
         w = fitted[1]
-        z = F.lit(w[0]) + F.col("_f.a") * w[1] + F.col("_f.b") * w[2] + F.col("_f.c") * w[3]
+        z = reduce(lambda z, x: z + F.col(f"_f.{x[0]}") * x[1], zip("abcd", w[1:], strict=True), F.lit(w[0]))
         out = base.withColumn("score", F.when(F.col("_f.words") == 0, F.lit(fitted[2]))
                               .otherwise(1 / (1 + F.exp(-z)))).drop("_f")
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

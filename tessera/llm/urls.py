@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ascii_lower, ship
+from tessera.llm.common import ascii_lower, received, send, ship
 
 RULES_PER_BLOCK = 200_000
 MATCH = "depth int, plen int, rule string, verdict string"
@@ -91,7 +91,7 @@ class Trie:
 def _matcher(bc):
 
     def match(frames: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        find = bc.value.find
+        find = received(bc).find
         for hosts, paths in frames:
             hits = [find(h, p) or (None,) * 4 for h, p in zip(hosts, paths, strict=True)]
             yield pd.DataFrame(hits, columns=["depth", "plen", "rule", "verdict"]).astype(
@@ -117,7 +117,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], key: str = "p
     out = out.withColumn("_best", best)
     parsed = [parse_rule(v, e) for v, e in rules]
     for i in range(0, len(parsed), block):
-        bc = sc.broadcast(Trie(parsed[i:i + block]))
+        bc = send(sc, Trie(parsed[i:i + block]))
         hit = _matcher(bc)(F.col("host"), F.col("path"))
         out = out.withColumn("_hit", hit).withColumn("_best", F.when(
             F.col("_hit.rule").isNotNull() & (

@@ -203,6 +203,100 @@ def test_toxicity(docs_of, spark):
     assert all(r.score == 0 for r in none)
 
 
+def plain_ratios(texts, asked):
+    """Class-conditional Kneser-Ney by the book: dicts of word tuples, one class and one word at a time."""
+    def estimated(counts):
+        n = [sum(c == i for c in counts) for i in range(1, 5)]
+        if not n[0] or not n[1]:
+            return [0, .75, .75, .75]
+        y = n[0] / (n[0] + 2 * n[1])
+        return [0, 1 - 2 * y * n[1] / n[0]] + [
+            min(max(i - (i + 1) * y * n[i] / n[i - 1], 0), i) if n[i - 1] else y for i in (2, 3)]
+
+    tables = []
+    for y in (0, 1):
+        tri = Counter()
+        for t, toxic in texts:
+            ws = ["<s>", "<s>", *t.split()]
+            if toxic == y:
+                tri.update(zip(ws, ws[1:], ws[2:]))
+        bi = Counter(g[1:] for g in tri)
+        tables.append([tri, bi, Counter(g[1:] for g in bi)])
+    cut = [[estimated(t.values()) for t in of] for of in tables]
+    given = Counter()
+    for of, d in zip(tables, cut):
+        for w, c in of[2].items():
+            given[w] += d[2][min(c, 3)]
+
+    def parts(y, order, gram):
+        t, d = tables[y][order], cut[y][order]
+        row = {g: c for g, c in t.items() if g[:-1] == gram[:-1]}
+        total = sum(row.values())
+        c = row.get(gram, 0)
+        return total and ((c - d[min(c, 3)]) / total, max(sum(d[min(x, 3)] for x in row.values()) / total, 1e-3))
+
+    out = []
+    for t in asked:
+        ws = ["<s>", "<s>", *t.split()]
+        for g in zip(ws, ws[1:], ws[2:]):
+            if g[2:] not in given:
+                out.append((0.0, 0.0))
+                continue
+            own = [parts(y, 2, g[2:]) for y in (0, 1)]
+            p = [s + b * given[g[2:]] / sum(given.values()) for s, b in own]
+            alone = math.log(p[1] / p[0])
+            for order in (1, 0):
+                own = [parts(y, order, g[order:]) for y in (0, 1)]
+                if all(own):
+                    p = [s + b * q for (s, b), q in zip(own, p)]
+            out.append((alone, math.log(p[1] / p[0])))
+    return out
+
+
+def test_toxicity_models_equal_plain_kneser_ney():
+    from tessera.llm.common import WordHash
+    rng, memo = random.Random(8), WordHash()
+    few = VOCAB[:25]
+    texts = [(" ".join(rng.choices(few, k=rng.randint(1, 30))), int(i % 4 == 0)) for i in range(60)]
+    texts += [texts[0]] * 3
+    rows = [r for t, y in texts for r in next(iter([list(zip(*toxicity._expressions(words(t), memo)))]))
+            for r in [(*r, y)]]
+    total = Counter(rows)
+    t = {c: np.array([r[i] for r in total], np.uint64) for i, c in enumerate(("k3", "c3", "k2", "c2", "k1"))}
+    t |= {"toxic": np.array([r[5] for r in total]), "n": np.array(list(total.values()))}
+    model = toxicity._model(t, np.ones(len(total), bool))
+    asked = [" ".join(rng.choices([*few, "new"], k=40)) for _ in range(5)] + [texts[0][0], texts[1][0]]
+    got = [x for a in asked for x in zip(*model.ratios(*toxicity._expressions(words(a), memo)))]
+    assert np.allclose(got, plain_ratios(texts, asked), atol=1e-4)
+
+
+def test_toxicity_of_phrases(docs_of, spark):
+    """Two words that are harmless apart and toxic side by side."""
+    rng = random.Random(5)
+    rows, labels = [], []
+    for i in range(2400):
+        ws = rng.choices(VOCAB, k=rng.randint(20, 60)) + ["pure", "filth"] * 2
+        rng.shuffle(ws)
+        ws = " ".join(ws).replace("pure filth", "filth pure").split()
+        if i % 5 == 0:
+            at = rng.randrange(len(ws))
+            ws[at:at] = ["pure", "filth"]
+        rows.append((i, " ".join(ws)))
+        labels.append((i, int(i % 5 == 0)))
+    got = toxicity.toxicity(docs_of(rows), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    held = [(r.predicted, dict(labels)[r.doc_id]) for r in got if r.held_out]
+    assert sum(p == y for p, y in held) / len(held) > 0.95
+
+
+def test_toxicity_bounds_and_repeated_rows(docs_of, spark):
+    rows = [(i, " ".join(["good", "day"] * 5 + ["vile"] * (i % 2))) for i in range(40)] * 2 + [(None, "vile")]
+    lab = spark.createDataFrame([(i, i % 2) for i in range(40)] * 2, "doc_id long, toxic int")
+    whole = toxicity.fit(docs_of(rows), lab, F.lit(True))
+    assert whole is not None and abs(whole[2] - 0.5) < 1e-9
+    assert toxicity.fit(docs_of(rows), lab, F.lit(True), fit_bytes=0) is None
+    assert toxicity.fit(docs_of(rows), lab, F.lit(True), fit_rows=1) is None
+
+
 def test_packing(docs_of, spark):
     got = packing.pack(docs_of(CORPUS), keep_ids=True, capacity=256).collect()
     by_doc, by_seq = {}, {}
