@@ -13,12 +13,14 @@ searched by containment, partitioned by size:
   document that holds it must hit at least ``k - m`` sketch values.  With
   ``k`` above ``m`` this never misses, unlike banding, and twice ``m`` makes
   chance hits rare;
-* candidates are then verified on the exact shingles, compared as text.
+* a document is a candidate for the items whose sketch it hits often enough.
+  Only candidates are verified: their texts are read again, and their exact
+  shingles, compared as text, are counted against those items.
 
-Documents are read once.  A broadcast bit array (fixed size, ``BITS`` bits,
-however many items there are) lets through the shingles whose hash may belong
-to an item; only those leave the task, and are joined to the items by hash
-and text.  Nothing about the documents is broadcast or collected.
+A broadcast bit array (fixed size, ``BITS`` bits, however many items there are)
+lets through the shingles whose hash may belong to a sketch, in the second
+reading to a found item; only those leave the task, and are joined to the items
+by hash and text.  Nothing about the documents is broadcast or collected.
 
 Defined cases: words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lowered; an item or
 document of fewer words than a shingle has its whole word sequence as its only
@@ -101,6 +103,15 @@ def sketches(items: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
             .withColumn("need", F.col("k") - missing(F.col("n"))))
 
 
+def candidates(docs: DataFrame, sketch: DataFrame, key: str = "doc_id", text: str = "text",
+               n: int = SHINGLE) -> DataFrame:
+    """Pairs ``_doc, _item`` where the document hits ``need`` or more sketch values."""
+    bc = docs.sparkSession.sparkContext.broadcast(_bit_array(sketch))
+    hits = _explode(docs, key, text, n, bc).withColumnRenamed("_id", "_doc").join(sketch, ["h", "shingle"])
+    return (hits.groupBy("_doc", F.col("_id").alias("_item"), "need")
+            .agg(F.countDistinct("h", "shingle").alias("hit")).where("hit >= need").select("_doc", "_item"))
+
+
 def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text",
                   item_key: str = "item_id", item_text: str = "text", n: int = SHINGLE,
                   threshold: int = THRESHOLD) -> DataFrame:
@@ -108,17 +119,15 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     n_shared, containment``."""
     ship()
     wanted = stage(sketches(_explode(items, item_key, item_text, n).distinct(), threshold), "items")
-    bc = docs.sparkSession.sparkContext.broadcast(_bit_array(wanted))
-    hits = (_explode(docs, key, text, n, bc).withColumnRenamed("_id", "_doc")
-            .join(wanted, ["h", "shingle"])
-            .select("_doc", F.col("_id").alias("_item"), "n", "need", "in_sketch", "h", "shingle"))
-    hits = stage(hits, "item-hits")
-    pair = ["_doc", "_item"]
-    # search: enough of the item's MinHash sketch is in the document
-    found = (hits.where("in_sketch").groupBy(*pair, "need").agg(F.countDistinct("h", "shingle").alias("c"))
-             .where("c >= need").select(*pair))
-    # verify: enough of all the item's shingles are
-    shared = hits.groupBy(*pair, "n").agg(F.countDistinct("h", "shingle").alias("n_shared"))
-    out = shared.join(found, pair, "left_semi").where(F.col("n_shared") * 100 >= F.col("n") * threshold)
-    return out.select(F.col("_doc").alias(key), F.col("_item").alias(item_key), F.col("n").alias("n_item"),
-                      "n_shared", (F.col("n_shared") / F.col("n")).alias("containment"))
+    found = stage(candidates(docs, wanted.where("in_sketch"), key, text, n), "item-candidates")
+    # verify the candidates on all shingles of their items
+    exact = wanted.join(found.select(F.col("_item").alias("_id")).distinct(), "_id", "left_semi")
+    bc = docs.sparkSession.sparkContext.broadcast(_bit_array(exact))
+    again = docs.join(found.select(F.col("_doc").alias(key)).distinct(), key, "left_semi")
+    shared = (_explode(again, key, text, n, bc).withColumnRenamed("_id", "_doc").distinct()
+              .join(exact.select("h", "shingle", "n", F.col("_id").alias("_item")), ["h", "shingle"])
+              .join(found, ["_doc", "_item"], "left_semi")
+              .groupBy("_doc", "_item", "n").agg(F.count("*").alias("n_shared"))
+              .where(F.col("n_shared") * 100 >= F.col("n") * threshold))
+    return shared.select(F.col("_doc").alias(key), F.col("_item").alias(item_key), F.col("n").alias("n_item"),
+                         "n_shared", (F.col("n_shared") / F.col("n")).alias("containment"))

@@ -23,8 +23,6 @@ size 8 and digest 0; a null id sorts first; an empty table gives no rows.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,6 +51,16 @@ def _at_or_above(boundary: tuple[int, ...]) -> Column:
     return cond
 
 
+def _search(values: list[Column], cuts: list[Column]) -> Column:
+    """``values[i]`` for rows at or above the first ``i`` ascending cuts: a
+    balanced tree, so that thousands of cuts nest a dozen levels deep."""
+    if not cuts:
+        return values[0]
+    mid = len(cuts) // 2
+    return F.when(cuts[mid], _search(values[mid + 1:], cuts[mid + 1:])).otherwise(
+        _search(values[:mid + 1], cuts[:mid]))
+
+
 def splitters(rows: DataFrame, parts: int, tolerance: float) -> list[tuple[int, ...] | None]:
     """Lower boundary of parts 1 .. parts-1 (None: past the last row).
 
@@ -67,16 +75,16 @@ def splitters(rows: DataFrame, parts: int, tolerance: float) -> list[tuple[int,
     open_, done = {i: ((), lo, hi, 0) for i in range(1, parts)}, {}
     while open_:
         spans = sorted({(p, a, b) for p, a, b, _ in open_.values()})
-        number, cell, inside, below = {}, F.lit(None).cast("long"), F.lit(None).cast("int"), {}
-        for j, (p, a, b) in enumerate(spans):
-            number[(p, a, b)] = j
-            width = (b - a) // PROBES + 1
-            inside = F.when(_between(p, a, b), F.lit(j)).otherwise(inside)
-            cell = F.when(_between(p, a, b),
-                          F.expr(f"({KEYS[len(p)]} - ({a}L)) div {width}L")).otherwise(cell)
+        # spans are disjoint, so a row can only lie in the last one that starts at or below it
+        spans.sort(key=lambda s: (*s[0], s[1]))
+        number = {span: j for j, span in enumerate(spans)}
+        none = F.lit(None).cast("struct<i:int,c:bigint>")
+        place = _search([none] + [F.when(_between(p, a, b), F.struct(
+            F.lit(j).alias("i"), F.expr(f"({KEYS[len(p)]} - ({a}L)) div {(b - a) // PROBES + 1}L").alias("c")))
+            for j, (p, a, b) in enumerate(spans)], [_at_or_above((*p, a)) for p, a, _ in spans])
         nxt = [F.min(k).alias(f"min{k}") for k in KEYS] + [F.max(k).alias(f"max{k}") for k in KEYS]
-        counts = (rows.withColumn("_i", inside).where("_i is not null").withColumn("_c", cell)
-                  .groupBy("_i", "_c").agg(F.sum("size").alias("size"), *nxt)
+        counts = (rows.withColumn("_p", place).where("_p is not null")
+                  .withColumns({"_i": F.col("_p.i"), "_c": F.col("_p.c")}).groupBy("_i", "_c").agg(F.sum("size").alias("size"), *nxt)
                   .orderBy("_i", "_c").collect())  # at most boundaries x PROBES rows
         cells: dict[int, list] = {}
         for r in counts:
@@ -111,13 +119,6 @@ def splitters(rows: DataFrame, parts: int, tolerance: float) -> list[tuple[int,
     return [done[i] for i in range(1, parts)]
 
 
-def _sum(terms: list[Column]) -> Column:
-    """Balanced sum, so the expression stays shallow."""
-    while len(terms) > 1:
-        terms = [reduce(lambda a, b: a + b, terms[i:i + 2]) for i in range(0, len(terms), 2)]
-    return terms[0] if terms else F.lit(0)
-
-
 def shard(docs: DataFrame, shards: int = 24, key: str = "doc_id", text: str = "text",
           tolerance: float = 0.002) -> DataFrame:
     """One row per input row: ``key, size, text_crc32, law, shard, slot,
@@ -134,7 +135,8 @@ def shard(docs: DataFrame, shards: int = 24, key: str = "doc_id", text: str = "t
     n = rows.count()
     per_shard = max(1, -(-n // (shards * ROWS_PER_TASK)))
     cuts = splitters(rows, shards * per_shard, tolerance)
-    cell = _sum([_at_or_above(c).cast("int") for c in cuts if c is not None])
+    above = [_at_or_above(c) for c in sorted(c for c in cuts if c is not None)]
+    cell = _search([F.lit(i) for i in range(len(above) + 1)], above)
     # The one exchange: rows go to their cell, are sorted and numbered there.
     tasks = max(shards * per_shard, min(partitions(docs.sparkSession), 4 * shards * per_shard))
     placed = stage(rows.withColumn("_cell", cell).repartition(tasks, "_cell")

@@ -154,6 +154,40 @@ def test_contamination(docs_of, spark):
     assert {tuple(r) for r in got} == want and len(got) == len(want) >= 4
 
 
+def test_only_candidates_of_the_sketches_are_verified(docs_of, spark, monkeypatch):
+    item = " ".join(RNG.sample(VOCAB, 60))
+    ws = item.split()
+    rows = [(1, text(50) + " " + item + " " + text(50)), (2, " ".join(ws[:20])), (3, " ".join(ws[30:]))]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    find, seen = decontaminate.candidates, []
+
+    def spy(*a, **k):
+        out = find(*a, **k)
+        seen.extend(out.collect())
+        return out
+
+    monkeypatch.setattr(decontaminate, "candidates", spy)
+    assert [r.doc_id for r in decontaminate.contamination(docs_of(rows), bench).collect()] == [1]
+    assert [tuple(r) for r in seen] == [(1, 1)]
+    monkeypatch.setattr(decontaminate, "candidates", lambda *a, **k: find(*a, **k).limit(0))
+    assert decontaminate.contamination(docs_of(rows), bench).count() == 0
+
+
+def test_broadcast_objects_need_no_installed_package():
+    import subprocess
+    import sys
+    from pyspark import cloudpickle
+    from tessera.llm import common
+    common.ship()
+    total = {c: np.array([1, 2], np.uint64) for c in ("k3", "c3", "k2", "c2", "k1")} | {
+        "toxic": np.array([0, 1]), "n": np.array([1, 1])}
+    held = cloudpickle.dumps([urls.Trie([("block", "a.b", "/c")]), lm.Code([(b"x", 2)], {}, 2, 1),
+                              toxicity._model(total, np.ones(2, bool))])
+    code = "import pickle, sys; t, c, m = pickle.load(sys.stdin.buffer); print(t.find('x.a.b', '/cd')[3], c.total)"
+    out = subprocess.run([sys.executable, "-I", "-c", code], input=held, capture_output=True, cwd="/", check=False)
+    assert out.stdout.split() == [b"block", b"2"], out.stderr.decode()[-500:]
+
+
 def test_language_model(docs_of, monkeypatch):
     monkeypatch.setattr(lm, "VOCABULARY", 40)
     train = F.coalesce(toxicity.remainder("doc_id", 10) != 0, F.lit(True))
@@ -342,6 +376,16 @@ def test_sharding(docs_of, tolerance):
     assert all(abs(b - mean) <= worst for b in total.values())
 
 
+def test_hundreds_of_shards(docs_of):
+    rows = [(i, text(1 + i % 3)) for i in range(600)] + [(7, BASE)] * 100
+    got = sharding.shard(docs_of(rows), 240).collect()
+    assert Counter(r.doc_id for r in got) == Counter(i for i, _ in rows)
+    slots = {}
+    for r in got:
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and max(slots) < 240
+
+
 def test_write_shards(docs_of, tmp_path, spark):
     rows = [(i, text(i % 30)) for i in range(200)]
     sharding.write_shards(docs_of(rows), str(tmp_path / "s"), 4)

@@ -74,6 +74,17 @@ def test_run_equals_the_stages(spark, folder):
     assert got.exceptAll(docs.select(cols)).count() == 0 and got.count() == docs.count()
 
 
+def test_an_id_with_several_texts_loses_only_copies(spark):
+    a, b, c = text(40), text(40), text(40)
+    rows = [(1, a), (8, a), (8, b), (9, c), (9, c), (10, c), (None, a), (11, None), (11, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "doc_id", "text", "'en' as lang", "'s' as source", "length(text) as n_chars")
+    out = corpus_pipeline.near_duplicates(spark, docs, "")
+    left = [(r.doc_id, r.text) for r in out.collect()]
+    assert out.columns == docs.columns
+    assert sorted(left, key=str) == sorted([(8, a), (8, b), (9, c), (None, a), (11, None)], key=str)
+
+
 def test_every_operator_is_registered():
     from tessera.llm import registry
     names = list(registry.queries())
