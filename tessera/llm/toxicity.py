@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import WordHash, mix64, received, send, ship, words
 
 FIT_ROWS = 20_000
-FIT_BYTES = 12 << 20
+FIT_BYTES = 3 << 20
 FOLDS = 3
 WINDOW = 16
 #: Largest log-likelihood ratio that a word in context counts with.
@@ -221,10 +221,10 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, key: str = "doc_id"
     parts = [t["fold"] != f for f in range(FOLDS)] + [np.ones(len(t["fold"]), bool)]
     if any(not (use & (t["toxic"] == y)).any() for use in parts for y in (0, 1)):
         return None
-    models = [_model(t, use) for use in parts]
-    whole = send(sc, models[FOLDS:])
-    crossed = send(sc, models[:FOLDS])
-    del models, t, counted
+    del counted
+    whole = send(sc, [_model(t, parts[FOLDS])])
+    crossed = send(sc, [_model(t, use) for use in parts[:FOLDS]])
+    del t, parts
     seen = rows.select("toxic", _features_udf(crossed)("_t", "fold").alias("f")).select("toxic", "f.*").toPandas()
     crossed.unpersist()
     return whole, _logistic(seen[["a", "b", "c", "d"]].to_numpy(), seen["toxic"].to_numpy()), float(seen["toxic"].mean())
