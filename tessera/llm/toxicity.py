@@ -17,7 +17,7 @@ as 64-bit hashes.
 Log-likelihoods (toxic minus ordinary) are compared per word at four lengths: the
 best single word, the best word after the two before it, the best window of
 ``WINDOW`` words and the whole text.  The score is a logistic function of the
-four, so neither long nor short texts are favoured.
+four with weights of 0 or more, so neither long nor short texts are favoured.
 
 Labelled rows come from the rows the caller allows: at most ``fit_rows`` rows
 whose texts make up at most ``fit_bytes`` bytes, taken in the order of a hash of
@@ -174,6 +174,21 @@ def _logistic(x, y, ridge: float = 1e-2, steps: int = 50):
     return [float(v) for v in w]
 
 
+def _evidence(x, y) -> list[float]:
+    """Logistic weights, none below 0: a ratio never speaks against its own class
+    (it would, for texts whose phrases the models know by heart)."""
+    kept = list(range(x.shape[1]))
+    while True:
+        w = _logistic(x[:, kept], y)
+        if min(w[1:], default=0.0) >= 0:
+            break
+        kept = [k for k, v in zip(kept, w[1:], strict=True) if v > 0]
+    out = [w[0]] + [0.0] * x.shape[1]
+    for k, v in zip(kept, w[1:], strict=True):
+        out[k + 1] = v
+    return out
+
+
 def _features_udf(bc):
     @F.pandas_udf("a double, b double, c double, d double, words long")
     def of(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -227,7 +242,7 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, key: str = "doc_id"
     del t, parts
     seen = rows.select("toxic", _features_udf(crossed)("_t", "fold").alias("f")).select("toxic", "f.*").toPandas()
     crossed.unpersist()
-    return whole, _logistic(seen[["a", "b", "c", "d"]].to_numpy(), seen["toxic"].to_numpy()), float(seen["toxic"].mean())
+    return whole, _evidence(seen[["a", "b", "c", "d"]].to_numpy(), seen["toxic"].to_numpy()), float(seen["toxic"].mean())
 
 
 def score(docs: DataFrame, fitted, key: str = "doc_id", text: str = "text",
