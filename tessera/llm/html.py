@@ -9,7 +9,10 @@ no part of an article (menus, forms, adverts, comments, ...) are left out.
 A class may also name furniture on an element that holds the article (``<div
 class="no-comments">``): such an element is scanned on its own as well, and
 if its best run, at a quarter of its score, is the page's best, neither it
-nor an element around it is furniture.
+nor an element around it is furniture.  An ``<h1>`` in the header of an article
+is its title and stays.  A run that lies wholly in the page's only ``<article>``,
+else only ``<main>``, is read in that element's bounds.  Of equal runs the one
+that ends first is taken, of those the shortest.
 
 Weights come from labelled pages: pages whose markup names their content
 with exactly one ``<article>`` or ``<main>``.  For each kind, Spark counts
@@ -23,15 +26,18 @@ Text rules: character references are decoded, white space inside a block is
 one space, blocks are trimmed, empty blocks dropped and the rest joined by
 ``\\n``.  Inline elements do not split words.  Null or empty html, and pages
 without words, give an empty text.  Broken markup (unclosed elements, cut
-pages) is read leniently; nothing is capped.
+pages) is read leniently; nothing is capped, and the time is linear in the page
+however deep or broken it is.  Repeated rows are extracted one by one.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -63,8 +69,9 @@ FURNITURE = {"ad", "ads", "advert", "advertisement", "adverts", "banner", "bread
 #: Share of a score that text inside an element of a furniture class keeps.
 FURNITURE_SHARE = 0.25
 
-_ITEM = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+# A tag, quotes counted after "=" only; and one read without regard to quotes.
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>")
+_PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 _ATTR = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
@@ -76,6 +83,57 @@ def _furniture(attrs: str) -> str:
     return ""
 
 
+def _markup(html: str) -> Iterator[tuple[str, re.Match | None, int]]:
+    """Texts ``(text, None, end)`` and tags ``("", match, end)``; comments and
+    declarations are left out.  A consumer may send the place to go on from.
+
+    Every step reads on from where the last one ended, so a page is read once,
+    whatever its markup: ``>`` is looked for only where one follows, and after
+    the first tag that no ``>`` ends outside quotes, quotes are not counted.
+    """
+    pos = at = 0  # start of the pending text, place of the search
+    last, tag = html.rfind(">"), _TAG
+    while (at := html.find("<", at)) >= 0:
+        m, text = None, ""
+        if html.startswith("<!--", at):
+            end = html.find("-->", at + 4) + 3
+        elif html.startswith("<![CDATA[", at):
+            end = html.find("]]>", at + 9) + 3
+            text = html[at + 9:end - 3 if end > 2 else None].replace("&", "&amp;")
+        elif html.startswith(("<!", "<?"), at):
+            end = html.find(">", at) + 1
+        else:
+            if at < last and (html[at + 1].isalpha() or html[at + 1] == "/"):
+                m = tag.match(html, at)
+                if m is None and tag is _TAG and _PLAIN_TAG.match(html, at):
+                    tag = _PLAIN_TAG
+                    m = tag.match(html, at)
+            if m is None:  # a plain "<"
+                at += 1
+                continue
+            end = m.end()
+        if end < 3 and m is None:  # never closed
+            end = len(html)
+        if at > pos:
+            yield html[pos:at], None, at
+        if text:
+            yield text, None, end
+        elif m is not None:
+            end = (yield "", m, end) or end
+        pos = at = end
+    if pos < len(html):
+        yield html[pos:], None, len(html)
+
+
+class _Open(NamedTuple):
+    """An open element: the context its texts are in, whether they are in a
+    link there, and its frame."""
+    name: str
+    ctx: str
+    link: bool
+    frame: int
+
+
 def items(html: str) -> Iterator[tuple[str, str, str, int, str]]:
     """``(what, kind, text, frame, plain)`` in page order; ``what`` is open,
     close or text.
@@ -84,44 +142,43 @@ def items(html: str) -> Iterator[tuple[str, str, str, int, str]]:
     boilerplate element, else ``word:a`` inside a link, else ``word:text``;
     ``plain`` is its kind without furniture.  ``frame`` is 0, or the number of
     the nearest element of a furniture class; ``~frame`` inside a boilerplate
-    element there.
+    element there.  An ``<h1>`` in the header of an ``<article>`` or ``<main>``
+    is its title: it has the context and frame of that element.
     """
-    stack: list[tuple[str, str, int]] = []  # (element, its context or "", frame)
-    pos, n, frames = 0, len(html), 0
-
-    def word(text: str):
-        link = False
-        for name, ctx, _ in reversed(stack):
-            link |= name == "a"
-            if ctx:
-                break
-        else:
-            ctx = ""
-        plain = "word:a" if link else "word:text"
-        return "text", f"word:{ctx}" if ctx else plain, text, frame(), plain
-
-    def frame() -> int:
-        return stack[-1][2] if stack else 0
-
-    while pos < n:
-        m = _ITEM.search(html, pos)
-        if m is None:
-            yield word(html[pos:])
+    top = _Open("", "", False, 0)
+    stack: list[_Open] = []
+    opened: Counter[str] = Counter()
+    contents: list[_Open] = []  # open articles and mains
+    endless: set[str] = set()   # raw elements whose end tag no longer comes
+    frames, n, last = 0, len(html), html.rfind(">") + 1
+
+    def pop():
+        left = stack.pop()
+        opened[left.name] -= 1
+        if left.name in CONTENT:
+            contents.pop()
+
+    found = _markup(html)
+    resume = None
+    while True:
+        try:
+            text, m, pos = found.send(resume)
+        except StopIteration:
             return
-        if m.start() > pos:
-            yield word(html[pos:m.start()])
-        pos = m.end()
-        if m[2] is None:
-            if m[0].startswith("<![CDATA["):
-                yield word(m[0][9:].removesuffix("]]>").replace("&", "&amp;"))
+        resume = None
+        near = stack[-1] if stack else top
+        if m is None:
+            plain = "word:a" if near.link else "word:text"
+            yield "text", f"word:{near.ctx}" if near.ctx else plain, text, near.frame, plain
             continue
         name = m[2].lower()
         if m[1]:
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if at is not None:
-                del stack[at:]
+            if opened[name]:
+                while stack[-1].name != name:
+                    pop()
+                pop()
             kind = f"tag:{name}" if name in BLOCK | CONTENT else "tag:inline"
-            yield "close", kind, name, frame(), kind
+            yield "close", kind, name, stack[-1].frame if stack else 0, kind
             continue
         furniture = "" if name in WHOLE else _furniture(m[3])
         if furniture:
@@ -130,24 +187,33 @@ def items(html: str) -> Iterator[tuple[str, str, str, int, str]]:
             kind, ctx = f"tag:{name}", name
         else:
             kind, ctx = (f"tag:{name}" if name in BLOCK | CONTENT | RAW else "tag:inline"), ""
-        yield "open", kind, name, frame(), kind
+        yield "open", kind, name, near.frame, kind
         if name in VOID or m[3].rstrip().endswith("/"):
             continue
         if name in RAW:  # its content is no markup: skip to its end tag
-            end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, pos)
-            pos = end.end() if end else (n if name in ("script", "style") else pos)
+            end = None if name in endless else \
+                re.compile(rf"</{re.escape(name)}\b[^>]*+>", re.I).search(html, pos, last)
+            if end is None:
+                endless.add(name)
+            resume = end.end() if end else (n if name in ("script", "style") else pos)
             continue
         if name == "p":  # a new paragraph ends an open one
-            while stack and stack[-1][0] in ("p", "b", "i", "em", "strong", "span", "a", "u") \
-                    and any(s[0] == "p" for s in stack):
-                stack.pop()
-        at = frame()
+            while opened["p"] and stack[-1].name in ("p", "b", "i", "em", "strong", "span", "a", "u"):
+                pop()
+        near = stack[-1] if stack else top
+        at = near.frame
         if name in BOILERPLATE and at >= 0:
             at = ~at
         elif furniture and at >= 0:
             frames += 1
             at = frames
-        stack.append((name, ctx, at))
+        entry = _Open(name, ctx or near.ctx, name == "a" or (near.link and not ctx), at)
+        if name == "h1" and not ctx and contents and near.ctx in ("header", ".header"):
+            entry = contents[-1]._replace(name=name)
+        stack.append(entry)
+        opened[name] += 1
+        if name in CONTENT:
+            contents.append(entry)
 
 
 def _label_counts(html: str) -> dict[str, list[int]] | None:

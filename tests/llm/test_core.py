@@ -1,5 +1,6 @@
 """Pure functions: suffix order, packing plan, sketches, trie, HTML, rotations."""
 import random
+import time
 
 import numpy as np
 import pytest
@@ -185,6 +186,54 @@ def test_formulas_and_fallback_text_are_kept():
     assert html.extract_text(page, {}) == "so x=2 and a film"
 
 
+@pytest.mark.parametrize("markup, size", [
+    ("<a ", 0), ("<div>x", 340_000), ('<a ">" ', 0), ('<a b=">" ', 0), ("<p><b>x", 0), ("<svg>x", 0),
+    ("<svg></svg ", 0), ("<!--", 0), ('<div class="ad">x', 0), ("<div></x>", 0)])
+def test_broken_and_deep_pages_take_linear_time(markup, size):
+    page = markup * (1_000_000 // len(markup))
+    began = time.process_time()
+    got = html.extract_text(page, {})
+    assert time.process_time() - began < 30  # seconds; the quadratic reader took hours
+    assert not size or abs(len(got) - size) < 10_000
+
+
+def test_quotes_and_cut_tags():
+    assert html.extract_text('<p title="a>b">one</p><p alt=it\'s>two</p>', {}) == "one\ntwo"
+    assert html.extract_text('<p>one<p x=">two</p>', {}) == "one\ntwo"  # its quote is never closed
+    assert html.extract_text("<p>1 < 2 and a<b</p>", {}) == "1 < 2 and a"
+    assert html.extract_text("<p>one</p><p>two <a hre", {}) == "one\ntwo <a hre"
+
+
+@pytest.mark.parametrize("head", ["<header>{}</header>", '<div class="article-header">{}</div>',
+                                  '<header><div class="x">{}</div></header>'])
+def test_a_title_in_the_header_of_an_article_stays(head):
+    body = "<p>" + "word " * 30 + "</p>"
+    page = "<header><h1>Site</h1></header><article>" + head.format("<p>By someone</p><h1>Title</h1>") + body + "</article>"
+    assert html.extract_text(page, {}).split("\n")[0] == "Title"
+    assert "Site" not in html.extract_text(page, {}) and "someone" not in html.extract_text(page, {})
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["a ", "b c ", "<p>", "</p>", "<div>", "</div>", "<nav>", "</nav>", "<b>", "</b>",
+                                 "<a href='x'>", "</a>", "<li>", "</li>"]), max_size=24))
+def test_the_scan_equals_all_runs(parts):
+    page = "".join(parts)
+    weights = {"word:text": 1.0, "word:a": 0.25, "word:nav": -2.0, "tag:p": -0.5, "tag:div": -1.5, "tag:nav": -4.0,
+               "tag:inline": -0.25, "tag:li": -0.75}
+    seq = list(html.items(page))
+    value = [weights[kind] * (len(text.split()) if what == "text" else 1) for what, kind, text, *_ in seq]
+    best, run = 0.0, (0, 0)
+    for stop in range(1, len(seq) + 1):
+        for start in reversed(range(stop)):  # of equal runs: first end, then last start
+            if sum(value[start:stop]) > best:
+                best, run = sum(value[start:stop]), (start, stop)
+    text = ""
+    for what, _, t, frame, _ in seq[slice(*run)]:
+        text += (t if frame == 0 else "") if what == "text" else "\n" if t in html.BLOCK else ""
+    lines = [" ".join(line.split()) for line in text.split("\n")]
+    assert html.extract_text(page, weights) == "\n".join(x for x in lines if x)
+
+
 def test_rotation_keeps_lengths_and_angles():
     x = np.random.default_rng(0).normal(size=(5, 24))
     y = ann.rotate(x, 3)
