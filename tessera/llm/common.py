@@ -16,10 +16,20 @@ from tessera.session import scratch_path
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+#: Rows of an Arrow batch, unless the session sets its own number.  Spark's 10,000
+#: texts of some KB take tens of MB in a task's JVM and again in its worker.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship() -> None:
     """Pickle this subpackage's worker code with the task, so executors need
-    only numpy, pyarrow and the tokenizer libraries installed."""
+    only numpy, pyarrow and the tokenizer libraries installed, and bound the
+    rows of an Arrow batch where the session has Spark's default."""
     cloudpickle.register_pickle_by_value(sys.modules["tessera.llm"])
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, BATCH_ROWS)
 
 
 def send(sc, value):
@@ -69,7 +79,7 @@ class WordHash(dict):
     """word bytes -> 64-bit hash, remembered; emptied when it holds ``limit``
     words so a worker's memory stays bounded on any vocabulary."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 1 << 16):
         super().__init__()
         import xxhash
         self._h, self._limit = xxhash.xxh3_64_intdigest, limit

@@ -42,7 +42,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WordHash, mix64, received, send, ship, words
+from tessera.llm.common import WordHash, mix64, received, send, ship, stage, words
 
 FIT_ROWS = 20_000
 FIT_BYTES = 3 << 20
@@ -191,11 +191,10 @@ def _evidence(x, y) -> list[float]:
 
 def _features_udf(bc):
     @F.pandas_udf("a double, b double, c double, d double, words long")
-    def of(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        models, memo = received(bc), WordHash()
-        for col, fold in parts:
-            yield pd.DataFrame([features(t, models[f], memo) for t, f in zip(col, fold, strict=True)],
-                               columns=["a", "b", "c", "d", "words"])
+    def of(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        model, memo = received(bc), WordHash()
+        for col in parts:
+            yield pd.DataFrame([features(t, model, memo) for t in col], columns=["a", "b", "c", "d", "words"])
     return of
 
 
@@ -227,21 +226,27 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, key: str = "doc_id"
     pick = (size.withColumn("upto", F.sum(F.coalesce("size", F.lit(0))).over(before)).where(F.col("upto") <= fit_bytes)
             .select("_id", "toxic", F.pmod(F.shiftright("_o", 8), F.lit(FOLDS)).cast("int").alias("fold")))
     pick = docs.sparkSession.createDataFrame(pick.collect(), pick.schema)  # fit_rows rows at most
-    rows = texts.join(F.broadcast(pick), "_id").select("_t", "fold", "toxic")
+    # the fitting sample is read several times: once from the documents, then from a small table
+    rows = stage(texts.join(F.broadcast(pick), "_id").select("_t", "fold", "toxic").repartition(8, "_t"),
+                 "toxicity-sample")
     counted = (rows.mapInArrow(_count, COUNTS).groupBy("k3", "c3", "k2", "c2", "k1", "fold", "toxic")
                .agg(F.sum("n").alias("n")).toArrow())  # as many rows as the texts have words: fit_bytes / 2 at most
     t = {c: counted.column(c).to_numpy() for c in counted.column_names}
     for c in ("k3", "c3", "k2", "c2", "k1"):
         t[c] = t[c].view(np.uint64)
-    parts = [t["fold"] != f for f in range(FOLDS)] + [np.ones(len(t["fold"]), bool)]
+    parts = [t["fold"] != f for f in range(FOLDS)]
     if any(not (use & (t["toxic"] == y)).any() for use in parts for y in (0, 1)):
         return None
     del counted
-    whole = send(sc, [_model(t, parts[FOLDS])])
-    crossed = send(sc, [_model(t, use) for use in parts[:FOLDS]])
+    seen = []
+    for f, use in enumerate(parts):  # one fold's model at a time, in the driver and in the workers
+        crossed = send(sc, _model(t, use))
+        seen.append(rows.where(F.col("fold") == f).select("toxic", _features_udf(crossed)("_t").alias("f"))
+                    .select("toxic", "f.*").toPandas())
+        crossed.unpersist()
+    whole = send(sc, _model(t, slice(None)))
     del t, parts
-    seen = rows.select("toxic", _features_udf(crossed)("_t", "fold").alias("f")).select("toxic", "f.*").toPandas()
-    crossed.unpersist()
+    seen = pd.concat(seen)
     return whole, _evidence(seen[["a", "b", "c", "d"]].to_numpy(), seen["toxic"].to_numpy()), float(seen["toxic"].mean())
 
 
@@ -250,7 +255,7 @@ def score(docs: DataFrame, fitted, key: str = "doc_id", text: str = "text",
     """``key``, the ``keep`` columns, ``score`` in 0..1 and ``predicted``."""
     ship()
     base = docs.select(F.col(key), *keep, *([] if fitted is None else
-                                            [_features_udf(fitted[0])(F.col(text), F.lit(0)).alias("_f")]))
+                                            [_features_udf(fitted[0])(F.col(text)).alias("_f")]))
     if fitted is None:
         out = base.withColumn("score", F.lit(0.0))
     else:
