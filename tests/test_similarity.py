@@ -107,3 +107,41 @@ def test_no_window_over_a_user(spark):
     r = spark.createDataFrame([(1, 2, 3.0)], "userid bigint, movieid bigint, rating double")
     plan = S.similarity(r)._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan
+
+
+@pytest.mark.parametrize("block_size", [3, 2048])
+def test_ordered_pairs_meet_in_grid_cells(spark, block_size):
+    data = [(u, m, float((u * m) % 5 + 1)) for u in range(1, 9) for m in range(100, 100 + 3 * u) if (u + m) % 3]
+    data += [(1, 100, 2.0), (8, 110, 4.0), (8, 110, 1.0), (9, None, 3.0), (9, 101, 3.0), (None, 101, 3.0)]
+    df = spark.createDataFrame(data, SCHEMA).cache()
+    got = {(r.movie1, r.movie2): r.corr for r in S.similarity(df, "item_lt_item", block_size).collect()}
+    exp = brute_force([d for d in data if None not in d], "item_lt_item")
+    assert got.keys() == exp.keys()
+    assert all(got[k] == pytest.approx(exp[k], rel=1e-12) for k in exp)
+    raters = {r.movieid: r.num_raters for r in S.raters_per_item(df).collect()}
+    stats = S.pair_stats(df, "item_lt_item", block_size).collect()
+    assert stats and all((r.num_raters, r.num_raters2) == (raters[r.movie1], raters[r.movie2]) for r in stats)
+
+
+def test_ordered_pairs_are_not_shuffled(spark):
+    """Ratings are sent, packed by user; no row per pair is."""
+    df = spark.createDataFrame([(u, m, float(m % 5)) for u in range(300) for m in range(40)], SCHEMA)
+    for out in (S.similarity(df, "item_lt_item"), S.pair_stats(df, "item_lt_item")):
+        exchanges = [n for n in out._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange" in n]
+        assert exchanges and not [e for e in exchanges if "movie1" in e or "movie2" in e], exchanges
+
+
+def test_grid_cells_and_groups():
+    from tessera.operators import skew as K
+    assert K.item_groups(0) == K.item_groups(K.PAIRS_PER_CELL * 30) == K.MIN_GROUPS
+    assert K.grid_cells(K.item_groups(K.PAIRS_PER_CELL * 1000)) >= 1000
+
+
+def test_each_pair_of_groups_has_a_cell_of_its_own(spark):
+    from tessera.operators import skew as K
+    g = 9
+    df = spark.range(g).selectExpr("id a").crossJoin(spark.range(g).selectExpr("id b"))
+    cells = {}
+    for r in df.select("a", "b", K.grid_cell(F.col("a"), F.col("b"), g).alias("p")).collect():
+        cells.setdefault(r.p, set()).add((min(r.a, r.b), max(r.a, r.b)))
+    assert sorted(cells) == list(range(K.grid_cells(g))) and all(len(v) == 1 for v in cells.values())
