@@ -123,3 +123,44 @@ def test_repeated_similarity_rows_are_kept(spark):
     sim = spark.createDataFrame([(10, 20, 0.9), (10, 20, 0.9), (10, 21, 0.6), (10, 21, 0.6)], SS)
     got = rows(P.best_candidates_for(r, sim, "unseen", narrow=False))
     assert got == [(1, 10, 21, 0.6), (1, 10, 21, 0.6)]
+
+
+def _exchanges(df):
+    return [n for n in df._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange" in n]
+
+
+def test_seen_pairs_are_neither_shuffled_nor_windowed_anew(spark):
+    r = spark.createDataFrame([(u, m, float(m % 5 + 1)) for u in range(60) for m in range(20)], RS)
+    sim = S.similarity(r, "item_lt_item")
+    for out in (P.best_candidate_groups(r, sim), P.max_seen_correlation(r, P.similarity_table(sim))):
+        assert not [e for e in _exchanges(out) if "movieid1#" in e and "movieid2#" in e or "hashpartitioning(userid" in e
+                    and "movieid1#" in e], _exchanges(out)
+
+
+def test_items_that_many_users_like_are_copied(spark):
+    r = spark.createDataFrame([(u, m, float((u + m) % 5 + 1)) for u in range(40) for m in range(12) if (u * m) % 7]
+                              + [(1, 3, 5.0), (1, 3, 5.0), (None, 3, 5.0), (2, None, 5.0)], RS)
+    st = P.similarity_table(S.similarity(r.where("userid is not null and movieid is not null"), "item_lt_item"))
+    liked = r.where("rating > 4").select("userid", F.col("movieid").alias("movieid1"))
+    rated = r.select("userid", F.col("movieid").alias("movieid2"))
+    exp = rows(P.candidates_seen(P.drop_self_pairs(P.similar_per_user(r, st)), r).drop("rating"))
+    got = P._dealt_candidates(r, st, liked, rated, block_size=3, users_per_copy=2)
+    assert exp and rows(got.select("userid", "movieid1", "movieid2", "correlation_factor")) == exp
+
+
+def test_join_back_reads_its_candidates_once(spark):
+    cands = spark.createDataFrame([(1, 10, 20, 0.9, 5.0), (1, 10, 21, 0.9, 4.0), (None, 10, 21, 0.9, 4.0),
+                                   (1, 11, 22, None, 3.0)], CS).repartition(4, "movieid2")
+    out = P.best_candidates_joinback(cands)
+    assert rows(out) == [(1, 10, 20, 0.9), (1, 10, 21, 0.9)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("isnotnull(correlation_factor") == 2  # both branches alike
+
+
+def test_unseen_names_of_a_user_meet_in_one_partition(spark):
+    r = spark.createDataFrame([(1, 10, 5.0), (1, 20, 3.0), (2, 10, 5.0)], RS)
+    sim = spark.createDataFrame([(10, 20, 0.5), (10, 30, 0.9), (10, 31, 0.9)], SS)
+    mv = spark.createDataFrame([(30, "a"), (31, "a"), (20, "b")], "movieid bigint, moviename string")
+    out = P.predictions(r, sim, F.broadcast(mv), "unseen")
+    assert rows(out) == [(1, "a"), (2, "a")]
+    assert not [e for e in _exchanges(out) if "moviename" in e and "hashpartitioning" in e]
