@@ -107,10 +107,17 @@ def write_eml_tree(docs: DataFrame, root: str, text: Column | None = None) -> No
     t = single_part_text(True) if text is None else text
 
     def put(batches):
+        base = None
+        made = set()  # folders of this task: few, as the tree's folders are
         for batch in batches:
             for path, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                store, at, _ = open_store(path)
-                store.create_dir(at.rpartition("/")[0], recursive=True)
+                if base is None:  # all paths are below one root: one client
+                    store, base, _ = open_store(root)
+                at = base + path[len(root):]
+                folder = at.rpartition("/")[0]
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
                 with store.open_output_stream(at) as f:
                     f.write(data)
             yield batch.select([0])

@@ -14,7 +14,8 @@ depth, and keep the file list on the driver.  A mail tree holds such names
 Contents are read by bytes, not by number of files: the listing tasks keep a
 running total of file lengths and cut it into packs of ``PACK_BYTES`` or
 ``PACK_FILES``, a larger file being a pack of its own; packs are dealt evenly over
-the partitions of the read, which holds one content at a time.
+the partitions of the read, which holds ``BATCH_BYTES`` of contents and one more
+content at a time.
 
 Executors reach the files through ``pyarrow.fs``: a shared mount (plain or
 ``file:`` paths) or any store it has a client for (``s3:``, ``gs:``,
@@ -36,6 +37,8 @@ LISTED = "path string, modificationTime timestamp, length bigint"
 FOLDERS, LEVELS = 256, 6
 #: A pack of files that one read takes: bytes, or number of files.
 PACK_BYTES, PACK_FILES = 8 << 20, 64
+#: Contents that are handed on at once; a larger one goes alone.
+BATCH_BYTES = 1 << 20
 
 
 def bare_path(path: Column) -> Column:
@@ -168,16 +171,35 @@ def _pack(pack_bytes: int, pack_files: int):
 
 def _read_contents(batches: Iterator) -> Iterator:
     import pyarrow as pa
+    names = ("path", "modificationTime", "length")
+    kinds = (pa.string(), pa.timestamp("us", "UTC"), pa.int64(), pa.binary())
+    local = None  # one client for all plain paths
+
+    def opened(uri):
+        nonlocal local
+        if not uri.startswith("/"):
+            store, path, _ = open_store(uri)
+            return store.open_input_stream(path)
+        local = local or open_store("/")[0]
+        return local.open_input_stream(uri)
+
+    def out(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+                                          names=[*names, "content"])
+
     for batch in batches:
-        for pack in batch.column("files"):
+        for pack in batch.column("files").to_pylist():
+            held, size = [], 0
             for row in pack:
-                store, path, _ = open_store(row["path"].as_py())
-                with store.open_input_stream(path) as f:
+                with opened(row["path"]) as f:
                     data = f.read()
-                # a batch per file: one content in memory at a time
-                yield pa.RecordBatch.from_arrays(
-                    [*(pa.array([row[c].as_py()], row[c].type) for c in ("path", "modificationTime", "length")),
-                     pa.array([data], pa.binary())], names=["path", "modificationTime", "length", "content"])
+                if held and size + len(data) > BATCH_BYTES:
+                    yield out(held)
+                    held, size = [], 0
+                held.append((*(row[n] for n in names), data))
+                size += len(data)
+            if held:
+                yield out(held)
 
 
 def walk_files(spark: SparkSession, root: str) -> DataFrame:

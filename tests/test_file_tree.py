@@ -82,3 +82,18 @@ def test_packs_of_nothing_and_of_empty_files(spark):
     assert T.packs(none).count() == 0
     empty = spark.createDataFrame([(f"/f{i}", None, 0) for i in range(200)], T.LISTED).coalesce(1)
     assert sorted(r.n for r in T.packs(empty, pack_files=64).selectExpr("size(files) n").collect()) == [8, 64, 64, 64]
+
+
+def test_small_contents_are_handed_on_together(tmp_path):
+    import pyarrow as pa
+
+    from tessera.sources import files as T
+    sizes = [10, 0, T.BATCH_BYTES + 5, 20, 30]
+    listed = []
+    for i, n in enumerate(sizes):
+        (tmp_path / f"_{i}").write_bytes(b"x" * n)
+        listed.append({"path": ("file://" if i == 3 else "") + str(tmp_path / f"_{i}"), "modificationTime": None, "length": n})
+    out = list(T._read_contents(iter([pa.RecordBatch.from_pylist([{"files": listed}])])))
+    assert [b.num_rows for b in out] == [2, 1, 2]
+    assert [len(c.as_py()) for b in out for c in b.column("content")] == sizes
+    assert [p.as_py() for b in out for p in b.column("path")] == [r["path"] for r in listed]
