@@ -110,7 +110,8 @@ def test_no_window_over_a_user(spark):
 
 
 @pytest.mark.parametrize("block_size", [3, 2048])
-def test_ordered_pairs_meet_in_grid_cells(spark, block_size):
+def test_ordered_pairs_meet_in_grid_cells(spark, block_size, monkeypatch):
+    monkeypatch.setattr(S.skew, "GRID_PAIRS", 0)
     data = [(u, m, float((u * m) % 5 + 1)) for u in range(1, 9) for m in range(100, 100 + 3 * u) if (u + m) % 3]
     data += [(1, 100, 2.0), (8, 110, 4.0), (8, 110, 1.0), (9, None, 3.0), (9, 101, 3.0), (None, 101, 3.0)]
     df = spark.createDataFrame(data, SCHEMA).cache()
@@ -123,8 +124,9 @@ def test_ordered_pairs_meet_in_grid_cells(spark, block_size):
     assert stats and all((r.num_raters, r.num_raters2) == (raters[r.movie1], raters[r.movie2]) for r in stats)
 
 
-def test_ordered_pairs_are_not_shuffled(spark):
+def test_ordered_pairs_are_not_shuffled(spark, monkeypatch):
     """Ratings are sent, packed by user; no row per pair is."""
+    monkeypatch.setattr(S.skew, "GRID_PAIRS", 0)
     df = spark.createDataFrame([(u, m, float(m % 5)) for u in range(300) for m in range(40)], SCHEMA)
     for out in (S.similarity(df, "item_lt_item"), S.pair_stats(df, "item_lt_item")):
         exchanges = [n for n in out._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange" in n]
