@@ -31,6 +31,8 @@ LEAVES, CLASSES = 8000, 250
 SLOT_BITS, DOC_BITS = 20, 12
 HASHED = 3
 CHUNK, TOGETHER = 48, 256
+#: Tokens whose bits are counted at a time: arrays that stay in a core's cache.
+COUNTED = 4096
 RATE, DOC_PRIOR, PRIOR = 0.01, 6.0, 3.0
 #: Starting weights: node, previous token, two previous, skip, document, bias.
 START = (0.25, 0.35, 0.05, 0.25, 0.55, 0.0)
@@ -73,6 +75,8 @@ class Tree:
         self.count = max(1, n - 1)
         #: counter of a node in a document's own table
         self.cell = (self.nodes * 2654435761 & 0xFFFFFFFF) >> (32 - DOC_BITS)
+        #: a node's share of the hash of a table slot
+        self.hash = self.nodes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
     def node_odds(self, weights):
         """(times at a node, times its bit was 1) under the symbol weights."""
@@ -102,24 +106,29 @@ def contexts(symbols, doc_start):
             mix64(two + (np.uint64(3) << np.uint64(40))))
 
 
-def slots(context, token, node):
-    """Table slot of a bit: context of its token, at its node."""
-    h = (context[token] ^ (node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) \
-        * np.uint64(0xD6E8FEB86659FD93)
-    return (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+def slots(context, length, node_hash):
+    """Table slots of bits: contexts of tokens with ``length`` bits each, hashes of
+    the bits' nodes."""
+    h = np.repeat(context, length)
+    h ^= node_hash
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h >>= np.uint64(64 - SLOT_BITS)
+    return h.view(np.int64)
 
 
 def count_bits(tree: Tree, symbols, doc_start, into) -> None:
     """Add the bits of whole documents to counters ``[HASHED][2 * slots]``."""
     ctx = contexts(symbols, doc_start)
-    for lo in range(0, len(symbols), 100_000):
-        part = np.arange(lo, min(lo + 100_000, len(symbols)))
-        n = tree.length[symbols[part]]
-        at = _spans(tree.start[symbols[part]], n)
-        token, node, bit = np.repeat(part, n), tree.nodes[at], tree.bits[at]
+    for lo in range(0, len(symbols), COUNTED):
+        part = symbols[lo:lo + COUNTED]
+        n = tree.length[part]
+        at = _spans(tree.start[part], n)
+        node_hash, bit = tree.hash[at], tree.bits[at]
         for k in range(HASHED):
-            into[k] += np.bincount(2 * slots(ctx[k], token, node) + bit,
-                                   minlength=2 << SLOT_BITS).astype(np.uint32)
+            slot = slots(ctx[k][lo:lo + COUNTED], n, node_hash)
+            slot <<= 1
+            slot += bit
+            np.add.at(into[k], slot, np.uint32(1))
 
 
 def shrink(counts):
@@ -130,13 +139,40 @@ def shrink(counts):
     return c[:, 0] << np.uint32(16) | c[:, 1]
 
 
+#: A bit of a path: the node's hash, probability and logit, the bit, its counter, its gate.
+PATH = np.dtype([("hash", "u8"), ("p0", "f4"), ("x0", "f4"), ("zero", "f4"), ("bit", "i4"), ("cell", "i4"),
+                 ("level", "i4")])
+
+
+def _wide(shape, kind):
+    """An array for random access; numpy asks for huge pages from 4 MB on, but not for ``zeros``."""
+    return np.empty(shape, kind)
+
+
+def _stretch(q):
+    """Probabilities on the logistic scale; ``q`` is clipped in place."""
+    np.clip(q, 1e-6, 1 - 1e-6, out=q)
+    x = q / (1 - q)
+    return np.log(x, out=x)
+
+
 class Mixer:
     """Scores documents under a tree, node counts and hashed tables."""
 
     def __init__(self, tree: Tree, node_counts, tables):
-        self.tree, self.tables = tree, tables
+        self.tree = tree
         n, ones = node_counts
-        self.p0 = ((ones + 0.4) / (n + 0.8)).astype(np.float32)
+        p0 = ((ones + 0.4) / (n + 0.8)).astype(np.float32)
+        # what is looked up by place on a path, in one row: gathering rows of 32 bytes
+        # costs about as much as gathering one column
+        self.path = np.zeros(len(tree.nodes), PATH)
+        for name, column in (("hash", tree.hash), ("p0", p0[tree.nodes]), ("x0", _stretch(p0.copy())[tree.nodes]),
+                             ("zero", 1 - tree.bits), ("bit", tree.bits), ("cell", tree.cell),
+                             ("level", tree.level * SEEN)):
+            self.path[name] = column
+        self.tables = _wide((len(tables), 1 << SLOT_BITS), np.uint32)
+        self.tables[:] = tables
+        self.own = _wide(TOGETHER << DOC_BITS, np.complex64)
 
     def score(self, docs: list) -> np.ndarray:
         """Natural log-probability of each document's symbols."""
@@ -154,46 +190,65 @@ class Mixer:
         symbols = np.concatenate(docs).astype(np.int64) if sizes.sum() else np.empty(0, np.int64)
         ctx = contexts(symbols, _spans(np.zeros(len(docs), np.int64), sizes))
         gates = DEPTHS * SEEN
-        w = np.tile(np.array(START, np.float32), (len(docs) * gates, 1))
-        own = np.zeros((len(docs) << DOC_BITS, 2), np.float32)
+        # one array per input: a gather of rows costs many times more
+        w = [np.full(len(docs) * gates, v, np.float32) for v in START]
+        own = self.own[:len(docs) << DOC_BITS]  # (0s, 1s) of a cell, gathered at once
+        own[:] = 0
+        flat = own.view(np.float32)
         for at in range(0, int(sizes.max(initial=0)), CHUNK):
             alive = int(np.searchsorted(-sizes, -at, "left"))  # sizes descend
             n = np.minimum(sizes[:alive] - at, CHUNK)
             tok = _spans(off[:alive] + at, n)
-            doc = np.repeat(np.arange(alive), n)
             length = t.length[symbols[tok]]
-            where = _spans(t.start[symbols[tok]], length)
-            node, bit = t.nodes[where], t.bits[where]
-            token, owner = np.repeat(tok, length), np.repeat(doc, length)
-            p0 = self.p0[node]
-            probs, seen = [p0], 0
+            path = self.path.take(_spans(t.start[symbols[tok]], length))
+            node_hash, p0, bit = path["hash"].copy(), path["p0"].copy(), path["bit"]
+            owner = np.repeat(np.repeat(np.arange(alive), n), length)
+            x, base, seen = [path["x0"]], p0, 0
             for k in range(HASHED):
-                c = self.tables[k][slots(ctx[k], token, node)]
+                c = self.tables[k].take(slots(ctx[k][tok], length, node_hash))
                 ones = (c & np.uint32(0xFFFF)).astype(np.float32)
-                both = ones + (c >> np.uint32(16)).astype(np.float32)
-                base = probs[1] if k == 1 else p0
-                probs.append((ones + PRIOR * base) / (both + PRIOR))
+                c >>= np.uint32(16)
+                both = c.astype(np.float32)
+                both += ones
                 if k < 2:
                     seen = seen * np.int8(3) + (both >= 2) + (both >= 30)
-            cell = (owner << DOC_BITS) + t.cell[where]
-            mine = own[cell]
-            probs.append((mine[:, 1] + DOC_PRIOR * p0) / (mine[:, 0] + mine[:, 1] + DOC_PRIOR))
-            gate = owner * gates + t.level[where] * SEEN + seen
-            weight, x = w[gate], []
-            dot = weight[:, -1] * BIAS
-            for j, q in enumerate(probs):
-                np.clip(q, 1e-6, 1 - 1e-6, out=q)
-                x.append(np.log(q / (1 - q)))
-                dot += weight[:, j] * x[j]
+                # the two before are smoothed by the token before, the others by the node
+                ones += PRIOR * (base if k == 1 else p0)
+                both += PRIOR
+                ones /= both
+                base = ones.copy() if k == 0 else None
+                x.append(_stretch(ones))
+            cell = owner << DOC_BITS
+            cell += path["cell"]
+            mine = own.take(cell)
+            p0 *= DOC_PRIOR
+            p0 += mine.imag
+            zero = mine.real + mine.imag
+            zero += DOC_PRIOR
+            p0 /= zero
+            x.append(_stretch(p0))
+            gate = owner * gates
+            gate += path["level"]
+            gate += seen
+            dot = w[-1].take(gate)
+            dot *= BIAS
+            for j, q in enumerate(x):
+                part = w[j].take(gate)
+                part *= q
+                dot += part
             np.clip(dot, -20, 20, out=dot)
-            p = 1 / (1 + np.exp(-dot))
+            np.negative(dot, out=dot)
+            p = np.exp(dot, out=dot)
+            p += 1
+            np.divide(1, p, out=p)
             np.clip(p, 1e-6, 1 - 1e-6, out=p)
-            total[:alive] += np.bincount(owner, np.log(np.where(bit, p, 1 - p)), alive)
-            err = (bit - p).astype(np.float64)
+            # the probability of the bit that came
+            total[:alive] += np.bincount(owner, np.log(np.abs(path["zero"] - p)), alive)
+            err = (1 - path["zero"] - p).astype(np.float64)
             for j, q in enumerate(x):
-                w[:alive * gates, j] += RATE * np.bincount(gate, err * q, alive * gates)
-            w[:alive * gates, -1] += RATE * BIAS * np.bincount(gate, err, alive * gates)
-            at_bit = 2 * cell + bit
-            flat = own.reshape(-1)
-            np.add.at(flat, at_bit, np.float32(1))
+                w[j][:alive * gates] += RATE * np.bincount(gate, err * q, alive * gates)
+            w[-1][:alive * gates] += RATE * BIAS * np.bincount(gate, err, alive * gates)
+            cell <<= 1
+            cell += bit
+            np.add.at(flat, cell, np.float32(1))
         return total

@@ -26,16 +26,14 @@ repeated rows are scored row by row and counted as often as they occur.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import contextmix as cm
-from tessera.llm.common import partitions, received, send, ship, stage, words
+from tessera.llm.common import partitions, received, send, ship, stage
 
 VOCABULARY = 250_000
 ALPHA = 0.1
@@ -45,17 +43,42 @@ BLOCKS = 16
 COUNT_LEVELS = 256
 #: Words in a task's partial counts before they are sent on.
 HELD_WORDS = 300_000
+#: Bytes of texts split at a time, about; a longer text alone.
+TEXT_BYTES = 4 << 20
 
 
-def _texts(batch, column: int) -> Iterator[list[bytes]]:
-    """Words of one text after the other: a batch's words are never held at once."""
-    for text in batch.column(column):
-        yield words(text.as_py()) + [END]
+def _tokens(texts, rows: int = 512) -> Iterator:
+    """A column of texts in parts of at most ``rows`` texts and about ``TEXT_BYTES``:
+    ``(offset, distinct words, each token's word, tokens of each text)``.
+
+    Lower-casing, splitting (at the six ASCII white-space bytes) and telling words
+    apart happen in Arrow, so Python sees a part's distinct words only.
+    """
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    texts = pc.fill_null(texts, "")
+    size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)) // TEXT_BYTES
+    lo = 0
+    while lo < len(texts):
+        hi = min(lo + rows, max(lo + 1, int(np.searchsorted(size, size[lo], "right"))))
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts.slice(lo, hi - lo)))
+        flat, offset = split.flatten(), split.offsets.to_numpy().astype(np.int64)
+        word = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0  # white space at an edge leaves empty ones
+        before = np.concatenate(([0], np.cumsum(word)))
+        n = np.diff(before[offset - offset[0]]) + 1
+        coded = flat.dictionary_encode()
+        known = coded.dictionary.cast(pa.binary()).to_pylist() + [END]
+        token = np.full(int(n.sum()), len(known) - 1, np.int64)
+        inner = np.ones(len(token), bool)
+        inner[np.cumsum(n) - 1] = False
+        token[inner] = coded.indices.to_numpy(zero_copy_only=False)[word]
+        yield lo, known, token, n
+        lo = hi
 
 
 def _count_words(batches: Iterator) -> Iterator:
     import pyarrow as pa
-    total: Counter = Counter()
+    total: dict = {}
 
     def rows():
         out = pa.RecordBatch.from_arrays(
@@ -64,8 +87,10 @@ def _count_words(batches: Iterator) -> Iterator:
         return out
 
     for batch in batches:
-        for ws in _texts(batch, 0):
-            total.update(ws)
+        for _, known, token, _ in _tokens(batch.column(0), batch.num_rows):
+            for w, n in zip(known, np.bincount(token, minlength=len(known)).tolist(), strict=True):
+                if n:
+                    total[w] = total.get(w, 0) + n
             if len(total) > HELD_WORDS:
                 yield rows()
     yield rows()
@@ -106,6 +131,9 @@ class _Numbers(dict):
         super().__init__(zip(code.words, range(len(code.words)), strict=True))
         self.size = len(code.words)
 
+    def of(self, known: list[bytes]):
+        return np.fromiter(map(self.__getitem__, known), np.int64, len(known))
+
     def __missing__(self, word):
         s = self.size + cm.word_class(word)
         if len(self) < self.size + 200_000:
@@ -121,15 +149,9 @@ def _count_bits(code_bc):
         numbers = _Numbers(code)
         into = [np.zeros(2 << cm.SLOT_BITS, np.uint32) for _ in range(cm.HASHED)]
         for batch in batches:
-            held, size = [], 0
-            for ws in chain(_texts(batch, 0), [None]):
-                if held and (ws is None or size > 200_000):
-                    cm.count_bits(code.tree, np.concatenate(held),
-                                  np.concatenate([np.arange(len(h)) for h in held]), into)
-                    held, size = [], 0
-                if ws is not None:
-                    held.append(code.symbol[np.fromiter(map(numbers.__getitem__, ws), np.int64, len(ws))])
-                    size += len(ws)
+            for _, known, token, n in _tokens(batch.column(0)):
+                symbols = code.symbol[numbers.of(known)][token]
+                cm.count_bits(code.tree, symbols, np.arange(len(token)) - np.repeat(np.cumsum(n) - n, n), into)
         pack = zstandard.ZstdCompressor(level=1).compress
         rows = [(k * BLOCKS + b, pack(part.tobytes())) for k in range(cm.HASHED)
                 for b, part in enumerate(np.split(into[k], BLOCKS)) if part.any()]
@@ -165,26 +187,25 @@ def _score(code_bc, tables_bc, held_out_column: int):
         raw = tables_bc.value
         tables = [np.frombuffer(raw[k], np.uint32) for k in range(cm.HASHED)]
         mixer = cm.Mixer(code.tree, code.tree.node_odds(code.weights), tables)
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 512):
-                batch = whole.slice(lo, 512)
-                docs, n, known, base, extra, rare_w, rare_n = [], [], [], [], [], [], []
-                for ws in _texts(batch, 1):
-                    at = np.fromiter(map(numbers.__getitem__, ws), np.int64, len(ws))
-                    docs.append(code.symbol[at])
-                    other = np.flatnonzero(at >= numbers.size)
-                    rare = Counter([ws[i] for i in other])
-                    n.append(len(ws))
-                    known.append(len(ws) - len(other))
-                    base.append(float(code.base[at].sum()))
-                    extra.append(float(code.share[at].sum()))
-                    rare_w.append(list(rare))
-                    rare_n.append(list(rare.values()))
-                scores = mixer.score(docs) / math.log(10) + np.array(extra) if docs else []
+        for batch in batches:
+            for lo, known, token, n in _tokens(batch.column(1)):
+                start, part = np.cumsum(n) - n, batch.slice(lo, len(n))
+                number = numbers.of(known)
+                at = number[token]
+                # words outside the vocabulary, each once a text
+                other = np.flatnonzero(at >= numbers.size)
+                pairs, times = np.unique(np.searchsorted(start, other, "right") * len(known) + token[other],
+                                         return_counts=True)
+                first = np.searchsorted(pairs, np.arange(1, len(n) + 2) * len(known)).astype(np.int32)
+                rare = pa.array(known, pa.binary()).take(pa.array(pairs % len(known)))
+                unknown = np.add.reduceat(at >= numbers.size, start, dtype=np.int64)
+                scores = (mixer.score(np.split(code.symbol[at], start[1:])) / math.log(10)
+                          + np.add.reduceat(code.share[at], start))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(held_out_column), pa.array(n, pa.int64()),
-                     pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(scores, pa.float64()),
-                     pa.array(rare_w, pa.list_(pa.binary())), pa.array(rare_n, pa.list_(pa.int64()))], names=names)
+                    [part.column(0), part.column(held_out_column), pa.array(n, pa.int64()),
+                     pa.array(n - unknown, pa.int64()), pa.array(np.add.reduceat(code.base[at], start)),
+                     pa.array(scores), pa.ListArray.from_arrays(pa.array(first), rare),
+                     pa.ListArray.from_arrays(pa.array(first), pa.array(times, pa.int64()))], names=names)
     return run
 
 

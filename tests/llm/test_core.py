@@ -288,3 +288,20 @@ def test_anchor_windows_cover_every_window_once(n):
     _, _, first, count, _ = substrings._anchors(buf, np.arange(n, 0, -1))
     got = sorted(w for f, c in zip(first, count) for w in range(f, f + c))
     assert got == list(range(max(0, n - 49)))
+
+
+def test_arrow_tokens_are_the_words_and_an_end(monkeypatch):
+    import pyarrow as pa
+
+    from tessera.llm import lm
+    texts = [" A\x0bb\x0c\u00c0 c\x1cd\x85e \u00a0F\n", "", None, "x", " \t ", "b A b", "y " * 50, "\u0130 I"]
+    column = pa.array(["dropped", *texts]).slice(1)
+    for room in (1, 40, 1 << 20):
+        monkeypatch.setattr(lm, "TEXT_BYTES", room)
+        got, parts = [], 0
+        for lo, known, token, n in lm._tokens(column, 3):
+            assert lo == len(got) and len(token) == n.sum() and len(n) <= 3
+            assert len(set(known[:-1])) == len(known) - 1  # a word is looked up once a part
+            ends, parts = np.cumsum(n), parts + 1
+            got += [[known[i] for i in token[b - k:b]] for b, k in zip(ends, n, strict=True)]
+        assert got == [words(t) + [lm.END] for t in texts] and parts >= 3
