@@ -305,3 +305,46 @@ def test_arrow_tokens_are_the_words_and_an_end(monkeypatch):
             ends, parts = np.cumsum(n), parts + 1
             got += [[known[i] for i in token[b - k:b]] for b, k in zip(ends, n, strict=True)]
         assert got == [words(t) + [lm.END] for t in texts] and parts >= 3
+
+
+def test_doubled_ranks_and_common_prefixes_are_those_of_the_suffixes():
+    for seed, kinds in ((1, 2), (2, 5), (3, 40)):
+        names = np.random.default_rng(seed).integers(0, kinds, 300)
+        names[100:160] = names[:60]
+        names = np.unique(names, return_inverse=True)[1]
+        want = sorted(range(len(names)), key=lambda i: names[i:].tolist())
+        assert np.argsort(induced._doubled(names)).tolist() == want
+    raw = b"abcdefghabcdefghijabcdefghabcdefghijk" * 3
+    text = np.frombuffer(raw, np.uint8)
+    a, b = np.array([0, 0, 10, 36, 110]), np.array([18, 37, 28, 73, 0])
+    most = np.array([64, 9, 64, 64, 1])
+    most = np.minimum(most, len(raw) - np.maximum(a, b))
+    want = [next((k for k in range(m) if raw[i + k] != raw[j + k]), m)
+            for i, j, m in zip(a.tolist(), b.tolist(), most.tolist(), strict=True)]
+    assert induced._common(induced._eights(text), a, b, most).tolist() == want
+
+
+def test_snippets_that_share_no_window_are_not_sorted():
+    rng = np.random.default_rng(7)
+    text = lambda n: bytes(rng.integers(97, 123, n).astype(np.uint8))
+    core = text(36)  # less than a window: 34 equal bytes were enough to be sorted before
+    apart = [text(23) + core + text(23) for _ in range(2)]
+    assert not substrings._may_share(apart, [1, 2]).any()
+    for cut in range(0, 33):  # a window shared wherever its anchor lies is never lost
+        window = text(50)
+        both = [text(cut)[:32] + window + text(32 - cut) for _ in range(2)]
+        snippets, docs = [], []
+        for d, whole in enumerate(both):
+            left = np.arange(len(whole), 0, -1)
+            _, _, first, n, _ = substrings._anchors(np.frombuffer(whole, np.uint8), left)
+            snippets += [whole[i:i + k + 49] for i, k in zip(first, n, strict=True)]
+            docs += [d] * len(first)
+        kept = substrings._may_share(snippets, docs)
+        assert all(k for k, t in zip(kept, snippets, strict=True) if window in t)
+
+
+def test_anchors_of_repeated_rows_are_packed_in_the_order_they_come():
+    start = np.array([3, 40, 3, 40, 7], np.int64)
+    doc, th, n = np.array([5, 5, 5, 5, 2]), np.array([1, 1, 1, 1, 9]), np.array([4, 2, 4, 2, 8])
+    got = substrings._unpack(substrings._pack(*np.zeros((2, 5), np.uint64), start, n, doc, th))
+    assert [c.tolist() for c in got[2:]] == [c.tolist() for c in (start, n, doc, th)]
