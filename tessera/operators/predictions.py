@@ -141,6 +141,17 @@ def _keyed(ratings: DataFrame) -> DataFrame:
 EXPAND_CHUNK = 4096
 
 
+def _chunked(df: DataFrame, mult: str, into: str, chunk: int = EXPAND_CHUNK) -> DataFrame:
+    """Rows cut into chunks ``_chunk`` of at most ``chunk`` of their ``mult`` copies, counted in ``into``."""
+    m = F.col(mult)
+    df = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((m - 1) / chunk).cast("long"))))
+    return df.withColumn(into, F.least(F.lit(chunk).cast("long"), m - F.col("_chunk") * chunk))
+
+
+def _repeated(chunked: DataFrame, cols: list[str]) -> DataFrame:
+    return chunked.withColumn("_rep", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).select(*cols)
+
+
 def _expand(df: DataFrame, mult: str, chunk: int = EXPAND_CHUNK) -> DataFrame:
     """Repeat each row ``mult`` times (restores multiset semantics).
 
@@ -150,12 +161,7 @@ def _expand(df: DataFrame, mult: str, chunk: int = EXPAND_CHUNK) -> DataFrame:
     tasks; the shuffle carries one row per chunk, not the copies.
     """
     cols = [c for c in df.columns if c != mult]
-    m = F.col(mult)
-    chunked = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((m - 1) / chunk).cast("long"))))
-    chunked = chunked.withColumn("_n", F.least(F.lit(chunk).cast("long"), m - F.col("_chunk") * chunk))
-    spread_rows = spread(chunked, *cols, "_chunk")
-    return (spread_rows.withColumn("_rep", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
-                       .select(*cols))
+    return _repeated(spread(_chunked(df, mult, "_n", chunk), *cols, "_chunk"), cols)
 
 
 #: Pairs of rated items for which a partition of the seen candidates is made.
@@ -263,7 +269,8 @@ def level_bitmaps(sim_table: DataFrame) -> DataFrame:
     return buckets.withColumn("_rank", F.rank().over(best))
 
 
-def unseen_bitmaps(ratings: DataFrame, sim_table: DataFrame, users_per_copy: int = USERS_PER_COPY) -> DataFrame:
+def unseen_bitmaps(ratings: DataFrame, sim_table: DataFrame, users_per_copy: int = USERS_PER_COPY,
+                   chunk: int | None = None) -> DataFrame:
     """The best unseen candidates of each (user, liked item) as bitmaps:
     ``(userid, movieid1, _bucket, liked_cnt, correlation_factor, _rest)`` with
     ``_rest`` an array of ``(cnt, word, bits)``.
@@ -280,7 +287,8 @@ def unseen_bitmaps(ratings: DataFrame, sim_table: DataFrame, users_per_copy: int
     of an item, ties included.  Buckets are rows, so a user of very many ratings
     is split by bucket.  Items that many users like are copied, and their users
     dealt over the copies.  The level bitmaps are staged, as they are read twice, so
-    the similarity is computed once.
+    the similarity is computed once.  With ``chunk`` a liked item that a user rated
+    more than ``chunk`` times is several rows, ranked in several tasks.
     """
     levels = stage(level_bitmaps(sim_table), "level-bitmaps")
     ui = _user_item_counts(ratings)
@@ -290,13 +298,16 @@ def unseen_bitmaps(ratings: DataFrame, sim_table: DataFrame, users_per_copy: int
     buckets = rated.groupBy("userid").agg(F.count("*").alias("_k"))
     liked = (ui.where((F.col("liked_cnt") > 0) & (F.col("rated_cnt") > 0))
              .select("userid", F.col("movieid").alias("movieid1"), F.col("liked_cnt")))
+    key = ["userid", "movieid1"]
     copies = liked.groupBy("movieid1").agg(F.ceil(F.count("*") / users_per_copy).cast("int").alias("_copies"))
+    if chunk:
+        liked, key = _chunked(liked, "liked_cnt", "liked_cnt", chunk), [*key, "_chunk"]
     offered = levels.join(copies, "movieid1")
     asked = (liked.join(buckets, "userid", "left")
              .join(offered.select("movieid1", "_bucket", "_rank", "_copies"), "movieid1")
              .where(F.col("_rank") <= F.coalesce("_k", F.lit(0)) + 1)
              .join(rated, ["userid", "_bucket"], "left")
-             .select("userid", "movieid1", "_bucket", "liked_cnt", "_rated",
+             .select(*key, "_bucket", "liked_cnt", "_rated",
                      F.pmod(F.xxhash64("userid"), F.col("_copies")).cast("int").alias("_copy")))
     dealt = offered.select("movieid1", "_bucket", "_levels",
                            F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_copy"))
@@ -304,14 +315,14 @@ def unseen_bitmaps(ratings: DataFrame, sim_table: DataFrame, users_per_copy: int
     both = spread(asked, *on).join(spread(dealt, *on).hint("merge"), on).withColumn("_d", B.size("_rated"))
     first = F.expr("""if(_rated is null, _levels[0], get(filter(slice(_levels, 1, cast(_d as int) + 1),
         l -> exists(l.words, e -> (e.bits & ~_rated[e.word]) != 0)), 0))""")
-    found = both.select("userid", "movieid1", "_bucket", "liked_cnt", "_rated", first.alias("_first"))
+    found = both.select(*key, "_bucket", "liked_cnt", "_rated", first.alias("_first"))
     rest = F.expr("transform(_first.words, e -> struct(e.cnt, e.word, "
                   "if(_rated is null, e.bits, e.bits & ~_rated[e.word]) as bits))")
     found = found.where("_first is not null").select(
-        "userid", "movieid1", "_bucket", "liked_cnt", F.col("_first.corr").alias("correlation_factor"),
+        *key, "_bucket", "liked_cnt", F.col("_first.corr").alias("correlation_factor"),
         rest.alias("_rest"))
-    order = Window.partitionBy("userid", "movieid1").orderBy(F.desc("correlation_factor"))
-    return spread(found, "userid", "movieid1").withColumn("_rk", F.rank().over(order)).where(F.col("_rk") == 1).drop("_rk")
+    order = Window.partitionBy(*key).orderBy(F.desc("correlation_factor"))
+    return spread(found, *key).withColumn("_rk", F.rank().over(order)).where(F.col("_rk") == 1).drop("_rk")
 
 
 def _items_of(words: DataFrame, kind, *cols) -> DataFrame:
@@ -321,9 +332,10 @@ def _items_of(words: DataFrame, kind, *cols) -> DataFrame:
             .select(*cols, F.expr("shiftleft(_bucket, 10) + word * 64 + _i").cast(kind).alias("movieid2")))
 
 
-def _unseen_pairs(ratings: DataFrame, sim_table: DataFrame, users_per_copy: int = USERS_PER_COPY) -> DataFrame:
+def _unseen_pairs(ratings: DataFrame, sim_table: DataFrame, users_per_copy: int = USERS_PER_COPY,
+                  chunk: int | None = None) -> DataFrame:
     """(userid, movieid1, movieid2, correlation_factor, mult) of the best unseen candidates."""
-    best = unseen_bitmaps(ratings, sim_table, users_per_copy).select("*", F.inline("_rest"))
+    best = unseen_bitmaps(ratings, sim_table, users_per_copy, chunk).select("*", F.inline("_rest"))
     best = best.withColumn("mult", F.col("liked_cnt") * F.col("cnt"))
     out = _items_of(best, sim_table.schema["movieid2"].dataType, "userid", "movieid1", "correlation_factor", "mult")
     return out.select("userid", "movieid1", "movieid2", "correlation_factor", "mult")
@@ -356,7 +368,16 @@ def best_candidate_groups(ratings: DataFrame, sim: DataFrame, candidates: str =
 
 def best_candidates_for(ratings: DataFrame, sim: DataFrame, candidates: str = "seen",
                         narrow: bool = True, block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
-    """``(userid, movieid1, movieid2, correlation)``, one row per original row."""
+    """``(userid, movieid1, movieid2, correlation)``, one row per original row.
+
+    Unseen candidates repeat as often as the user rated the liked item (and the
+    table the pair).  Their chunks are dealt over the tasks before they are ranked,
+    so the rows, many times the bitmaps, are spelled out where those are and never sent.
+    """
+    if candidates == "unseen":
+        pairs = _unseen_pairs(ratings, similarity_table(sim, narrow), chunk=EXPAND_CHUNK)
+        pairs = pairs.withColumnRenamed("correlation_factor", "correlation")
+        return _repeated(_chunked(pairs, "mult", "_n"), [c for c in pairs.columns if c != "mult"])
     return _expand(best_candidate_groups(ratings, sim, candidates, narrow, block_size), "mult")
 
 

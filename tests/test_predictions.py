@@ -164,3 +164,17 @@ def test_unseen_names_of_a_user_meet_in_one_partition(spark):
     out = P.predictions(r, sim, F.broadcast(mv), "unseen")
     assert rows(out) == [(1, "a"), (2, "a")]
     assert not [e for e in _exchanges(out) if "moviename" in e and "hashpartitioning" in e]
+
+
+def test_unseen_rows_are_not_sent_once_spelled_out(spark, monkeypatch):
+    monkeypatch.setattr(P, "EXPAND_CHUNK", 3)
+    # user 1 likes item 1 ten times; items 2 and 3 tie as the best unseen
+    r = spark.createDataFrame([(1, 1, 5.0)] * 10 + [(1, 4, 2.0), (2, 4, 5.0), (2, 4, 1.0)],
+                              "userid long, movieid long, rating double")
+    sim = spark.createDataFrame([(1, 2, 0.5), (1, 3, 0.5), (1, 4, 0.9), (4, 1, 0.25)], "movie1 long, movie2 long, corr double")
+    best = P.best_candidates_for(r, sim, "unseen")
+    plan = best._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" not in plan.split("Window")[0]
+    assert sorted(map(tuple, best.collect())) == [(1, 1, 2, 0.5)] * 10 + [(1, 1, 3, 0.5)] * 10 + [(2, 4, 1, 0.25)]
+    chunks = P.unseen_bitmaps(r, P.similarity_table(sim), chunk=3).where("userid = 1")
+    assert sorted(x.liked_cnt for x in chunks.collect()) == [1, 3, 3, 3]  # ranked apart, so by several tasks
