@@ -1,6 +1,7 @@
 """Pure functions: suffix order, packing plan, sketches, trie, HTML, rotations."""
 import random
 import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -348,3 +349,41 @@ def test_anchors_of_repeated_rows_are_packed_in_the_order_they_come():
     doc, th, n = np.array([5, 5, 5, 5, 2]), np.array([1, 1, 1, 1, 9]), np.array([4, 2, 4, 2, 8])
     got = substrings._unpack(substrings._pack(*np.zeros((2, 5), np.uint64), start, n, doc, th))
     assert [c.tolist() for c in got[2:]] == [c.tolist() for c in (start, n, doc, th)]
+
+
+def peak_mb(work):
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_anchors_are_sent_in_small_rows_and_batches():
+    import pyarrow as pa
+    rng = np.random.default_rng(11)
+    texts = [bytes(rng.integers(97, 123, 100_000).astype(np.uint8)).decode() for _ in range(20)] * 2
+    docs = pa.RecordBatch.from_arrays([pa.array(range(40), pa.int64()), pa.array([1] * 40, pa.int32()), pa.array(texts)],
+                                      names=["_id", "_th", "_t"])
+    sent = list(substrings._send(1)(iter([docs])))
+    assert max(b.nbytes for b in sent) < 3 << 19  # 2 MB and more, in one batch, before
+    rows = [r for b in sent for r in b.to_pylist()]
+    assert max(len(r["data"]) for r in rows) < 1 << 19
+    # repeats are runs already, of each text's second copy alone; the others' anchors cover every window
+    runs = {r["doc"]: substrings.merged([r["data"]]) for r in rows if r["kind"] == substrings.RUNS}
+    assert runs == {doc: [(0, 100_000)] for doc in range(20, 40)}
+    anchors = [substrings._unpack(r["data"]) for r in rows if r["kind"] == substrings.ANCHORS]
+    assert len(anchors) > 2
+    _, _, start, windows, doc, th = (np.concatenate(c) for c in zip(*anchors, strict=True))
+    assert np.bincount(doc, weights=windows).tolist() == [100_000 - 49] * 20 and set(th.tolist()) == {1}
+    assert all((np.diff(start[doc == d]) > 0).all() for d in range(20))
+
+
+def test_snippets_are_compared_in_bounded_memory():
+    rng = np.random.default_rng(12)
+    snippets = [bytes(t) for t in rng.integers(97, 123, (25_000, 82)).astype(np.uint8)]
+    snippets[24_999] = snippets[3][:60] + snippets[24_999][60:]  # far apart: groups reach over all blocks
+    kept = []
+    assert peak_mb(lambda: kept.append(substrings._may_share(snippets, range(25_000)))) < 75  # 120 before
+    assert np.flatnonzero(kept[0]).tolist() == [3, 24_999]

@@ -122,6 +122,19 @@ def test_shard_over_two_mebibytes():
     assert got == want and len(want) == 45
 
 
+def test_batches_are_bounded_in_bytes(spark):
+    from tessera.llm.common import ship
+
+    def sizes(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+    ship()
+    rows = spark.range(0, 60, 1, 1).selectExpr("cast(repeat('x', 300000) as binary) as d").repartition(1)
+    got = [r.n for r in rows.mapInArrow(sizes, "n long").collect()]
+    assert sum(got) > 60 * 300_000 and max(got) < 5 << 20  # one batch of 18 MB before
+
+
 def test_dedup_texts_keeps_rows_and_columns(docs_of):
     df = docs_of(CORPUS)
     out = substrings.dedup_texts(df)
