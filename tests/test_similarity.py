@@ -147,3 +147,32 @@ def test_each_pair_of_groups_has_a_cell_of_its_own(spark):
     for r in df.select("a", "b", K.grid_cell(F.col("a"), F.col("b"), g).alias("p")).collect():
         cells.setdefault(r.p, set()).add((min(r.a, r.b), max(r.a, r.b)))
     assert sorted(cells) == list(range(K.grid_cells(g))) and all(len(v) == 1 for v in cells.values())
+
+
+def test_ratings_are_written_once_however_many_cells(spark, monkeypatch):
+    """A cell of two groups reads their columns of the staged ratings and is a task of its own;
+    only cells of one group are sent packs, each rating once."""
+    from tessera.operators import skew as K
+    monkeypatch.setattr(S.skew, "GRID_PAIRS", 0)
+    df = spark.createDataFrame([(u, m, float(m % 5 + u % 2)) for u in range(200) for m in range(40)], SCHEMA)
+    out = S.similarity(df, "item_lt_item")
+    plan = out._jdf.queryExecution().executedPlan().toString().split("\n")
+    assert len([n for n in plan if "Exchange" in n]) == 1
+    scans = [n[n.index("[") + 1:n.index("]")] for n in plan if "FileScan" in n]
+    pairs = K.MIN_GROUPS * (K.MIN_GROUPS - 1) // 2
+    assert len(scans) == pairs + 1 and len([s for s in scans if s.count("_g") == 2]) == pairs
+    assert out.rdd.getNumPartitions() == pairs + K.MIN_GROUPS
+
+
+def test_raters_go_along_with_the_ratings_of_a_grid(spark, monkeypatch):
+    data = [(u, m, float((u * m) % 5 + 1)) for u in range(1, 30) for m in range(100, 100 + u)]
+    data += [(3, 101, 2.0), (None, 101, 4.0), (4, None, 4.0), (7, 200, None), (8, 200, None)]
+    df = spark.createDataFrame(data, SCHEMA)
+
+    def stats(limit):
+        monkeypatch.setattr(S.skew, "BROADCAST_ITEMS", limit)
+        return sorted(tuple(map(repr, r)) for r in S.pair_stats(df, "item_lt_item", 20).collect())
+
+    joined = stats(0)
+    monkeypatch.setattr(S.skew, "GRID_PAIRS", 0)
+    assert joined and stats(0) == stats(1_000) == joined
