@@ -387,3 +387,29 @@ def test_snippets_are_compared_in_bounded_memory():
     kept = []
     assert peak_mb(lambda: kept.append(substrings._may_share(snippets, range(25_000)))) < 75  # 120 before
     assert np.flatnonzero(kept[0]).tolist() == [3, 24_999]
+
+
+def test_edges_of_a_common_passage_are_sorted_as_one(monkeypatch):
+    import struct
+    rng = np.random.default_rng(13)
+    passage = bytes(rng.integers(97, 123, 60).astype(np.uint8))
+    # contexts differ next to the passage; half of the documents have them before it
+    far = [bytes(t) for t in rng.integers(97, 123, (100, 10)).astype(np.uint8)]
+    snippets = [f + bytes([128 + i]) + passage for i, f in enumerate(far)]
+    snippets += [passage + bytes([128 + i]) + f for i, f in enumerate(far)]
+    rows = [(0, substrings.SNIPPETS, doc, None, struct.pack("<IiIB", 1, 0, 100, len(t) - 49) + t)
+            for doc, t in enumerate(snippets)]
+    sorted_, order = [], substrings.suffix_order
+    monkeypatch.setattr(substrings, "suffix_order", lambda text: sorted_.append(len(text)) or order(text))
+    out = [r for b in substrings._sort_shards(1)(iter([substrings._batch(rows)])) for r in b.to_pylist()]
+    runs: dict = {}
+    for r in out:
+        runs.setdefault(r["doc"], []).append(r["data"])
+    assert {d: substrings.merged(v) for d, v in runs.items()} == {
+        d: [(111, 171)] if d < 100 else [(100, 160)] for d in range(1, 200)}
+    assert sum(sorted_) == 60  # 200 x 71 before
+
+
+def test_only_what_fills_a_shard_is_dealt_by_window():
+    # a row is some 68 bytes; by window it would be 17 rows
+    assert 2 << 20 < substrings.MANY * 68 < substrings.SHARD
